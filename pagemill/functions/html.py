@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from html.entities import name2codepoint
 
 from pyspark.sql import Column
@@ -11,17 +12,18 @@ from pagemill.constants import PARAGRAPH_BREAKERS
 from pagemill.functions.text import ColumnLike, _col, newline_to_dot
 
 # Stand-ins for `<` and `&` inside script and style content, which is plain text and not markup.
-_HELD = "\u0001\u0002"
+_HELD = {"<": "\u0001", "&": "\u0002"}
 
+# The patterns start with one fixed character, which the matcher looks for before anything else.
 RAW_CONTENT = (
-    r"(?is)<script\b[^>]*>.*?(?:</script\s*>|\z)"
-    r"|<style\b[^>]*>.*?(?:</style\s*>|\z)"
-    r"|<!--.*?(?:-->|\z)"
+    r"(?is)<(?:script\b[^>]*>.*?(?:</script\s*>|\z)"
+    r"|style\b[^>]*>.*?(?:</style\s*>|\z)"
+    r"|!--.*?(?:-->|\z))"
 )
 RAW_TAGS = r"(?is)^<(?:script|style)\b[^>]*>|</(?:script|style)\s*>$"
 PARAGRAPH_START = r"(?i)<p(?:[\s/][^>]*)?(?:>|\z)"
 PARAGRAPH_END = r"(?is)</?(?:" + "|".join(PARAGRAPH_BREAKERS) + r")(?:[\s/][^>]*)?(?:>|\z).*\z"
-TAG = r"(?s)</?[A-Za-z][^>]*(?:>|\z)|<[!?][^>]*(?:>|\z)"
+TAG = r"(?s)<(?:/?[A-Za-z]|[!?])[^>]*(?:>|\z)"
 REFERENCE = r"^(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,30});"
 
 # The HTML 4 names plus the XML apostrophe.
@@ -39,11 +41,10 @@ def decode_entities(text: ColumnLike) -> Column:
 
     Unknown names, references without semicolon and invalid numbers stay as they are.
     """
-    text = _col(text)
-    names = F.create_map(*[F.lit(part) for item in NAMED_CHARACTERS.items() for part in item])
-    pieces = F.split(text, "&")
-    tails = F.transform(
-        F.slice(pieces, F.lit(2), F.size(pieces)),
+    # One constant, which is folded into a map literal once per query.
+    names = F.from_json(F.lit(json.dumps(NAMED_CHARACTERS)), "map<string,string>")
+    pieces = F.transform(
+        F.split(_col(text), "&"),
         lambda piece: F.struct(
             piece.alias("piece"), F.regexp_extract(piece, REFERENCE, 1).alias("reference")
         ),
@@ -58,23 +59,28 @@ def decode_entities(text: ColumnLike) -> Column:
             .otherwise(F.try_element_at(names, reference))
         )
 
-    decoded = F.transform(
-        tails,
-        lambda tail: F.coalesce(
-            F.concat(
-                value(tail["reference"]),
-                F.substr(tail["piece"], F.length(tail["reference"]) + F.lit(2)),
-            ),
-            F.concat(F.lit("&"), tail["piece"]),
-        ),
-    )
-    whole = F.concat(F.element_at(pieces, 1), F.array_join(decoded, ""))
-    return F.when(F.contains(text, F.lit("&")), whole).otherwise(text)
+    def decoded(tail: Column) -> Column:
+        rest = F.substr(tail["piece"], F.length(tail["reference"]) + F.lit(2))
+        return F.coalesce(
+            F.concat(value(tail["reference"]), rest), F.concat(F.lit("&"), tail["piece"])
+        )
+
+    # The first piece stands before any `&`.
+    whole = F.transform(pieces, lambda p, i: F.when(i == 0, p["piece"]).otherwise(decoded(p)))
+    return F.array_join(whole, "")
+
+
+def _exchanged(text: Column, pairs: dict[str, str]) -> Column:
+    for old, new in pairs.items():
+        text = F.replace(text, F.lit(old), F.lit(new))
+    return text
 
 
 def hold_raw_content(html: ColumnLike) -> Column:
     """Drop comments and turn script and style elements into text that holds no markup."""
-    html = F.translate(_col(html), _HELD, "")
+    html = _col(html)
+    for stand_in in _HELD.values():
+        html = F.replace(html, F.lit(stand_in), F.lit(""))
     between = F.split(html, RAW_CONTENT)
     raw = F.regexp_extract_all(html, F.lit(RAW_CONTENT), F.lit(0))
     held = F.zip_with(
@@ -83,7 +89,7 @@ def hold_raw_content(html: ColumnLike) -> Column:
         lambda text, element: F.concat(
             text,
             F.when(element.isNull() | element.startswith("<!--"), F.lit("")).otherwise(
-                F.translate(F.regexp_replace(element, RAW_TAGS, ""), "<&", _HELD)
+                _exchanged(F.regexp_replace(element, RAW_TAGS, ""), _HELD)
             ),
         ),
     )
@@ -107,10 +113,13 @@ def paragraph_text(html: ColumnLike, engine: str = "native") -> Column:
         return paragraph_text_udf(_col(html))
     if engine != "native":
         raise ValueError(f"unknown engine: {engine}")
+    # Every step uses the one before it once: a repeated input would be computed again.
     pieces = F.split(hold_raw_content(html), PARAGRAPH_START)
     paragraphs = F.transform(
-        F.slice(pieces, F.lit(2), F.size(pieces)),
-        lambda piece: F.concat(F.lit(" "), strip_tags(F.regexp_replace(piece, PARAGRAPH_END, ""))),
+        pieces,
+        lambda piece, i: F.when(i == 0, F.lit("")).otherwise(
+            F.concat(F.lit(" "), strip_tags(F.regexp_replace(piece, PARAGRAPH_END, "")))
+        ),
     )
     text = decode_entities(F.array_join(paragraphs, ""))
-    return newline_to_dot(F.translate(text, _HELD, "<&"))
+    return newline_to_dot(_exchanged(text, {new: old for old, new in _HELD.items()}))

@@ -6,6 +6,7 @@ from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from pagemill.constants import PARAGRAPH_BREAKERS
 
@@ -45,6 +46,6 @@ def text_of_paragraphs(html: str | None) -> str | None:
     return "".join(" " + "".join(parts) for parts in parser.found).replace("\n", ".")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def paragraph_text_udf(html: pd.Series) -> pd.Series:
     return html.map(text_of_paragraphs)

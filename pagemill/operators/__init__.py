@@ -1,6 +1,7 @@
 from pagemill.operators.chunking import split_bytes, split_even, split_floor, with_position
 from pagemill.operators.dedup import count_rows, dedup_any, dedup_keep_first
 from pagemill.operators.graph import (
+    JOINED,
     TripleGraph,
     alt_label_concat,
     bgp_join,
@@ -31,7 +32,7 @@ from pagemill.operators.setops import append_by_name, union_all_list
 from pagemill.operators.skew import hot_values, hot_values_by, lookup_join, spread_join
 
 __all__ = [
-    "TripleGraph", "alt_label_concat", "append_by_name", "attach_entity_id", "bgp_join",
+    "JOINED", "TripleGraph", "alt_label_concat", "append_by_name", "attach_entity_id", "bgp_join",
     "count_rows", "dedup_any", "dedup_keep_first", "drop_columns", "drop_disambiguation",
     "exclude_known_titles", "hot_values", "hot_values_by", "instance_of_closure", "label_lookup",
     "language_site_filter", "lookup_join", "main_pages", "optional_match", "parse_ok",

@@ -41,7 +41,8 @@ def _located(df: DataFrame, order: list[str], weight: str | None) -> tuple[DataF
         offsets.append((part["_file"], rows, weights))
         rows += part["rows"]
         weights += part["weight"]
-    table = df.sparkSession.createDataFrame(offsets, _OFFSETS)
+    # As many rows as the sort has partitions.
+    table = F.broadcast(df.sparkSession.createDataFrame(offsets, _OFFSETS))
     return staged.join(table, "_file"), rows
 
 

@@ -27,10 +27,7 @@ from pagemill.operators.skew import HOT_ROWS, HOT_SHARE, hot_values_by, spread_j
 from pagemill.sources.storage import work_path
 
 # Predicates whose subjects and objects are joined on.
-JOINED = (
-    INSTANCE_OF, SUBCLASS_OF, GENRE, PUBLISHER, RATING, SERIES,
-    ABOUT, IN_LANGUAGE, NAME, IS_PART_OF, LABEL, ALT_LABEL,
-)
+JOINED = (INSTANCE_OF, SUBCLASS_OF, GENRE, PUBLISHER, RATING, SERIES, ABOUT, NAME)
 
 
 class TripleGraph:
@@ -62,9 +59,9 @@ class TripleGraph:
         return matches.select(*columns)
 
     def fixed(self, predicate: str, subject: str, value: str) -> DataFrame:
-        """Subjects of `?subject predicate value`, each once."""
+        """Subjects of `?subject predicate value`."""
         matches = self.triples.where((F.col("p") == predicate) & (F.col("o") == value))
-        return matches.select(F.col("s").alias(subject)).distinct()
+        return matches.select(F.col("s").alias(subject))
 
     def hot_subjects(self, predicate: str) -> list:
         return self.hot.get((predicate, "s"), [])
@@ -89,21 +86,22 @@ def subclass_closure(graph: TripleGraph, target: str) -> DataFrame:
     graph.pattern(SUBCLASS_OF, "below", "node").write.parquet(f"{root}/edges")
     edges = spark.read.schema("below string, node string").parquet(f"{root}/edges")
     hot = graph.hot_objects(SUBCLASS_OF)
-    spark.createDataFrame([(target,)], "node string").write.parquet(f"{root}/nodes/round=0")
 
-    def nodes(path: str) -> DataFrame:
-        return spark.read.schema("node string").parquet(path)
+    def nodes(*paths: str) -> DataFrame:
+        return spark.read.schema("node string").parquet(*paths)
 
-    seen = [f"{root}/nodes/round=0"]
+    top = spark.range(1).select(F.lit(target).alias("node"))
+    known, frontier, rounds = top, top, []
     while True:
-        found = spread_join(edges, nodes(seen[-1]), "node", "left_semi", hot_left=hot)
-        known = spark.read.schema("node string").parquet(*seen)
+        found = spread_join(edges, frontier, "node", "left_semi", hot_left=hot)
         fresh = found.select(F.col("below").alias("node")).distinct().join(known, "node", "left_anti")
-        path = f"{root}/nodes/round={len(seen)}"
+        path = f"{root}/nodes/round={len(rounds)}"
         fresh.write.parquet(path)
-        if nodes(path).isEmpty():
+        frontier = nodes(path)
+        if frontier.isEmpty():
             return known
-        seen.append(path)
+        rounds.append(path)
+        known = top.unionAll(nodes(*rounds))
 
 
 def instance_of_closure(
@@ -189,15 +187,23 @@ def bgp_join(
 
 
 def label_lookup(
-    rows: DataFrame, graph: TripleGraph, node: str, languages: Sequence[str], into: str
+    rows: DataFrame,
+    graph: TripleGraph,
+    node: str,
+    languages: Sequence[str],
+    into: str,
+    unbound: bool = True,
 ) -> DataFrame:
-    """Add the label of `node` in the first language that has one; its identifier if none has."""
+    """Add the label of `node` in the first language that has one; its identifier if none has.
+
+    `unbound` says that `node` may be NULL, as optional nodes often are for most rows.
+    """
     spoken = F.array(*[F.lit(language) for language in languages])
     labels = graph.triples.where((F.col("p") == LABEL) & F.col("lang").isin(list(languages)))
     best = F.min_by("o", F.struct(F.array_position(spoken, F.col("lang")), F.col("o")))
     lookup = labels.groupBy(F.col("s").alias(node)).agg(best.alias("_label"))
-    # An unbound node is NULL, and often is for most rows: spread those in any case.
-    labelled = spread_join(rows, lookup, node, "left", hot_left=[None, *graph.hot_nodes()])
+    hot = [*graph.hot_nodes(), *([None] if unbound else [])]
+    labelled = spread_join(rows, lookup, node, "left", hot_left=hot)
     return labelled.withColumn(into, F.coalesce("_label", node)).drop("_label")
 
 

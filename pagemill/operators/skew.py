@@ -77,9 +77,13 @@ def hot_values(
 
 
 def _is_one_of(column: str, values: Sequence) -> Column:
-    known = [v for v in values if v is not None]
-    matches = F.coalesce(F.col(column).isin(known), F.lit(False)) if known else F.lit(False)
-    return matches | F.col(column).isNull() if None in values else matches
+    return F.coalesce(F.col(column).isin(list(values)), F.lit(False))
+
+
+def _part(df: DataFrame, fanout: int) -> Column:
+    """A number below `fanout`; content and partition decide it, so a repeated task repeats it."""
+    hashable = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    return F.pmod(F.xxhash64(*hashable) + F.spark_partition_id(), F.lit(fanout)).cast("int")
 
 
 def spread_join(
@@ -91,23 +95,18 @@ def spread_join(
     hot_right: Sequence = (),
     fanout: int = FANOUT,
 ) -> DataFrame:
-    """Equi-join whose hot keys are split into `fanout` parts, with the result of a plain join.
+    """Equi-join on a text column with its hot keys split up, and the result of a plain join.
 
     Rows of a key in `hot_left` are spread on the left and copied on the right, so the right side
     should hold few rows for it. Keys in `hot_right` are treated the other way round; each of them
-    has to occur on the right. All other keys are joined as usual, and the engine may still pick a
-    broadcast from measured sizes.
+    has to occur on the right. None in `hot_left` spreads the rows without key. All other keys are
+    joined as usual, and the engine may still pick a broadcast from measured sizes.
     """
     if hot_right and how not in ("inner", "left"):
         raise ValueError(f"a {how} join needs a right side without repeated keys")
-    if not hot_left and not hot_right:
-        return left.join(right, on, how)
-
-    def part(df: DataFrame, values: Sequence) -> Column:
-        # Content and partition decide the part, so that a task that is run again repeats it.
-        hashable = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
-        number = F.pmod(F.xxhash64(*hashable) + F.spark_partition_id(), F.lit(fanout)).cast("int")
-        return F.when(_is_one_of(on, values), number).otherwise(F.lit(0))
+    without_key = None in hot_left and how in ("left", "left_anti")
+    hot_left = [v for v in hot_left if v is not None]
+    hot_right = [v for v in hot_right if v is not None]
 
     def copies(values: Sequence) -> Column:
         every = F.array(*[F.lit(i) for i in range(fanout)])
@@ -116,17 +115,26 @@ def spread_join(
     keys = [on]
     if hot_left:
         keys.append("_left_part")
-        left = left.withColumn("_left_part", part(left, hot_left))
+        part = F.when(_is_one_of(on, hot_left), _part(left, fanout)).otherwise(F.lit(0))
+        left = left.withColumn("_left_part", part)
         right = right.withColumn("_left_part", copies(hot_left))
     if hot_right:
         keys.append("_right_part")
-        right = right.withColumn("_right_part", part(right, hot_right)).withColumn("_found", F.lit(True))
+        part = F.when(_is_one_of(on, hot_right), _part(right, fanout)).otherwise(F.lit(0))
+        right = right.withColumn("_right_part", part).withColumn("_found", F.lit(True))
         left = left.withColumn("_right_part", copies(hot_right))
+    if without_key:
+        # A NULL matches nothing, so such rows may take any keys that do not occur on the right.
+        # The right side keeps its own partitioning.
+        keys[0] = "_key"
+        nowhere = F.concat(F.lit("\u0000"), _part(left, fanout).cast("string"))
+        left = left.withColumn("_key", F.coalesce(F.col(on), nowhere))
+        right = right.withColumnRenamed(on, "_key")
     joined = left.join(right, keys, how)
     if hot_right:
         # A copied left row that met no right row in its part met one in another part.
         joined = joined.where(~_is_one_of(on, hot_right) | F.col("_found").isNotNull())
-    return joined.drop("_left_part", "_right_part", "_found")
+    return joined.drop("_key", "_left_part", "_right_part", "_found")
 
 
 def lookup_join(

@@ -41,10 +41,12 @@ def games_query(
     Rows multiply over the values of the optional parts and over the articles.
     """
     rows = bgp_join(instance_of_closure(graph, target), graph, language=language, site=site)
+    # Everything keyed by the entity comes together, and what multiplies rows comes last.
+    rows = label_lookup(rows, graph, "id", languages, "idLabel", unbound=False)
+    rows = with_alt_labels(rows, graph, languages)
     for node, predicate in _OPTIONAL.items():
         rows = optional_match(rows, graph, predicate, node)
-    rows = with_alt_labels(rows, graph, languages)
-    for node in ("id", *_OPTIONAL):
+    for node in _OPTIONAL:
         rows = label_lookup(rows, graph, node, languages, f"{node}Label")
     return rows.select(
         "id", "idLabel", "genreLabel", "publisherLabel", "esrbLabel", "idAltLabel", "name", "article"
@@ -72,6 +74,7 @@ def mapping_query(
     """Games with a series, once per series and article. The optional labels are never bound."""
     rows = series_mapping(instance_of_closure(graph, target), graph)
     rows = bgp_join(rows, graph, language=language, site=site, with_name=False)
-    rows = label_lookup(with_alt_labels(rows, graph, languages), graph, "id", languages, "idLabel")
+    rows = label_lookup(rows, graph, "id", languages, "idLabel", unbound=False)
+    rows = with_alt_labels(rows, graph, languages)
     unbound = [F.lit(None).cast("string").alias(f"{node}Label") for node in _OPTIONAL]
     return rows.select("id", "idLabel", *unbound, "idAltLabel", "article")

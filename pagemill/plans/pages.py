@@ -22,7 +22,7 @@ from pagemill.operators import (
     to_page_table,
 )
 from pagemill.plans.extract import extract_pages
-from pagemill.sources import fetch_map, query_result_columns, read_title_list, stage
+from pagemill.sources import fetch_map, query_result_columns, read_title_list, stage, stage_small_side
 
 
 def game_names(sources: Sequence[DataFrame], order: list[str]) -> DataFrame:
@@ -43,9 +43,11 @@ def build_game_pages(
     """The game page table with `wikidata_id`.
 
     `sources` are query results (games, series, mapping) and `responses` holds one (title, body) per
-    requested title. A name carries its entity's id along, so the id needs no lookup of its own.
+    requested title. A name carries its entity's id along, so the id needs no lookup of its own. The
+    names are measured, and if they are small the bodies are not shuffled.
     """
     names = game_names(sources, order).select(F.col("name").alias("title"), "id")
+    names = stage_small_side(names, "names")
     found = responses.select("title", "body").join(names, "title")
     pages = extract_pages(found.withColumnRenamed("id", "wikidata_id"), "wikidata_id", engine=engine)
     return to_page_table(title_not_null(pages), "games")
@@ -68,7 +70,7 @@ def build_nongame_sample(
     games = dedup_any(game_pages.select("page_title"), "page_title")
     titles = main_pages(listing).select("title")
     pool = stage(exclude_known_titles(titles, games, "title", "page_title"), "pool")
-    drawn = sample_exact(pool, games.count(), "title", seed)
+    drawn = stage_small_side(sample_exact(pool, games.count(), "title", seed), "drawn")
     found = lookup_join(drawn, responses.select("title", "body"), "title", "inner")
     pages = resolve_redirect_title(title_not_null(extract_pages(found, engine=engine)))
     if recheck:

@@ -5,7 +5,16 @@ from __future__ import annotations
 from pagemill import operators as op
 from pagemill import plans
 from pagemill import sources as src
-from pagemill.constants import GENRE, INSTANCE_OF, PUBLISHER, RATING
+from pagemill.constants import (
+    ABOUT,
+    GENRE,
+    INSTANCE_OF,
+    NAME,
+    PUBLISHER,
+    RATING,
+    SERIES,
+    SUBCLASS_OF,
+)
 from pagemill.registry import fixtures as fx
 from pagemill.registry.base import query
 
@@ -78,11 +87,12 @@ def entity_sql(target: str, languages: tuple[str, ...]) -> str:
         LEFT JOIN ({ALT_LABELS}) x ON x.id = i.id""")
 
 
-def stored_graph(spark, sf_dir) -> op.TripleGraph:
-    """The derived triples as a table partitioned by predicate."""
+def stored_graph(spark, sf_dir, *predicates: str) -> op.TripleGraph:
+    """The derived triples as a table partitioned by predicate, measured for the joined ones."""
     path = src.work_path(spark, "triples")
     src.write_triples(fx.triples(spark, sf_dir), path)
-    return op.TripleGraph.measure(src.read_triples(spark, path))
+    triples = src.read_triples(spark, path)
+    return op.TripleGraph.measure(triples, predicates) if predicates else op.TripleGraph(triples)
 
 
 @query("triples", f"SELECT * FROM ({TRIPLES})")
@@ -92,17 +102,19 @@ def _(spark, sf_dir):
 
 @query("subclass_closure", with_sql("r0", "SELECT node FROM classes"))
 def _(spark, sf_dir):
-    return op.subclass_closure(stored_graph(spark, sf_dir), "r0")
+    return op.subclass_closure(stored_graph(spark, sf_dir, SUBCLASS_OF), "r0")
 
 
 @query("instance_of_closure", with_sql("r1", INSTANCES))
 def _(spark, sf_dir):
-    return op.instance_of_closure(stored_graph(spark, sf_dir), "r1")
+    graph = stored_graph(spark, sf_dir, INSTANCE_OF, SUBCLASS_OF)
+    return op.instance_of_closure(graph, "r1")
 
 
 @query("instance_of_closure_distinct", with_sql("r0", f"SELECT DISTINCT id FROM ({INSTANCES})"))
 def _(spark, sf_dir):
-    return op.instance_of_closure(stored_graph(spark, sf_dir), "r0", distinct=True)
+    graph = stored_graph(spark, sf_dir, INSTANCE_OF, SUBCLASS_OF)
+    return op.instance_of_closure(graph, "r0", distinct=True)
 
 
 @query(
@@ -115,7 +127,7 @@ def _(spark, sf_dir):
     ),
 )
 def _(spark, sf_dir):
-    graph = stored_graph(spark, sf_dir)
+    graph = stored_graph(spark, sf_dir, INSTANCE_OF, GENRE, PUBLISHER, RATING)
     rows = graph.pattern(INSTANCE_OF, "id")
     for node, predicate in (("genre", GENRE), ("publisher", PUBLISHER), ("esrb", RATING)):
         rows = op.optional_match(rows, graph, predicate, node)
@@ -131,14 +143,14 @@ def _(spark, sf_dir):
     ),
 )
 def _(spark, sf_dir):
-    graph = stored_graph(spark, sf_dir)
+    graph = stored_graph(spark, sf_dir, INSTANCE_OF, ABOUT, NAME)
     return op.bgp_join(graph.pattern(INSTANCE_OF, "id"), graph).select("id", "article", "name")
 
 
 @query("language_site_filter", with_sql("r0", f"SELECT article FROM ({ARTICLES})"))
 def _(spark, sf_dir):
-    graph = stored_graph(spark, sf_dir)
-    return op.language_site_filter(graph.pattern("schema:about", "article"), graph)
+    graph = stored_graph(spark, sf_dir, ABOUT)
+    return op.language_site_filter(graph.pattern(ABOUT, "article"), graph)
 
 
 @query(
@@ -149,7 +161,7 @@ def _(spark, sf_dir):
     ),
 )
 def _(spark, sf_dir):
-    graph = stored_graph(spark, sf_dir)
+    graph = stored_graph(spark, sf_dir, INSTANCE_OF)
     rows = graph.pattern(INSTANCE_OF, "id", "class")
     return op.label_lookup(rows, graph, "class", ("fr", "en"), "classLabel").select("id", "class", "classLabel")
 
@@ -164,18 +176,18 @@ def _(spark, sf_dir):
     with_sql("r0", "SELECT i.s AS id FROM t i JOIN t m ON m.p = 'P179' AND m.s = i.s WHERE i.p = 'P31'"),
 )
 def _(spark, sf_dir):
-    graph = stored_graph(spark, sf_dir)
+    graph = stored_graph(spark, sf_dir, INSTANCE_OF, SERIES)
     return op.series_mapping(graph.pattern(INSTANCE_OF, "id"), graph)
 
 
 @query("games_query", entity_sql("r1", ("en",)))
 def games_query(spark, sf_dir):
-    return plans.games_query(stored_graph(spark, sf_dir), "r1")
+    return plans.games_query(stored_graph(spark, sf_dir, *op.JOINED), "r1")
 
 
 @query("series_query", entity_sql("r2", ("fr", "en")))
 def _(spark, sf_dir):
-    return plans.series_query(stored_graph(spark, sf_dir), "r2", ("fr", "en"))
+    return plans.series_query(stored_graph(spark, sf_dir, *op.JOINED), "r2", ("fr", "en"))
 
 
 @query(
@@ -187,4 +199,5 @@ def _(spark, sf_dir):
         LEFT JOIN ({ALT_LABELS}) x ON x.id = i.id"""),
 )
 def _(spark, sf_dir):
-    return plans.mapping_query(stored_graph(spark, sf_dir), "r1", ("fr", "en"))
+    graph = stored_graph(spark, sf_dir, INSTANCE_OF, SUBCLASS_OF, SERIES, ABOUT)
+    return plans.mapping_query(graph, "r1", ("fr", "en"))

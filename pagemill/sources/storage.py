@@ -6,6 +6,10 @@ import tempfile
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# Largest side, in bytes of text, that is copied to every executor.
+BROADCAST_BYTES = 128 * 1024 * 1024
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -33,3 +37,17 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = work_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stage_small_side(df: DataFrame, name: str, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Stage the text table `df`; mark it for broadcast if its measured size is within `limit`.
+
+    This spares a join the shuffle of a much larger other side. Above the limit the join shuffles.
+    """
+    staged = stage(df, name)
+    lengths = [F.coalesce(F.octet_length(c), F.lit(0)) for c in staged.columns]
+    size = F.lit(0)
+    for length in lengths:
+        size = size + length + F.lit(16)
+    measured = staged.agg(F.sum(size)).first()[0] or 0
+    return F.broadcast(staged) if measured <= limit else staged

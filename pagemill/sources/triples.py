@@ -27,8 +27,11 @@ def triples_from(df: DataFrame, subject: ColumnLike, statements: list[Column]) -
 
 
 def write_triples(triples: DataFrame, path: str) -> None:
-    """A triple table partitioned by predicate, so that a pattern reads only its own files."""
-    triples.write.partitionBy("p").parquet(path)
+    """A triple table partitioned by predicate, so that a pattern reads only its own files.
+
+    Rebalancing gathers the rows of rare predicates and splits those of common ones by size.
+    """
+    triples.hint("rebalance", "p").write.partitionBy("p").parquet(path)
 
 
 def read_triples(spark: SparkSession, path: str) -> DataFrame:
