@@ -9,7 +9,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from pagemill.sources.storage import stage
 
 _OFFSETS = StructType(
-    [StructField("_file", StringType()), StructField("_rows_before", LongType()),
+    [StructField("_part_file", StringType()), StructField("_rows_before", LongType()),
      StructField("_weight_before", LongType())]
 )
 
@@ -26,30 +26,30 @@ def _located(df: DataFrame, order: list[str], weight: str | None) -> tuple[DataF
     """
     staged = stage(df.orderBy(*order), "positions").select(
         "*",
-        F.col("_metadata.file_name").alias("_file"),
-        F.col("_metadata.row_index").alias("_row"),
+        F.col("_metadata.file_name").alias("_part_file"),
+        F.col("_metadata.row_index").alias("_part_row"),
     )
     total = F.sum(weight) if weight else F.lit(0)
-    parts = staged.groupBy("_file").agg(F.count("*").alias("rows"), total.alias("weight")).collect()
+    parts = staged.groupBy("_part_file").agg(F.count("*").alias("rows"), total.alias("weight")).collect()
 
     def number(name: str) -> tuple[int, int]:
         fields = name.split(".")[0].split("-")
         return int(fields[1]), int(fields[-1].lstrip("c"))
 
     offsets, rows, weights = [], 0, 0
-    for part in sorted(parts, key=lambda p: number(p["_file"])):
-        offsets.append((part["_file"], rows, weights))
+    for part in sorted(parts, key=lambda p: number(p["_part_file"])):
+        offsets.append((part["_part_file"], rows, weights))
         rows += part["rows"]
         weights += part["weight"]
     # As many rows as the sort has partitions.
     table = F.broadcast(df.sparkSession.createDataFrame(offsets, _OFFSETS))
-    return staged.join(table, "_file"), rows
+    return staged.join(table, "_part_file"), rows
 
 
 def with_position(df: DataFrame, order: list[str], name: str = "pos") -> tuple[DataFrame, int]:
     """`df` with dense positions 0, 1, 2, … in `order`, and the number of rows."""
     located, rows = _located(df, order, None)
-    position = (F.col("_rows_before") + F.col("_row")).alias(name)
+    position = (F.col("_rows_before") + F.col("_part_row")).alias(name)
     return located.select(*df.columns, position), rows
 
 
@@ -80,6 +80,6 @@ def split_bytes(
     """
     sized = df.withColumn("_bytes", F.octet_length(line) + F.lit(1))
     located, _ = _located(sized, order, "_bytes")
-    within = Window.partitionBy("_file").orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("_part_file").orderBy("_part_row").rowsBetween(Window.unboundedPreceding, -1)
     start = F.col("_weight_before") + F.coalesce(F.sum("_bytes").over(within), F.lit(0))
     return located.select(*df.columns, _div(start, size).cast("int").alias(name))
