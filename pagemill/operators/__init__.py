@@ -5,6 +5,7 @@ from pagemill.operators.graph import (
     TripleGraph,
     alt_label_concat,
     bgp_join,
+    entity_articles,
     instance_of_closure,
     label_lookup,
     language_site_filter,
@@ -34,6 +35,7 @@ from pagemill.operators.skew import hot_values, hot_values_by, lookup_join, spre
 __all__ = [
     "JOINED", "TripleGraph", "alt_label_concat", "append_by_name", "attach_entity_id", "bgp_join",
     "count_rows", "dedup_any", "dedup_keep_first", "drop_columns", "drop_disambiguation",
+    "entity_articles",
     "exclude_known_titles", "hot_values", "hot_values_by", "instance_of_closure", "label_lookup",
     "language_site_filter", "lookup_join", "main_pages", "optional_match", "parse_ok",
     "required_match", "resolve_redirect_title", "sample_exact", "select_columns", "series_mapping",

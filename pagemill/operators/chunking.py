@@ -22,9 +22,12 @@ def _located(df: DataFrame, order: list[str], weight: str | None) -> tuple[DataF
     """Sorted rows with their staged file, their row in it, and the totals before that file.
 
     A global sort is written once: each range partition becomes a file, and files are numbered in
-    sort order. One count per file, not per row, goes through the driver.
+    sort order. One count per file, not per row, goes through the driver. Rows that tie in `order`
+    are told apart by content and partition, so that many of them do not end up in one range.
     """
-    staged = stage(df.orderBy(*order), "positions").select(
+    hashable = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    ties = [F.xxhash64(*hashable), F.spark_partition_id()]
+    staged = stage(df.orderBy(*order, *ties), "positions").select(
         "*",
         F.col("_metadata.file_name").alias("_part_file"),
         F.col("_metadata.row_index").alias("_part_row"),

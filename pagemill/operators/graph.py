@@ -24,7 +24,7 @@ from pagemill.constants import (
     SUBCLASS_OF,
 )
 from pagemill.operators.skew import HOT_ROWS, HOT_SHARE, hot_values_by, spread_join
-from pagemill.sources.storage import work_path
+from pagemill.sources.storage import BROADCAST_BYTES, stage, stage_sized, work_path
 
 # Predicates whose subjects and objects are joined on.
 JOINED = (INSTANCE_OF, SUBCLASS_OF, GENRE, PUBLISHER, RATING, SERIES, ABOUT, NAME)
@@ -63,6 +63,19 @@ class TripleGraph:
         matches = self.triples.where((F.col("p") == predicate) & (F.col("o") == value))
         return matches.select(F.col("s").alias(subject))
 
+    def within(self, rows: DataFrame, *columns: str, limit: int = BROADCAST_BYTES) -> TripleGraph:
+        """The part of the graph whose subjects occur in `columns` of `rows`, if those are few.
+
+        Their set is staged and measured. Within `limit` it is broadcast, so that patterns are cut
+        down while they are scanned and only the wanted part is shuffled later; beyond it the graph
+        stays as it is, and joins do the work.
+        """
+        nodes = rows.select(F.explode(F.array(*columns)).alias("s")).where(F.col("s").isNotNull())
+        nodes, small = stage_sized(nodes.distinct(), "nodes", limit)
+        if not small:
+            return self
+        return TripleGraph(self.triples.join(F.broadcast(nodes), "s", "left_semi"), self.hot)
+
     def hot_subjects(self, predicate: str) -> list:
         return self.hot.get((predicate, "s"), [])
 
@@ -165,6 +178,21 @@ def language_site_filter(
     return spread_join(rows, graph.fixed(IS_PART_OF, on, site), on, "left_semi", hot_left=hot)
 
 
+def entity_articles(
+    entities: DataFrame, graph: TripleGraph, on: str = "id", limit: int = BROADCAST_BYTES
+) -> DataFrame:
+    """The entities with the articles about them, staged: one row per entity row and article."""
+    entities, few = stage_sized(entities, "entities", limit)
+    about = graph.pattern(ABOUT, "article", on)
+    if few:
+        found = about.join(F.broadcast(entities), on)
+    else:
+        found = spread_join(
+            entities, about, on, "inner", hot_left=graph.hot_nodes(), hot_right=graph.hot_objects(ABOUT)
+        )
+    return stage(found, "articles")
+
+
 def bgp_join(
     entities: DataFrame,
     graph: TripleGraph,
@@ -174,16 +202,10 @@ def bgp_join(
     with_name: bool = True,
 ) -> DataFrame:
     """Join entities with their articles of one language and site, and the articles' names."""
-    articles = spread_join(
-        entities,
-        graph.pattern(ABOUT, "article", on),
-        on,
-        "inner",
-        hot_left=graph.hot_nodes(),
-        hot_right=graph.hot_objects(ABOUT),
-    )
-    articles = language_site_filter(articles, graph, language, site)
-    return required_match(articles, graph, NAME, "article", "name") if with_name else articles
+    articles = entity_articles(entities, graph, on)
+    near = graph.within(articles, "article")
+    articles = language_site_filter(articles, near, language, site)
+    return required_match(articles, near, NAME, "article", "name") if with_name else articles
 
 
 def label_lookup(

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagemill.sources.storage import BROADCAST_BYTES, stage_sized
+
 # A key is hot when it holds this share of the rows, and at least this many rows.
 HOT_SHARE = 0.01
 HOT_ROWS = 1_000_000
@@ -138,7 +140,19 @@ def spread_join(
 
 
 def lookup_join(
-    left: DataFrame, right: DataFrame, on: str, how: str, min_rows: int = HOT_ROWS
+    left: DataFrame,
+    right: DataFrame,
+    on: str,
+    how: str,
+    limit: int = BROADCAST_BYTES,
+    min_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Join with a right side that has at most one row per key, spreading the left's hot keys."""
+    """Join with a lookup table that has at most one row per key.
+
+    The lookup is staged and measured. Within `limit` it is broadcast, so the left side is neither
+    shuffled nor skewed; beyond it both sides are shuffled and the left's hot keys are spread.
+    """
+    right, small = stage_sized(right, "lookup", limit)
+    if small:
+        return left.join(F.broadcast(right), on, how)
     return spread_join(left, right, on, how, hot_left=hot_values(left, on, min_rows=min_rows))

@@ -7,10 +7,11 @@ from pagemill.plans.pages import (
     build_pages_chunked,
     content_lengths,
     game_names,
+    saved_responses,
 )
 
 __all__ = [
     "build_category_table", "build_game_pages", "build_nongame_sample", "build_pages_chunked",
     "content_lengths", "extract_page_info", "extract_pages", "game_names", "games_query",
-    "mapping_query", "series_query",
+    "mapping_query", "saved_responses", "series_query",
 ]

@@ -13,15 +13,18 @@ from pagemill.constants import (
     GAME_CLASS,
     GAME_SERIES_CLASS,
     GENRE,
+    NAME,
     PUBLISHER,
     RATING,
 )
 from pagemill.operators import (
     TripleGraph,
-    bgp_join,
+    entity_articles,
     instance_of_closure,
     label_lookup,
+    language_site_filter,
     optional_match,
+    required_match,
     series_mapping,
     with_alt_labels,
 )
@@ -40,14 +43,19 @@ def games_query(
 
     Rows multiply over the values of the optional parts and over the articles.
     """
-    rows = bgp_join(instance_of_closure(graph, target), graph, language=language, site=site)
+    articles = entity_articles(instance_of_closure(graph, target), graph)
+    near = graph.within(articles, "id", "article")
+    rows = language_site_filter(articles, near, language, site)
+    rows = required_match(rows, near, NAME, "article", "name")
     # Everything keyed by the entity comes together, and what multiplies rows comes last.
-    rows = label_lookup(rows, graph, "id", languages, "idLabel", unbound=False)
-    rows = with_alt_labels(rows, graph, languages)
+    rows = label_lookup(rows, near, "id", languages, "idLabel", unbound=False)
+    rows = with_alt_labels(rows, near, languages)
     for node, predicate in _OPTIONAL.items():
-        rows = optional_match(rows, graph, predicate, node)
+        rows = optional_match(rows, near, predicate, node)
+    values = near.triples.where(F.col("p").isin(list(_OPTIONAL.values())))
+    named = graph.within(values, "o")
     for node in _OPTIONAL:
-        rows = label_lookup(rows, graph, node, languages, f"{node}Label")
+        rows = label_lookup(rows, named, node, languages, f"{node}Label")
     return rows.select(
         "id", "idLabel", "genreLabel", "publisherLabel", "esrbLabel", "idAltLabel", "name", "article"
     )
@@ -72,9 +80,10 @@ def mapping_query(
     site: str = ARTICLE_SITE,
 ) -> DataFrame:
     """Games with a series, once per series and article. The optional labels are never bound."""
-    rows = series_mapping(instance_of_closure(graph, target), graph)
-    rows = bgp_join(rows, graph, language=language, site=site, with_name=False)
-    rows = label_lookup(rows, graph, "id", languages, "idLabel", unbound=False)
-    rows = with_alt_labels(rows, graph, languages)
+    articles = entity_articles(instance_of_closure(graph, target), graph)
+    near = graph.within(articles, "id", "article")
+    rows = language_site_filter(articles, near, language, site)
+    rows = label_lookup(rows, near, "id", languages, "idLabel", unbound=False)
+    rows = series_mapping(with_alt_labels(rows, near, languages), near)
     unbound = [F.lit(None).cast("string").alias(f"{node}Label") for node in _OPTIONAL]
     return rows.select("id", "idLabel", *unbound, "idAltLabel", "article")

@@ -14,15 +14,16 @@ from pagemill.operators import (
     dedup_keep_first,
     drop_columns,
     exclude_known_titles,
-    lookup_join,
+    hot_values,
     main_pages,
     resolve_redirect_title,
     sample_exact,
+    spread_join,
     title_not_null,
     to_page_table,
 )
 from pagemill.plans.extract import extract_pages
-from pagemill.sources import fetch_map, query_result_columns, read_title_list, stage, stage_small_side
+from pagemill.sources import fetch_map, query_result_columns, read_title_list, stage, stage_sized
 
 
 def game_names(sources: Sequence[DataFrame], order: list[str]) -> DataFrame:
@@ -37,18 +38,29 @@ def game_names(sources: Sequence[DataFrame], order: list[str]) -> DataFrame:
     return first.select(fn.strip_entity_prefix("id").alias("id"), "idLabel", "name")
 
 
+def saved_responses(titles: DataFrame, responses: DataFrame) -> DataFrame:
+    """The rows of `titles` with the `body` saved for their title; titles without one drop out.
+
+    `responses` holds one body per title and is by far the larger side. The titles are staged and
+    measured: if they are small the bodies are not shuffled.
+    """
+    bodies = responses.select("title", "body")
+    titles, few = stage_sized(titles, "titles")
+    if few:
+        return bodies.join(F.broadcast(titles), "title")
+    return spread_join(titles, bodies, "title", "inner", hot_left=hot_values(titles, "title"))
+
+
 def build_game_pages(
     sources: Sequence[DataFrame], responses: DataFrame, order: list[str], engine: str = "native"
 ) -> DataFrame:
     """The game page table with `wikidata_id`.
 
     `sources` are query results (games, series, mapping) and `responses` holds one (title, body) per
-    requested title. A name carries its entity's id along, so the id needs no lookup of its own. The
-    names are measured, and if they are small the bodies are not shuffled.
+    requested title. A name carries its entity's id along, so the id needs no lookup of its own.
     """
     names = game_names(sources, order).select(F.col("name").alias("title"), "id")
-    names = stage_small_side(names, "names")
-    found = responses.select("title", "body").join(names, "title")
+    found = saved_responses(names, responses)
     pages = extract_pages(found.withColumnRenamed("id", "wikidata_id"), "wikidata_id", engine=engine)
     return to_page_table(title_not_null(pages), "games")
 
@@ -70,8 +82,7 @@ def build_nongame_sample(
     games = dedup_any(game_pages.select("page_title"), "page_title")
     titles = main_pages(listing).select("title")
     pool = stage(exclude_known_titles(titles, games, "title", "page_title"), "pool")
-    drawn = stage_small_side(sample_exact(pool, games.count(), "title", seed), "drawn")
-    found = lookup_join(drawn, responses.select("title", "body"), "title", "inner")
+    found = saved_responses(sample_exact(pool, games.count(), "title", seed), responses)
     pages = resolve_redirect_title(title_not_null(extract_pages(found, engine=engine)))
     if recheck:
         pages = exclude_known_titles(dedup_any(pages, "page_title"), games, "page_title")

@@ -39,15 +39,10 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def stage_small_side(df: DataFrame, name: str, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Stage the text table `df`; mark it for broadcast if its measured size is within `limit`.
-
-    This spares a join the shuffle of a much larger other side. Above the limit the join shuffles.
-    """
+def stage_sized(df: DataFrame, name: str, limit: int = BROADCAST_BYTES) -> tuple[DataFrame, bool]:
+    """Stage `df`, and say whether its measured size is within `limit` and thus fit for broadcast."""
     staged = stage(df, name)
-    lengths = [F.coalesce(F.octet_length(c), F.lit(0)) for c in staged.columns]
-    size = F.lit(0)
-    for length in lengths:
-        size = size + length + F.lit(16)
-    measured = staged.agg(F.sum(size)).first()[0] or 0
-    return F.broadcast(staged) if measured <= limit else staged
+    size = F.lit(16)
+    for column in staged.columns:
+        size = size + F.coalesce(F.octet_length(F.col(column).cast("string")), F.lit(0))
+    return staged, (staged.agg(F.sum(size)).first()[0] or 0) <= limit

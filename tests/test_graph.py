@@ -48,6 +48,16 @@ def graph(spark, request):
     return measured
 
 
+@pytest.fixture(params=["few", "many"])
+def sizes(request, monkeypatch):
+    """Run with key sets that count as small, and with ones that count as too large for broadcast."""
+    if request.param == "many":
+        from pagemill.operators import graph as module
+
+        measured = module.stage_sized
+        monkeypatch.setattr(module, "stage_sized", lambda *args: (measured(*args)[0], False))
+
+
 def test_closure_of_a_cycle(graph):
     assert rows_of(op.subclass_closure(graph, "game")) == [("game",), ("jrpg",), ("rpg",)]
     assert rows_of(op.subclass_closure(graph, "book")) == [("book",)]
@@ -68,7 +78,7 @@ def test_optional_values_multiply(spark, graph):
     )
 
 
-def test_articles_and_series(spark, graph):
+def test_articles_and_series(spark, graph, sizes):
     rows = spark.createDataFrame([("e1",), ("e2",), ("e9",)], "id string")
     assert rows_of(op.bgp_join(rows, graph), "id", "article", "name") == [
         ("e1", "a1", "Game one"), ("e2", "a3", "Game two"),
@@ -93,7 +103,7 @@ def test_alternative_labels(graph):
     assert rows_of(op.alt_label_concat(graph, ["en", "fr"])) == [("e1", "a, b"), ("e2", "deux")]
 
 
-def test_games_query(graph):
+def test_games_query(graph, sizes):
     games = rows_of(plans.games_query(graph, "game"))
     one = [
         ("e1", "One", g, p, None, "a, b", "Game one", "a1")
@@ -103,7 +113,7 @@ def test_games_query(graph):
     assert plans.series_query(graph, "book").columns == plans.games_query(graph, "game").columns
 
 
-def test_mapping_query(graph):
+def test_mapping_query(graph, sizes):
     mapped = plans.mapping_query(graph, "game", ["fr", "en"])
     # Two classes and two series give four rows.
     assert rows_of(mapped) == [("e1", "Un", None, None, None, "x", "a1")] * 4

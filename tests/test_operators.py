@@ -87,7 +87,7 @@ def test_exclude_known_titles(spark):
     known = spark.createDataFrame([("b",), (None,), ("b",)], "page_title string")
     left = op.exclude_known_titles(titles, known, "title", "page_title")
     assert rows_of(left) == sorted([("a",), ("a",), ("c",), ("c",), (None,)], key=repr)
-    spread = op.exclude_known_titles(titles, known, "title", "page_title", min_rows=1)
+    spread = op.exclude_known_titles(titles, known, "title", "page_title", limit=0, min_rows=1)
     assert rows_of(spread) == rows_of(left)
 
 
@@ -96,8 +96,8 @@ def test_attach_entity_id(spark):
     entities = spark.createDataFrame(
         [("Q2", "a", 2), ("Q1", "a", 1), ("Q3", None, 0)], "id string, name string, pos int"
     )
-    for min_rows in (1, 100):
-        got = op.attach_entity_id(pages, entities, ["pos"], min_rows=min_rows)
+    for limit in (0, 1000):
+        got = op.attach_entity_id(pages, entities, ["pos"], limit=limit, min_rows=1)
         assert rows_of(got, "page_title", "wikidata_id") == sorted(
             [("a", "Q1"), ("a", "Q1"), ("z", None), (None, None)], key=repr
         )

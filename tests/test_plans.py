@@ -54,7 +54,17 @@ def test_extract_page_info_keeps_failures(responses):
     assert "D" in {r["page_title"] for r in info.collect()}
 
 
-def test_build_game_pages(spark, responses):
+@pytest.fixture(params=["few", "many"])
+def sizes(request, monkeypatch):
+    """Run with titles that count as small, and with ones that count as too many for broadcast."""
+    if request.param == "many":
+        from pagemill.plans import pages as module
+
+        measured = module.stage_sized
+        monkeypatch.setattr(module, "stage_sized", lambda *args: (measured(*args)[0], False))
+
+
+def test_build_game_pages(spark, responses, sizes):
     def source(*rows):
         schema = "id string, idLabel string, name string, pos int"
         prefix = "http://www.wikidata.org/entity/"
@@ -75,7 +85,7 @@ def listing(spark, titles):
                                  "page_id int, title string, ns int, is_redirect boolean")
 
 
-def test_build_nongame_sample(spark, responses):
+def test_build_nongame_sample(spark, responses, sizes):
     games = spark.createDataFrame([("A",), ("A",), ("Z",), ("Y",)], "page_title string")
     sample = plans.build_nongame_sample(listing(spark, "ACNX"), games, responses)
     assert columns(sample.schema) == columns(SAMPLE_PAGE_TABLE)
