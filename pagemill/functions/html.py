@@ -16,11 +16,11 @@ _HELD = {"<": "\u0001", "&": "\u0002"}
 
 # The patterns start with one fixed character, which the matcher looks for before anything else.
 RAW_CONTENT = (
-    r"(?is)<(?:script\b[^>]*>.*?(?:</script\s*>|\z)"
-    r"|style\b[^>]*>.*?(?:</style\s*>|\z)"
+    r"(?is)<(?:script\b[^>]*(?:>|\z).*?(?:</script\s*>|\z)"
+    r"|style\b[^>]*(?:>|\z).*?(?:</style\s*>|\z)"
     r"|!--.*?(?:-->|\z))"
 )
-RAW_TAGS = r"(?is)^<(?:script|style)\b[^>]*>|</(?:script|style)\s*>$"
+RAW_TAGS = r"(?is)^<(?:script|style)\b[^>]*(?:>|\z)|</(?:script|style)\s*>$"
 PARAGRAPH_START = r"(?i)<p(?:[\s/][^>]*)?(?:>|\z)"
 PARAGRAPH_END = r"(?is)</?(?:" + "|".join(PARAGRAPH_BREAKERS) + r")(?:[\s/][^>]*)?(?:>|\z).*\z"
 TAG = r"(?s)<(?:/?[A-Za-z]|[!?])[^>]*(?:>|\z)"

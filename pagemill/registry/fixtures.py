@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +26,7 @@ from pagemill.constants import (
     SUBCLASS_OF,
 )
 from pagemill.operators import union_all_list
-from pagemill.sources import statement, triples_from
+from pagemill.sources import Statement, triples_from
 
 BATCH_ROWS = 500
 
@@ -197,7 +198,7 @@ def page_reply(title: str, html: str) -> str:
     return json.dumps({"parse": parse}, ensure_ascii=False)
 
 
-def triples(spark: SparkSession, sf_dir: str) -> DataFrame:
+def triples(spark: SparkSession, sf_dir: str, build: Callable[..., DataFrame] = triples_from) -> DataFrame:
     """Customers as entities, nations and regions as classes (with a cycle), orders as articles."""
 
     def when(condition: str, value: str) -> Column:
@@ -206,38 +207,38 @@ def triples(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer")
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
     nation_node = F.expr("concat('n', c_nationkey)")
-    entities = triples_from(customer, F.expr("concat('c', c_custkey)"), [
-        statement(INSTANCE_OF, nation_node),
-        statement(INSTANCE_OF, when("c_acctbal > 9000", "'r1'")),
-        statement(GENRE, when("c_acctbal > 0", "concat('m', c_mktsegment)")),
-        statement(GENRE, when("c_acctbal > 5000", "concat('g', c_nationkey)")),
-        statement(PUBLISHER, when("c_acctbal < 4000", "concat('n', c_nationkey)")),
-        statement(RATING, when("c_acctbal > 7000", "concat('e', c_mktsegment)")),
-        statement(SERIES, when("c_acctbal > 3000", "concat('n', c_nationkey)")),
-        statement(SERIES, when("c_acctbal > 8000", "'r0'")),
-        statement(LABEL, "c_name", F.lit("en")),
-        statement(LABEL, when("c_nationkey < 10", "concat('Client ', c_custkey)"), F.lit("fr")),
-        statement(ALT_LABEL, "c_mktsegment", F.lit("en")),
-        statement(ALT_LABEL, when("c_acctbal > 0", "concat('alias ', c_custkey)"), F.lit("en")),
+    entities = build(customer, F.expr("concat('c', c_custkey)"), [
+        Statement(INSTANCE_OF, nation_node),
+        Statement(INSTANCE_OF, when("c_acctbal > 9000", "'r1'")),
+        Statement(GENRE, when("c_acctbal > 0", "concat('m', c_mktsegment)")),
+        Statement(GENRE, when("c_acctbal > 5000", "concat('g', c_nationkey)")),
+        Statement(PUBLISHER, when("c_acctbal < 4000", "concat('n', c_nationkey)")),
+        Statement(RATING, when("c_acctbal > 7000", "concat('e', c_mktsegment)")),
+        Statement(SERIES, when("c_acctbal > 3000", "concat('n', c_nationkey)")),
+        Statement(SERIES, when("c_acctbal > 8000", "'r0'")),
+        Statement(LABEL, "c_name", F.lit("en")),
+        Statement(LABEL, when("c_nationkey < 10", "concat('Client ', c_custkey)"), F.lit("fr")),
+        Statement(ALT_LABEL, "c_mktsegment", F.lit("en")),
+        Statement(ALT_LABEL, when("c_acctbal > 0", "concat('alias ', c_custkey)"), F.lit("en")),
     ])
-    segments = triples_from(
+    segments = build(
         customer.select("c_mktsegment").distinct(), F.expr("concat('m', c_mktsegment)"),
-        [statement(LABEL, "c_mktsegment", F.lit("en"))],
+        [Statement(LABEL, "c_mktsegment", F.lit("en"))],
     )
-    nations = triples_from(nation, F.expr("concat('n', n_nationkey)"), [
-        statement(SUBCLASS_OF, F.expr("concat('r', n_regionkey)")),
-        statement(LABEL, when("n_regionkey <> 2", "n_name"), F.lit("en")),
-        statement(LABEL, when("n_regionkey < 2", "concat('Pays ', n_nationkey)"), F.lit("fr")),
+    nations = build(nation, F.expr("concat('n', n_nationkey)"), [
+        Statement(SUBCLASS_OF, F.expr("concat('r', n_regionkey)")),
+        Statement(LABEL, when("n_regionkey <> 2", "n_name"), F.lit("en")),
+        Statement(LABEL, when("n_regionkey < 2", "concat('Pays ', n_nationkey)"), F.lit("fr")),
     ])
-    regions = triples_from(region, F.expr("concat('r', r_regionkey)"), [
-        statement(SUBCLASS_OF, F.lit("root")), statement(LABEL, "r_name", F.lit("en")),
+    regions = build(region, F.expr("concat('r', r_regionkey)"), [
+        Statement(SUBCLASS_OF, F.lit("root")), Statement(LABEL, "r_name", F.lit("en")),
     ])
-    cycle = triples_from(region.where("r_regionkey = 0"), F.lit("root"), [statement(SUBCLASS_OF, F.lit("r0"))])
-    articles = triples_from(table(spark, sf_dir, "orders"), F.expr("concat('a', o_orderkey)"), [
-        statement(ABOUT, F.expr("concat('c', o_custkey)")),
-        statement(IN_LANGUAGE, F.expr("if(o_orderstatus = 'F', 'fr', 'en')")),
-        statement(NAME, F.expr("concat('Order ', o_orderkey)")),
-        statement(
+    cycle = build(region.where("r_regionkey = 0"), F.lit("root"), [Statement(SUBCLASS_OF, F.lit("r0"))])
+    articles = build(table(spark, sf_dir, "orders"), F.expr("concat('a', o_orderkey)"), [
+        Statement(ABOUT, F.expr("concat('c', o_custkey)")),
+        Statement(IN_LANGUAGE, F.expr("if(o_orderstatus = 'F', 'fr', 'en')")),
+        Statement(NAME, F.expr("concat('Order ', o_orderkey)")),
+        Statement(
             IS_PART_OF, F.expr(f"if(o_orderpriority = '5-LOW', 'https://other.example/', '{ARTICLE_SITE}')")
         ),
     ])

@@ -106,7 +106,7 @@ def _(spark, sf_dir):
     return fx.table(spark, sf_dir, "pages").select("page_id", fn.paragraph_text("html").alias("page_text"))
 
 
-@query("paragraph_text_parser")
+@query("paragraph_text_parser", f"SELECT page_id, {page_text_sql('html')} AS page_text FROM pages")
 def _(spark, sf_dir):
     text = fn.paragraph_text("html", engine="parser")
     return fx.table(spark, sf_dir, "pages").select("page_id", text.alias("page_text"))

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,23 +13,40 @@ from pagemill.functions.text import ColumnLike, _col
 from pagemill.schemas import TRIPLES
 
 
-def statement(predicate: str, value: ColumnLike, lang: ColumnLike | None = None) -> Column:
-    """A (p, o, lang) struct for `triples_from`."""
-    language = F.lit(None).cast("string") if lang is None else _col(lang)
-    return F.struct(
-        F.lit(predicate).alias("p"), _col(value).cast("string").alias("o"), language.alias("lang")
-    )
+class Statement(NamedTuple):
+    """One fact per row: a predicate, the column with its object, and the language of a text."""
+
+    predicate: str
+    value: ColumnLike
+    lang: ColumnLike | None = None
+
+    def columns(self) -> list[Column]:
+        language = F.lit(None).cast("string") if self.lang is None else _col(self.lang)
+        value = _col(self.value).cast("string")
+        return [F.lit(self.predicate).alias("p"), value.alias("o"), language.alias("lang")]
 
 
-def triples_from(df: DataFrame, subject: ColumnLike, statements: list[Column]) -> DataFrame:
+def triples_from(df: DataFrame, subject: ColumnLike, statements: Sequence[Statement]) -> DataFrame:
     """(s, p, o, lang) rows in one scan; a statement whose object is NULL gives no triple."""
+    facts = F.explode(F.array(*[F.struct(*s.columns()) for s in statements]))
     return (
-        df.select(_col(subject).cast("string").alias("s"), F.explode(F.array(*statements)).alias("_t"))
-        .select("s", "_t.p", "_t.o", "_t.lang")
+        df.select(_col(subject).cast("string").alias("s"), facts.alias("_fact"))
+        .select("s", "_fact.p", "_fact.o", "_fact.lang")
         .where(F.col("o").isNotNull())
     )
 
 
+def triple_view(df: DataFrame, subject: ColumnLike, statements: Sequence[Statement]) -> DataFrame:
+    """The same triples with one scan per statement.
+
+    Made for querying without storing them: a pattern on one predicate reads the columns of that
+    statement only, the other scans are pruned from the plan.
+    """
+    node = _col(subject).cast("string").alias("s")
+    parts = [df.select(node, *s.columns()).where(F.col("o").isNotNull()) for s in statements]
+    return reduce(DataFrame.unionAll, parts)
+
+
 def write_triples(triples: DataFrame, path: str) -> None:
     """A triple table partitioned by predicate, so that a pattern reads only its own files.
 

@@ -154,3 +154,11 @@ def test_missing_keys_and_broken_bodies(spark):
         fn.first_redirect_target("parse.redirects"), fn.response_text("parse"), fn.page_id("parse"),
     )
     assert [tuple(r) for r in rows.collect()] == [(True, None, None, None, None)] + [(False,) + (None,) * 4] * 3
+
+
+def test_long_and_broken_markup_takes_linear_time(spark):
+    n = 200_000
+    broken = ["<script " * n, "<p>" + "<a " * n, "<!-- " * n, "<p " * n, "&" * n, "<p>" + "</" * n,
+              "<script>" + "x<y;" * n, "<p>" + "a &amp; " * n, "<style><" * n]
+    texts = apply(spark, fn.paragraph_text, broken)
+    assert [len(t) for t in texts] == [0, 1, 0, 1, 0, 1 + 2 * n, 0, 1 + 4 * n, 0]

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from pagemill import operators as op
 from pagemill import plans
@@ -7,7 +8,7 @@ from pagemill.constants import (
     SUBCLASS_OF,
 )
 from pagemill.schemas import TRIPLES
-from pagemill.sources import read_triples, statement, triples_from, work_path, write_triples
+from pagemill.sources import Statement, read_triples, triple_view, triples_from, work_path, write_triples
 
 
 def rows_of(df, *columns):
@@ -119,16 +120,20 @@ def test_mapping_query(graph, sizes):
     assert rows_of(mapped) == [("e1", "Un", None, None, None, "x", "a1")] * 4
 
 
-def test_triples_from(spark):
+@pytest.mark.parametrize("build", [triples_from, triple_view])
+def test_triples_from_rows(spark, build):
     rows = spark.createDataFrame([(1, "x", None), (2, None, "y")], "id int, a string, b string")
-    made = triples_from(rows, "id", [statement("A", "a"), statement("B", "b", spark_lit("en"))])
+    made = build(rows, "id", [Statement("A", "a"), Statement("B", "b", F.lit("en"))])
+    assert made.columns == ["s", "p", "o", "lang"]
     assert rows_of(made) == [("1", "A", "x", None), ("2", "B", "y", "en")]
 
 
-def spark_lit(value):
-    from pyspark.sql import functions as F
-
-    return F.lit(value)
+def test_views_scan_only_the_wanted_statement(spark, tmp_path):
+    spark.createDataFrame([(1, "x", "y")], "id int, a string, b string").write.parquet(str(tmp_path / "t"))
+    rows = spark.read.parquet(str(tmp_path / "t"))
+    graph = op.TripleGraph(triple_view(rows, "id", [Statement("A", "a"), Statement("B", "b")]))
+    plan = graph.pattern("A", "id", "a")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan and "b#" not in plan.split("Relation")[0]
 
 
 def test_patterns_read_their_own_partition(graph):
