@@ -74,7 +74,15 @@ class TripleGraph:
         nodes, small = stage_sized(nodes.distinct(), "nodes", limit)
         if not small:
             return self
-        return TripleGraph(self.triples.join(F.broadcast(nodes), "s", "left_semi"), self.hot)
+        # A hot subject has to occur in its pattern, so only those that are left stay hot.
+        subjects = {v for (_, side), values in self.hot.items() if side == "s" for v in values}
+        left = nodes.where(F.col("s").isin(list(subjects))).collect() if subjects else []
+        kept = {row["s"] for row in left}
+        hot = {
+            (predicate, side): [v for v in values if side == "o" or v in kept]
+            for (predicate, side), values in self.hot.items()
+        }
+        return TripleGraph(self.triples.join(F.broadcast(nodes), "s", "left_semi"), hot)
 
     def hot_subjects(self, predicate: str) -> list:
         return self.hot.get((predicate, "s"), [])

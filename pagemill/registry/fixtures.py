@@ -26,7 +26,7 @@ from pagemill.constants import (
     SUBCLASS_OF,
 )
 from pagemill.operators import union_all_list
-from pagemill.sources import Statement, triples_from
+from pagemill.sources import Statement, spread_few_splits, triples_from
 
 BATCH_ROWS = 500
 
@@ -35,6 +35,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def page_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages, spread over the cores where they come in few splits."""
+    return spread_few_splits(table(spark, sf_dir, "pages"))
+
+
 def title_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(p_partkey, value): `key; name` lines, some with a tail, blanks or no separator at all."""
     line = F.expr(
@@ -122,7 +127,7 @@ def responses(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
 
     Pages with a query string or a fragment are disambiguation pages, `http:` pages redirects.
     """
-    pages = table(spark, sf_dir, "pages")
+    pages = page_table(spark, sf_dir)
     listed, plain = DISAMBIGUATION_CATEGORIES[1], DISAMBIGUATION_CATEGORIES[0]
 
     def category(name: Column, hidden: bool = False) -> Column:

@@ -189,13 +189,10 @@ def _(spark, sf_dir):
     return files.groupBy(kind).agg((F.min("length") > 0).alias("has_content"))
 
 
-@query(
-    "ingest_batches",
-    f"{PAGE_LISTING}",
-)
+@query("ingest_batches", PAGE_LISTING)
 def _(spark, sf_dir):
     root = src.work_path(spark, "ingest")
-    fx.page_batches(spark, sf_dir).select("body").repartition(4).write.text(f"{root}/in")
+    fx.page_batches(spark, sf_dir).select("body").write.text(f"{root}/in")
     ingest_batches(spark, f"{root}/in", f"{root}/out", f"{root}/state")
     return spark.read.schema("page_id bigint, title string").parquet(f"{root}/out")
 

@@ -103,18 +103,18 @@ def _lists(df):
 
 @query("paragraph_text", f"SELECT page_id, {page_text_sql('html')} AS page_text FROM pages")
 def _(spark, sf_dir):
-    return fx.table(spark, sf_dir, "pages").select("page_id", fn.paragraph_text("html").alias("page_text"))
+    return fx.page_table(spark, sf_dir).select("page_id", fn.paragraph_text("html").alias("page_text"))
 
 
 @query("paragraph_text_parser", f"SELECT page_id, {page_text_sql('html')} AS page_text FROM pages")
 def _(spark, sf_dir):
     text = fn.paragraph_text("html", engine="parser")
-    return fx.table(spark, sf_dir, "pages").select("page_id", text.alias("page_text"))
+    return fx.page_table(spark, sf_dir).select("page_id", text.alias("page_text"))
 
 
 @query("decode_entities", f"SELECT page_id, {decoded_sql('html')} AS html FROM pages")
 def _(spark, sf_dir):
-    return fx.table(spark, sf_dir, "pages").select("page_id", fn.decode_entities("html").alias("html"))
+    return fx.page_table(spark, sf_dir).select("page_id", fn.decode_entities("html").alias("html"))
 
 
 @query("load_parse_responses", f"SELECT url AS title, {WHOLE} AS found, CASE WHEN {WHOLE} THEN {TARGET} END AS resolved FROM pages")
@@ -254,7 +254,7 @@ def _get(url: str) -> str:
     " CASE WHEN contains(url, '#') THEN 'ValueError: no fragment allowed: ' || url END AS error FROM pages",
 )
 def _(spark, sf_dir):
-    return src.fetch_map(fx.table(spark, sf_dir, "pages"), "url", _get, chunks=8)
+    return src.fetch_map(fx.page_table(spark, sf_dir), "url", _get)
 
 
 @query(
@@ -267,7 +267,7 @@ def _(spark, sf_dir):
         fx.page_reply(url, html)
         return html
 
-    fetched = src.fetch_map(fx.table(spark, sf_dir, "pages"), "url", reply, inputs=("html",))
+    fetched = src.fetch_map(fx.page_table(spark, sf_dir), "url", reply, inputs=("html",))
     return plans.content_lengths(fetched)
 
 
@@ -278,5 +278,5 @@ def _(spark, sf_dir):
     f" CAST(NULL AS VARCHAR) AS redirects_page FROM pages WHERE {WHOLE} AND NOT contains(url, '?')",
 )
 def _(spark, sf_dir):
-    lines = fx.table(spark, sf_dir, "pages").select(fn.format_line("page_id", "url").alias("value"), "html")
-    return _lists(plans.build_pages_chunked(lines, fx.page_reply, chunks=8, inputs=("html",)))
+    lines = fx.page_table(spark, sf_dir).select(fn.format_line("page_id", "url").alias("value"), "html")
+    return _lists(plans.build_pages_chunked(lines, fx.page_reply, inputs=("html",)))

@@ -25,7 +25,13 @@ from pagemill.sources.listings import (
     write_delimited,
 )
 from pagemill.sources.responses import load_parse_responses, load_parsed_pages
-from pagemill.sources.storage import shared_root, stage, stage_sized, work_path
+from pagemill.sources.storage import (
+    shared_root,
+    spread_few_splits,
+    stage,
+    stage_sized,
+    work_path,
+)
 from pagemill.sources.triples import (
     Statement,
     read_triples,
@@ -39,6 +45,7 @@ __all__ = [
     "load_category_listing", "load_page_listing", "load_parse_responses", "load_parsed_pages",
     "parse_list_columns", "parse_listing_batches", "query_result_columns", "read_category_list",
     "read_lines", "read_listing_batches", "read_page_csv", "read_query_result", "read_title_list", "read_triples",
-    "records_to_table", "shared_root", "stage", "stage_sized", "to_delimited", "triple_view", "triples_from",
+    "records_to_table", "shared_root", "spread_few_splits", "stage", "stage_sized", "to_delimited",
+    "triple_view", "triples_from",
     "work_path", "write_csv_with_lists", "write_delimited", "write_table", "write_triples",
 ]

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Largest side, in bytes of text, that is copied to every executor.
-BROADCAST_BYTES = 128 * 1024 * 1024
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -46,3 +46,13 @@ def stage_sized(df: DataFrame, name: str, limit: int = BROADCAST_BYTES) -> tuple
     for column in staged.columns:
         size = size + F.coalesce(F.octet_length(F.col(column).cast("string")), F.lit(0))
     return staged, (staged.agg(F.sum(size)).first()[0] or 0) <= limit
+
+
+def spread_few_splits(table: DataFrame, tasks: int | None = None) -> DataFrame:
+    """Spread a table that is read in fewer splits than there are cores, before costly row work.
+
+    For a plain scan, such as one small file of large pages. A table with enough splits is returned
+    as it is, without a shuffle.
+    """
+    tasks = tasks or table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(tasks) if table.rdd.getNumPartitions() < tasks else table

@@ -79,6 +79,15 @@ def test_optional_values_multiply(spark, graph):
     )
 
 
+def test_rows_outside_a_restricted_graph_stay(spark, graph):
+    few = spark.createDataFrame([("e2",)], "id string")
+    rows = spark.createDataFrame([("e1",), ("e2",)], "id string")
+    near = graph.within(few, "id")
+    assert rows_of(near.triples, "s") == [(s,) for s in ("e2", "e2")]
+    assert rows_of(op.optional_match(rows, near, GENRE, "genre")) == [("e1", None), ("e2", None)]
+    assert graph.within(few, "id", limit=0) is graph
+
+
 def test_articles_and_series(spark, graph, sizes):
     rows = spark.createDataFrame([("e1",), ("e2",), ("e9",)], "id string")
     assert rows_of(op.bgp_join(rows, graph), "id", "article", "name") == [
