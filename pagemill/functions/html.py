@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from pagemill.constants import PARAGRAPH_BREAKERS
-from pagemill.functions.text import ColumnLike, _col, newline_to_dot
+from pagemill.functions.text import ColumnLike, as_column, newline_to_dot
 
 # Stand-ins for `<` and `&` inside script and style content, which is plain text and not markup.
 _HELD = {"<": "\u0001", "&": "\u0002"}
@@ -44,7 +44,7 @@ def decode_entities(text: ColumnLike) -> Column:
     # One constant, which is folded into a map literal once per query.
     names = F.from_json(F.lit(json.dumps(NAMED_CHARACTERS)), "map<string,string>")
     pieces = F.transform(
-        F.split(_col(text), "&"),
+        F.split(as_column(text), "&"),
         lambda piece: F.struct(
             piece.alias("piece"), F.regexp_extract(piece, REFERENCE, 1).alias("reference")
         ),
@@ -78,7 +78,7 @@ def _exchanged(text: Column, pairs: dict[str, str]) -> Column:
 
 def hold_raw_content(html: ColumnLike) -> Column:
     """Drop comments and turn script and style elements into text that holds no markup."""
-    html = _col(html)
+    html = as_column(html)
     for stand_in in _HELD.values():
         html = F.replace(html, F.lit(stand_in), F.lit(""))
     between = F.split(html, RAW_CONTENT)
@@ -97,7 +97,7 @@ def hold_raw_content(html: ColumnLike) -> Column:
 
 
 def strip_tags(text: ColumnLike) -> Column:
-    return F.regexp_replace(_col(text), TAG, "")
+    return F.regexp_replace(as_column(text), TAG, "")
 
 
 def paragraph_text(html: ColumnLike, engine: str = "native") -> Column:
@@ -110,7 +110,7 @@ def paragraph_text(html: ColumnLike, engine: str = "native") -> Column:
     if engine == "parser":
         from pagemill.functions.html_parser import paragraph_text_udf
 
-        return paragraph_text_udf(_col(html))
+        return paragraph_text_udf(as_column(html))
     if engine != "native":
         raise ValueError(f"unknown engine: {engine}")
     # Every step uses the one before it once: a repeated input would be computed again.

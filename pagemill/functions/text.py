@@ -10,13 +10,13 @@ from pagemill.constants import CATEGORY_SEPARATOR, ENTITY_PREFIX, TITLE_SEPARATO
 ColumnLike = Column | str
 
 
-def _col(value: ColumnLike) -> Column:
+def as_column(value: ColumnLike) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
 def strip_blanks(text: ColumnLike) -> Column:
     """Remove Unicode white space at both ends."""
-    return F.regexp_replace(_col(text), r"^(?U)\s+|(?U)\s+$", "")
+    return F.regexp_replace(as_column(text), r"^(?U)\s+|(?U)\s+$", "")
 
 
 def title_from_line(line: ColumnLike, keep_rest: bool = False) -> Column:
@@ -24,7 +24,7 @@ def title_from_line(line: ColumnLike, keep_rest: bool = False) -> Column:
 
     A second separator cuts the title unless `keep_rest` is set.
     """
-    fields = F.split(_col(line), TITLE_SEPARATOR, 2 if keep_rest else -1)
+    fields = F.split(as_column(line), TITLE_SEPARATOR, 2 if keep_rest else -1)
     return strip_blanks(F.get(fields, F.lit(1)))
 
 
@@ -33,7 +33,7 @@ def category_fields(line: ColumnLike, keep_rest: bool = False) -> Column:
 
     Lines hold size, pages, files, subcategories, title; counts that are not numbers become NULL.
     """
-    fields = F.split(_col(line), CATEGORY_SEPARATOR, 5 if keep_rest else -1)
+    fields = F.split(as_column(line), CATEGORY_SEPARATOR, 5 if keep_rest else -1)
 
     def count(position: int) -> Column:
         return strip_blanks(F.get(fields, F.lit(position))).try_cast("int")
@@ -49,7 +49,7 @@ def category_fields(line: ColumnLike, keep_rest: bool = False) -> Column:
 
 def format_line(*columns: ColumnLike, sep: str = TITLE_SEPARATOR) -> Column:
     """Join the values into one delimited line. NULLs are written as empty fields."""
-    return F.concat_ws(sep, *[F.coalesce(_col(c).cast("string"), F.lit("")) for c in columns])
+    return F.concat_ws(sep, *[F.coalesce(as_column(c).cast("string"), F.lit("")) for c in columns])
 
 
 def parse_list_literal(text: ColumnLike) -> Column:
@@ -58,7 +58,7 @@ def parse_list_literal(text: ColumnLike) -> Column:
     Drops the outer brackets and every single quote, then splits on comma and blank. It keeps the
     known losses of that encoding: `[]` gives one empty string and commas inside items split them.
     """
-    return F.split(F.regexp_replace(_col(text), r"(^\[)|(\]$)|(')", ""), ", ")
+    return F.split(F.regexp_replace(as_column(text), r"(^\[)|(\]$)|(')", ""), ", ")
 
 
 def _quoted(item: Column) -> Column:
@@ -72,22 +72,22 @@ def _quoted(item: Column) -> Column:
 
 def to_list_literal(items: ColumnLike) -> Column:
     """List-literal text of an array, with the quoting rules of Python's `repr`."""
-    quoted = F.transform(_col(items), lambda item: F.coalesce(_quoted(item), F.lit("None")))
+    quoted = F.transform(as_column(items), lambda item: F.coalesce(_quoted(item), F.lit("None")))
     return F.concat(F.lit("["), F.array_join(quoted, ", "), F.lit("]"))
 
 
 def newline_to_dot(text: ColumnLike) -> Column:
-    return F.replace(_col(text), F.lit("\n"), F.lit("."))
+    return F.replace(as_column(text), F.lit("\n"), F.lit("."))
 
 
 def strip_entity_prefix(identifier: ColumnLike, prefix: str = ENTITY_PREFIX) -> Column:
     """Remove the entity namespace wherever it occurs in the identifier."""
-    return F.replace(_col(identifier), F.lit(prefix), F.lit(""))
+    return F.replace(as_column(identifier), F.lit(prefix), F.lit(""))
 
 
 def content_length(body: ColumnLike) -> Column:
     """Number of characters of a body."""
-    return F.length(_col(body)).cast("bigint")
+    return F.length(as_column(body)).cast("bigint")
 
 
 def cast_int(text: ColumnLike) -> Column:
@@ -96,8 +96,8 @@ def cast_int(text: ColumnLike) -> Column:
 
 
 def cast_string(value: ColumnLike) -> Column:
-    return _col(value).cast("string")
+    return as_column(value).cast("string")
 
 
 def square(value: ColumnLike) -> Column:
-    return _col(value) * _col(value)
+    return as_column(value) * as_column(value)

@@ -79,7 +79,7 @@ def build_nongame_sample(
     are drawn. After extraction redirected pages take their target's title, which may bring titles
     back that repeat or are games; `recheck` removes those.
     """
-    games = dedup_any(game_pages.select("page_title"), "page_title")
+    games = stage(dedup_any(game_pages.select("page_title"), "page_title"), "games")
     titles = main_pages(listing).select("title")
     pool = stage(exclude_known_titles(titles, games, "title", "page_title"), "pool")
     found = saved_responses(sample_exact(pool, games.count(), "title", seed), responses)

@@ -7,6 +7,7 @@ from pagemill import plans
 from pagemill import sources as src
 from pagemill.constants import (
     ABOUT,
+    ARTICLE_SITE,
     GENRE,
     INSTANCE_OF,
     NAME,
@@ -18,7 +19,7 @@ from pagemill.constants import (
 from pagemill.registry import fixtures as fx
 from pagemill.registry.base import query
 
-TRIPLES = """
+TRIPLES = f"""
     SELECT 'c' || c_custkey AS s, 'P31' AS p, 'n' || c_nationkey AS o, CAST(NULL AS VARCHAR) AS lang FROM customer
     UNION ALL SELECT 'c' || c_custkey, 'P31', 'r1', NULL FROM customer WHERE c_acctbal > 9000
     UNION ALL SELECT 'c' || c_custkey, 'P136', 'm' || c_mktsegment, NULL FROM customer WHERE c_acctbal > 0
@@ -43,7 +44,7 @@ TRIPLES = """
         FROM orders
     UNION ALL SELECT 'a' || o_orderkey, 'schema:name', 'Order ' || o_orderkey, NULL FROM orders
     UNION ALL SELECT 'a' || o_orderkey, 'schema:isPartOf', CASE o_orderpriority WHEN '5-LOW'
-        THEN 'https://other.example/' ELSE 'https://en.wikipedia.org/' END, NULL FROM orders"""
+        THEN 'https://other.example/' ELSE '{ARTICLE_SITE}' END, NULL FROM orders"""
 
 
 def with_sql(target: str, body: str) -> str:
@@ -57,7 +58,7 @@ INSTANCES = "SELECT t.s AS id FROM t WHERE t.p = 'P31' AND t.o IN (SELECT node F
 ARTICLES = (
     "SELECT s AS article, o AS id FROM t WHERE p = 'schema:about'"
     " AND s IN (SELECT s FROM t WHERE p = 'schema:inLanguage' AND o = 'en')"
-    " AND s IN (SELECT s FROM t WHERE p = 'schema:isPartOf' AND o = 'https://en.wikipedia.org/')"
+    f" AND s IN (SELECT s FROM t WHERE p = 'schema:isPartOf' AND o = '{ARTICLE_SITE}')"
 )
 ALT_LABELS = (
     "SELECT s AS id, array_to_string(list_sort(list(DISTINCT o)), ', ') AS idAltLabel FROM t"

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pagemill import functions as fn
 from pagemill import operators as op
 from pagemill import sources as src
+from pagemill.constants import ENTITY_PREFIX
 from pagemill.plans import build_category_table
 from pagemill.registry import fixtures as fx
 from pagemill.registry.base import joined_lists, query
@@ -99,13 +100,13 @@ def _(spark, sf_dir):
 
 @query(
     "read_query_result",
-    "SELECT 'http://www.wikidata.org/entity/Q' || c_custkey AS id, c_name || ', \"' || c_mktsegment || '\"'"
+    f"SELECT '{ENTITY_PREFIX}Q' || c_custkey AS id, c_name || ', \"' || c_mktsegment || '\"'"
     " AS idLabel, CASE WHEN c_acctbal > 0 THEN c_mktsegment || ' ' || c_nationkey END AS name FROM customer",
 )
 def _(spark, sf_dir):
     path = src.work_path(spark, "query")
     rows = fx.table(spark, sf_dir, "customer").selectExpr(
-        "concat('http://www.wikidata.org/entity/Q', c_custkey) as id",
+        f"concat('{ENTITY_PREFIX}', 'Q', c_custkey) as id",
         "concat(c_name, ', \"', c_mktsegment, '\"') as idLabel", "c_name as genreLabel",
         "case when c_acctbal > 0 then concat(c_mktsegment, ' ', c_nationkey) end as name",
     )

@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from pagemill import functions as fn
 from pagemill import operators as op
+from pagemill.constants import ENTITY_PREFIX
 from pagemill.plans import game_names
 from pagemill.registry import fixtures as fx
 from pagemill.registry.base import query
 
-PREFIX = "'http://www.wikidata.org/entity/Q'"
+PREFIX = f"'{ENTITY_PREFIX}Q'"
 SOURCES = f"""
     SELECT 0 AS source_rank, {PREFIX} || o_orderkey AS id, o_orderpriority AS idLabel,
         CASE WHEN o_orderpriority <> '5-LOW' THEN CAST(o_custkey AS VARCHAR) END AS name, o_orderkey AS pos
@@ -60,7 +61,7 @@ def _(spark, sf_dir):
 
 @query(
     "game_names",
-    f"SELECT replace(id, 'http://www.wikidata.org/entity/', '') AS id, idLabel, name FROM ({FIRST})"
+    f"SELECT replace(id, '{ENTITY_PREFIX}', '') AS id, idLabel, name FROM ({FIRST})"
     " WHERE name IS NOT NULL",
 )
 def _(spark, sf_dir):
@@ -69,7 +70,7 @@ def _(spark, sf_dir):
 
 @query(
     "strip_entity_prefix",
-    f"SELECT replace(id, 'http://www.wikidata.org/entity/', '') AS id, pos FROM ({SOURCES})",
+    f"SELECT replace(id, '{ENTITY_PREFIX}', '') AS id, pos FROM ({SOURCES})",
 )
 def _(spark, sf_dir):
     rows = op.append_by_name(fx.name_sources(spark, sf_dir))

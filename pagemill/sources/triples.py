@@ -9,7 +9,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.functions.text import ColumnLike, _col
+from pagemill.functions.text import ColumnLike, as_column
 from pagemill.schemas import TRIPLES
 
 
@@ -21,8 +21,8 @@ class Statement(NamedTuple):
     lang: ColumnLike | None = None
 
     def columns(self) -> list[Column]:
-        language = F.lit(None).cast("string") if self.lang is None else _col(self.lang)
-        value = _col(self.value).cast("string")
+        language = F.lit(None).cast("string") if self.lang is None else as_column(self.lang)
+        value = as_column(self.value).cast("string")
         return [F.lit(self.predicate).alias("p"), value.alias("o"), language.alias("lang")]
 
 
@@ -30,7 +30,7 @@ def triples_from(df: DataFrame, subject: ColumnLike, statements: Sequence[Statem
     """(s, p, o, lang) rows in one scan; a statement whose object is NULL gives no triple."""
     facts = F.explode(F.array(*[F.struct(*s.columns()) for s in statements]))
     return (
-        df.select(_col(subject).cast("string").alias("s"), facts.alias("_fact"))
+        df.select(as_column(subject).cast("string").alias("s"), facts.alias("_fact"))
         .select("s", "_fact.p", "_fact.o", "_fact.lang")
         .where(F.col("o").isNotNull())
     )
@@ -42,7 +42,7 @@ def triple_view(df: DataFrame, subject: ColumnLike, statements: Sequence[Stateme
     Made for querying without storing them: a pattern on one predicate reads the columns of that
     statement only, the other scans are pruned from the plan.
     """
-    node = _col(subject).cast("string").alias("s")
+    node = as_column(subject).cast("string").alias("s")
     parts = [df.select(node, *s.columns()).where(F.col("o").isNotNull()) for s in statements]
     return reduce(DataFrame.unionAll, parts)
 

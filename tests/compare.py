@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import glob
+import io
 import os
 import sys
 import time
@@ -18,6 +20,14 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return connection
 
 
+def plan_text(frame) -> str:
+    """The physical plan as text."""
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        frame.explain()
+    return text.getvalue()
+
+
 def table_rows(columns: list[str], rows: list[tuple]) -> list[str]:
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     return sorted(repr(tuple(row[i] for i in order)) for row in rows)

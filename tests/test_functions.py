@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pagemill import functions as fn
+from pagemill.constants import ENTITY_PREFIX
 from pagemill.functions.html_parser import text_of_paragraphs
 from pagemill.schemas import PARSE_RESPONSE
 
@@ -55,7 +56,7 @@ def test_literal_round_trip_for_plain_items(spark):
 
 
 def test_entity_prefix_and_newlines(spark):
-    ids = ["http://www.wikidata.org/entity/Q42", "Q1", None]
+    ids = [ENTITY_PREFIX + "Q42", "Q1", None]
     assert apply(spark, fn.strip_entity_prefix, ids) == ["Q42", "Q1", None]
     assert apply(spark, fn.newline_to_dot, ["a\nb\n", "", None]) == ["a.b.", "", None]
 

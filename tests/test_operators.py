@@ -3,6 +3,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from compare import plan_text
+
 from pagemill import operators as op
 from pagemill.functions import parse_list_literal
 
@@ -27,7 +29,7 @@ def test_keep_first(spark):
 
 def test_keep_first_combines_before_the_shuffle(spark):
     rows = spark.range(10).selectExpr("id % 3 as name", "id as pos", "cast(id as string) as v")
-    plan = op.dedup_keep_first(rows, "name", ["pos"])._jdf.queryExecution().executedPlan().toString()
+    plan = plan_text(op.dedup_keep_first(rows, "name", ["pos"]))
     assert "partial_min_by" in plan and "Window" not in plan
 
 

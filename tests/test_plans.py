@@ -2,7 +2,11 @@ import json
 
 import pytest
 
+from compare import plan_text
+
 from pagemill import plans
+from pagemill import sources as src
+from pagemill.constants import ENTITY_PREFIX
 from pagemill.schemas import CATEGORY_TABLE, GAME_PAGE_TABLE, PAGE_TABLE, RESPONSES, SAMPLE_PAGE_TABLE
 
 
@@ -42,7 +46,7 @@ def test_extract_pages(responses):
 
 def test_bodies_are_decoded_once(responses):
     for frame in (plans.extract_pages(responses, without_disambiguation=True), plans.extract_page_info(responses)):
-        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        plan = plan_text(frame)
         assert plan.count("from_json(") == 1
 
 
@@ -67,8 +71,7 @@ def sizes(request, monkeypatch):
 def test_build_game_pages(spark, responses, sizes):
     def source(*rows):
         schema = "id string, idLabel string, name string, pos int"
-        prefix = "http://www.wikidata.org/entity/"
-        return spark.createDataFrame([(prefix + i, None, n, p) for i, n, p in rows], schema)
+        return spark.createDataFrame([(ENTITY_PREFIX + i, None, n, p) for i, n, p in rows], schema)
 
     games = source(("Q2", "A", 1), ("Q1", "A", 0), ("Q9", None, 2), ("Q5", "B", 3))
     series = source(("Q3", "C", 0), ("Q4", "A", 0))
@@ -79,6 +82,20 @@ def test_build_game_pages(spark, responses, sizes):
     assert found == [("A", "Q1"), ("C", "Q3")]
 
 
+def test_game_pages_from_saved_queries(spark, responses, tmp_path):
+    """The first row in the order of the files wins, and a query without names adds nothing."""
+    (tmp_path / "games.csv").write_text(
+        "id,idLabel,genreLabel,name\n" + "".join(f"{ENTITY_PREFIX}Q{i},l,g,A\n" for i in range(50, 0, -1))
+    )
+    (tmp_path / "series.csv").write_text(f'id,idLabel,name\n{ENTITY_PREFIX}Q99,"a, b",A\n{ENTITY_PREFIX}Q98,,C\n')
+    (tmp_path / "mapping.csv").write_text(f"id,idLabel,article\n{ENTITY_PREFIX}Q97,l,x\n")
+    sources = [
+        src.read_query_result(spark, str(tmp_path / f"{n}.csv"), ordered=True) for n in ("games", "series", "mapping")
+    ]
+    pages = plans.build_game_pages(sources, responses, list(src.FILE_ORDER))
+    assert sorted((r["page_title"], r["wikidata_id"]) for r in pages.collect()) == [("A", "Q50"), ("C", "Q98")]
+
+
 def listing(spark, titles):
     rows = [(i, t, 0, False) for i, t in enumerate(titles)]
     return spark.createDataFrame([*rows, (90, "ns", 1, False), (91, "r", 0, True)],

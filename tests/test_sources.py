@@ -3,6 +3,8 @@ import json
 import pytest
 from pyspark.errors import AnalysisException
 
+from compare import plan_text
+
 from pagemill import operators as op
 from pagemill import sources as src
 from pagemill.schemas import CATEGORY_TABLE, PAGE_TABLE
@@ -148,7 +150,7 @@ def test_list_files(spark, tmp_path):
     files = src.list_files(spark, str(tmp_path))
     names = sorted(r["path"].rsplit("/", 1)[1] for r in files.collect())
     assert names == ["a.jpg", "c.jpg"] and {r["length"] for r in files.collect()} == {5}
-    plan = files._jdf.queryExecution().executedPlan().toString()
+    plan = plan_text(files)
     assert "content" not in plan
 
 
