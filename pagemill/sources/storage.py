@@ -19,9 +19,8 @@ def shared_root(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="pagemill-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="pagemill-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def work_path(spark: SparkSession, name: str) -> str:

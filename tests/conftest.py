@@ -2,7 +2,6 @@ from __future__ import annotations
 
 import os
 import sys
-import tempfile
 
 import pytest
 from pyspark.sql import SparkSession
@@ -20,8 +19,6 @@ def session() -> SparkSession:
         .config("spark.driver.memory", "8g")
     )
     spark = builder.getOrCreate()
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="pagemill-"))
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 

@@ -180,4 +180,32 @@ def test_stage_and_size_check(spark):
     assert fits and not too_large
     assert rows_of(small) == rows_of(large) == rows_of(df)
     assert src.stage_sized(df.limit(0), "empty", limit=0)[1]
-    assert src.shared_root(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+
+
+def test_shared_folder(spark, monkeypatch):
+    root = src.shared_root(spark)
+    assert root and src.shared_root(spark) == root
+    assert src.work_path(spark, "x").startswith(root) and src.work_path(spark, "x") != src.work_path(spark, "x")
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    assert configured is None or root == configured.rstrip("/")
+
+
+class Unset:
+    """A session without a configured folder."""
+
+    def __init__(self, master):
+        self.conf, self.sparkContext = {}, self
+        self.master, self.folder = master, None
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+def test_no_local_folder_on_a_cluster():
+    local = Unset("local[2]")
+    assert src.shared_root(local) == src.shared_root(local) == local.folder
+    with pytest.raises(RuntimeError):
+        src.shared_root(Unset("spark://host"))
