@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pagemill.llm.bpe_codec import op8_bpe_codec
 from pagemill.llm.token_counts import op4_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_counts": op4_token_counts,
+    "op8_bpe_codec": op8_bpe_codec,
 }
 
 ORACLES: dict[str, str] = {}

@@ -7,7 +7,6 @@ import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,6 +48,14 @@ TOKEN_LIMIT = 512
 SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64())])
 
 
+def is_latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 class PieceCounts(dict):
     """Tokens by piece. A piece not seen yet is merged; common ones are remembered."""
 
@@ -71,10 +78,13 @@ class TextCounter:
 
     _made: dict[int, TextCounter] = {}
 
-    def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary = vocabulary
+    def __init__(self, vocabulary: Vocabulary, content: bytes):
+        from tokenizers import Tokenizer
+
         self.counts = PieceCounts(vocabulary)
-        self.pieces = regex.compile(PIECES)
+        # Only its cutting rule is used, for characters beyond Latin-1: classes of rare characters
+        # differ from one edition of the character tables to the next.
+        self.cutter = Tokenizer.from_buffer(content).pre_tokenizer
         self.latin_pieces = latin_pattern(PIECES)
         self.specials = re.compile("|".join(map(re.escape, vocabulary.specials)) or r"(?!)")
 
@@ -83,25 +93,23 @@ class TextCounter:
         vocabulary = parse_vocabulary(content)
         if id(vocabulary) not in cls._made:
             cls._made.clear()
-            cls._made[id(vocabulary)] = cls(vocabulary)
+            cls._made[id(vocabulary)] = cls(vocabulary, content)
         return cls._made[id(vocabulary)]
 
     def count(self, text: str) -> int:
-        try:
-            text.encode("latin-1")
-            pieces = self.latin_pieces
-        except UnicodeEncodeError:
-            pieces = self.pieces
         total, start = 0, 0
         for special in self.specials.finditer(text):
-            total += self._between(text[start : special.start()], pieces) + 1
+            total += self._between(text[start : special.start()]) + 1
             start = special.end()
-        return total + self._between(text[start:], pieces)
+        return total + self._between(text[start:])
 
-    def _between(self, text: str, pieces) -> int:
+    def _between(self, text: str) -> int:
+        count = self.counts.__getitem__
+        if not is_latin(text):
+            return sum(count(text[a:b]) for _, (a, b) in self.cutter.pre_tokenize_str(text))
         if len(text) > LISTED_CHARS:
-            return sum(self.counts[m.group()] for m in pieces.finditer(text))
-        return sum(map(self.counts.__getitem__, pieces.findall(text)))
+            return sum(count(m.group()) for m in self.latin_pieces.finditer(text))
+        return sum(map(count, self.latin_pieces.findall(text)))
 
 
 def token_counts(documents: DataFrame, vocabulary_path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
