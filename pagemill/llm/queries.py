@@ -7,11 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pagemill.llm.bpe_codec import op8_bpe_codec
+from pagemill.llm.chat_format import OP9_SQL, op9_chat_format
 from pagemill.llm.token_counts import op4_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_counts": op4_token_counts,
     "op8_bpe_codec": op8_bpe_codec,
+    "op9_chat_format": op9_chat_format,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op9_chat_format": OP9_SQL,
+}
