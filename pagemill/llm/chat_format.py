@@ -24,6 +24,8 @@ LEARNED_ROLE = "assistant"
 # Fixed value: the pattern by which the vocabulary's encoder cuts text before merging.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+BLANK_RUN = re.compile(r"\s{10000}")
+
 
 class Escape:
     """Puts a backslash behind the first character of every control string, reversibly.
@@ -69,7 +71,12 @@ class Coder:
         return cls._made[key]
 
     def encode(self, text: str) -> list[int]:
-        return self.encoding.encode_ordinary(text)
+        """Tokens of the text. Very long blank runs, which the library cannot take, are cut."""
+        ids, start = [], 0
+        for blank in BLANK_RUN.finditer(text):
+            ids += self.encoding.encode_ordinary(text[start : blank.end()])
+            start = blank.end()
+        return ids + self.encoding.encode_ordinary(text[start:])
 
     def decode(self, ids) -> str:
         return self.encoding.decode_bytes(ids).decode("utf-8", "replace")
