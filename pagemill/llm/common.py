@@ -21,6 +21,13 @@ LOWER_ALNUM = bytes(
 )
 
 
+# The same words in SQL.
+WORDS_SQL = (
+    r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),"
+    r" '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm.common import alnum_words, batched, bytes_of, id_and_bytes, pairs_of, read_table
+from pagemill.llm.common import WORDS_SQL, alnum_words, batched, bytes_of, id_and_bytes, pairs_of, read_table
 
 # Words of a window; an item with fewer, but not none, is one window.
 WINDOW = 10
@@ -184,10 +184,6 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 EMPTY_SHA256 = hashlib.sha256(b"").hexdigest()
-WORDS_SQL = (
-    r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),"
-    r" '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
-)
 OP5_SQL = f"""
     WITH d AS MATERIALIZED (
         SELECT doc_id, CASE WHEN text IS NULL THEN [] ELSE {WORDS_SQL.format("text")} END AS w FROM documents

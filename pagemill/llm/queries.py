@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pagemill.llm.bpe_codec import op8_bpe_codec
 from pagemill.llm.chat_format import OP9_SQL, op9_chat_format
 from pagemill.llm.decontaminate import OP5_SQL, op5_decontaminate
+from pagemill.llm.licenses import op2_license_scan, op2_sql
 from pagemill.llm.sharding import op10_sharding
 from pagemill.llm.token_counts import op4_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_license_scan": op2_license_scan,
     "op4_token_counts": op4_token_counts,
     "op5_decontaminate": op5_decontaminate,
     "op8_bpe_codec": op8_bpe_codec,
@@ -21,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op2_license_scan": op2_sql(),
     "op5_decontaminate": OP5_SQL,
     "op9_chat_format": OP9_SQL,
 }
