@@ -11,6 +11,7 @@ from pagemill.llm.chat_format import OP9_SQL, op9_chat_format
 from pagemill.llm.decontaminate import OP5_SQL, op5_decontaminate
 from pagemill.llm.licenses import op2_license_scan, op2_sql
 from pagemill.llm.ngram_join import op1_ngram_join
+from pagemill.llm.quality import op6_quality_rules
 from pagemill.llm.sentence_dedup import op7_sentence_dedup
 from pagemill.llm.sharding import op10_sharding
 from pagemill.llm.token_counts import op4_token_counts
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_license_scan": op2_license_scan,
     "op4_token_counts": op4_token_counts,
     "op5_decontaminate": op5_decontaminate,
+    "op6_quality_rules": op6_quality_rules,
     "op7_sentence_dedup": op7_sentence_dedup,
     "op8_bpe_codec": op8_bpe_codec,
     "op9_chat_format": op9_chat_format,
