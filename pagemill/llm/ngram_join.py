@@ -367,3 +367,31 @@ def ngram_groups(documents: DataFrame) -> DataFrame:
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of near duplicates among all documents."""
     return ngram_groups(read_table(spark, sf_dir, "documents"))
+
+
+OP1_SQL = r"""
+    WITH RECURSIVE d AS MATERIALIZED (
+        SELECT doc_id, CASE WHEN text IS NULL THEN [] ELSE regexp_extract_all(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') END AS w
+        FROM documents
+    ),
+    g AS MATERIALIZED (
+        SELECT DISTINCT doc_id, w[i : i + 4] AS gram
+        FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)
+    ),
+    n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+    shared AS (
+        SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k
+        FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY ALL
+    ),
+    link AS MATERIALIZED (
+        SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+        WHERE 100 * k >= 80 * (x.n + y.n - k)
+    ),
+    side AS MATERIALIZED (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+    reach AS (
+        SELECT doc_id, doc_id AS other FROM d
+        UNION SELECT r.doc_id, s.b FROM reach r JOIN side s ON s.a = r.other
+    )
+    SELECT doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(other) AS component_id
+    FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id"""

@@ -10,15 +10,17 @@ from pagemill.llm.bpe_codec import op8_bpe_codec
 from pagemill.llm.chat_format import OP9_SQL, op9_chat_format
 from pagemill.llm.decontaminate import OP5_SQL, op5_decontaminate
 from pagemill.llm.licenses import op2_license_scan, op2_sql
-from pagemill.llm.ngram_join import op1_ngram_join
+from pagemill.llm.ngram_join import OP1_SQL, op1_ngram_join
 from pagemill.llm.quality import op6_quality_rules
 from pagemill.llm.sentence_dedup import op7_sentence_dedup
 from pagemill.llm.sharding import op10_sharding
+from pagemill.llm.suffix_dedup import OP3_SQL, op3_suffix_dedup
 from pagemill.llm.token_counts import op4_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_license_scan": op2_license_scan,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_token_counts": op4_token_counts,
     "op5_decontaminate": op5_decontaminate,
     "op6_quality_rules": op6_quality_rules,
@@ -29,7 +31,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_ngram_join": OP1_SQL,
     "op2_license_scan": op2_sql(),
+    "op3_suffix_dedup": OP3_SQL,
     "op5_decontaminate": OP5_SQL,
     "op9_chat_format": OP9_SQL,
 }
