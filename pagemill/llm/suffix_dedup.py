@@ -346,13 +346,18 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP3_SQL = """
     WITH d AS MATERIALIZED (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
-    w AS (
-        SELECT doc_id, s, substr(h, 2 * s + 1, 200) AS win
+    -- Windows are compared as text only where their hashes meet.
+    k AS MATERIALIZED (
+        SELECT doc_id, s, hash(substr(h, 2 * s + 1, 200)) AS k
         FROM (SELECT doc_id, h, unnest(range(len(h) // 2 - 99)) AS s FROM d WHERE len(h) >= 200)
     ),
-    f AS (SELECT win, min(doc_id) AS doc_id, arg_min(s, (doc_id, s)) AS s FROM w GROUP BY win HAVING count(*) > 1),
+    met AS (SELECT k FROM k GROUP BY k HAVING count(*) > 1),
+    w AS MATERIALIZED (
+        SELECT doc_id, s, substr(h, 2 * s + 1, 200) AS win FROM k SEMI JOIN met USING (k) JOIN d USING (doc_id)
+    ),
+    f AS (SELECT win, min((doc_id, s)) AS place FROM w GROUP BY win HAVING count(*) > 1),
     later AS (
-        SELECT w.doc_id, w.s FROM w JOIN f USING (win) WHERE w.doc_id <> f.doc_id OR w.s <> f.s
+        SELECT doc_id, s FROM w JOIN f USING (win) WHERE (doc_id, s) <> place
     ),
     run AS (
         SELECT doc_id, s, sum(CASE WHEN s - before > 100 OR before IS NULL THEN 1 ELSE 0 END)
