@@ -8,9 +8,10 @@ cut into segments; what two documents share is counted fragment by fragment and
 2. For the sets that are left, n-grams get their final order: first those of one set only, then the
    shared ones, then very common ones, each by hash. Two linked sets share an n-gram among the first
    |x| - ceil(0.8 |x|) + 1 of each.
-3. Sets that meet in such an n-gram are paired with the smallest of them only. Exact bounds on what a
-   pair can share drop most; the others are counted fragment by fragment.
-4. Pairs that meet beside the smallest one and are not yet in one component are counted the same way.
+3. Sets that meet in such an n-gram are paired only with the one that has the fewest members of its own:
+   the likeliest centre of a group of near copies. Exact bounds on what a pair can share drop most; the
+   others are counted fragment by fragment.
+4. Pairs that meet beside that one and are not yet in one component are counted the same way.
 """
 
 from __future__ import annotations
@@ -285,8 +286,9 @@ def verified(pairs: DataFrame, segments: DataFrame) -> DataFrame:
 def links_of(segments: DataFrame) -> DataFrame:
     """(a, b): links that hold the components of all links together."""
     rows = stage(prefixes(segments), "prefixes")
-    postings = rows.select("sid", F.explode("prefix").alias("gram"))
-    groups = postings.groupBy("gram").agg(F.min("sid").alias("head"), F.count(F.lit(1)).alias("sets"))
+    postings = rows.select("sid", "own", F.explode("prefix").alias("gram"))
+    central = F.min(F.struct("own", "sid"))["sid"]
+    groups = postings.groupBy("gram").agg(central.alias("head"), F.count(F.lit(1)).alias("sets"))
     postings = postings.join(groups.filter("sets > 1"), "gram").filter("sid <> head")
     stars = postings.select(F.col("head").alias("a"), F.col("sid").alias("b")).distinct()
     first = stage(verified(_bounded(stars, rows), segments), "links")
