@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 from pagemill.constants import PARAGRAPH_BREAKERS
 from pagemill.functions.text import ColumnLike, as_column, newline_to_dot
 
-# Stand-ins for `<` and `&` inside script and style content, which is plain text and not markup.
-_HELD = {"<": "\u0001", "&": "\u0002"}
+# Script and style content is plain text: its markup characters are written as references, which are
+# decoded once at the end like all others.
+_WRITTEN = {"&": "&amp;", "<": "&lt;"}
+# A tag without meaning. It keeps apart the texts on both sides of what stood between them.
+_GAP = "<!>"
 
 # The patterns start with one fixed character, which the matcher looks for before anything else.
 RAW_CONTENT = (
@@ -24,7 +27,7 @@ RAW_TAGS = r"(?is)^<(?:script|style)\b[^>]*(?:>|\z)|</(?:script|style)\s*>$"
 PARAGRAPH_START = r"(?i)<p(?:[\s/][^>]*)?(?:>|\z)"
 PARAGRAPH_END = r"(?is)</?(?:" + "|".join(PARAGRAPH_BREAKERS) + r")(?:[\s/][^>]*)?(?:>|\z).*\z"
 TAG = r"(?s)<(?:/?[A-Za-z]|[!?])[^>]*(?:>|\z)"
-REFERENCE = r"^(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,30});"
+REFERENCE = r"^(#[0-9]+|#[xX][0-9A-Fa-f]+|[A-Za-z][A-Za-z0-9]{1,30});"
 
 # The HTML 4 names plus the XML apostrophe.
 NAMED_CHARACTERS = {name: chr(code) for name, code in name2codepoint.items()} | {"apos": "'"}
@@ -50,9 +53,14 @@ def decode_entities(text: ColumnLike) -> Column:
         ),
     )
 
+    def significant(reference: Column, start: int) -> Column:
+        """Digits without leading zeros. Numbers of more than eight are no characters."""
+        digits = F.ltrim(F.substr(reference, F.lit(start)), F.lit("0"))
+        return F.when(F.length(digits) <= 8, F.when(digits == "", "0").otherwise(digits))
+
     def value(reference: Column) -> Column:
-        hexadecimal = F.conv(F.substring(reference, 3, 6), 16, 10).cast("bigint")
-        decimal = F.substring(reference, 2, 7).try_cast("bigint")
+        hexadecimal = F.conv(significant(reference, 3), 16, 10).try_cast("bigint")
+        decimal = significant(reference, 2).try_cast("bigint")
         return (
             F.when(reference.rlike("^#[xX]"), _character(hexadecimal))
             .when(reference.startswith("#"), _character(decimal))
@@ -79,8 +87,6 @@ def _exchanged(text: Column, pairs: dict[str, str]) -> Column:
 def hold_raw_content(html: ColumnLike) -> Column:
     """Drop comments and turn script and style elements into text that holds no markup."""
     html = as_column(html)
-    for stand_in in _HELD.values():
-        html = F.replace(html, F.lit(stand_in), F.lit(""))
     between = F.split(html, RAW_CONTENT)
     raw = F.regexp_extract_all(html, F.lit(RAW_CONTENT), F.lit(0))
     held = F.zip_with(
@@ -88,8 +94,12 @@ def hold_raw_content(html: ColumnLike) -> Column:
         raw,
         lambda text, element: F.concat(
             text,
-            F.when(element.isNull() | element.startswith("<!--"), F.lit("")).otherwise(
-                _exchanged(F.regexp_replace(element, RAW_TAGS, ""), _HELD)
+            F.when(element.isNull(), F.lit(""))
+            .when(element.startswith("<!--"), F.lit(_GAP))
+            .otherwise(
+                F.concat(
+                    F.lit(_GAP), _exchanged(F.regexp_replace(element, RAW_TAGS, ""), _WRITTEN), F.lit(_GAP)
+                )
             ),
         ),
     )
@@ -115,11 +125,14 @@ def paragraph_text(html: ColumnLike, engine: str = "native") -> Column:
         raise ValueError(f"unknown engine: {engine}")
     # Every step uses the one before it once: a repeated input would be computed again.
     pieces = F.split(hold_raw_content(html), PARAGRAPH_START)
-    paragraphs = F.transform(
-        pieces,
-        lambda piece, i: F.when(i == 0, F.lit("")).otherwise(
-            F.concat(F.lit(" "), strip_tags(F.regexp_replace(piece, PARAGRAPH_END, "")))
-        ),
+    # Texts between tags are decoded one by one, so that no reference reaches across a tag.
+    texts = F.flatten(
+        F.transform(
+            pieces,
+            lambda piece, i: F.when(i == 0, F.array().cast("array<string>")).otherwise(
+                F.split(F.concat(F.lit(" "), F.regexp_replace(piece, PARAGRAPH_END, "")), TAG)
+            ),
+        )
     )
-    text = decode_entities(F.array_join(paragraphs, ""))
-    return newline_to_dot(_exchanged(text, {new: old for old, new in _HELD.items()}))
+    decoded = F.transform(texts, lambda t: F.when(t.contains("&"), decode_entities(t)).otherwise(t))
+    return newline_to_dot(F.array_join(decoded, ""))

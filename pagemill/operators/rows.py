@@ -17,8 +17,14 @@ def drop_columns(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def parse_ok(responses: DataFrame) -> DataFrame:
-    """Responses that hold a page."""
-    return responses.where(F.col("parse").isNotNull())
+    """Responses that hold a page.
+
+    A generator yields no row for a failed response. A filter on the struct would be pushed below the
+    projection that decodes it, and would decode every body a second time.
+    """
+    others = [c for c in responses.columns if c != "parse"]
+    found = responses.select(*others, F.explode(F.array_compact(F.array("parse"))).alias("parse"))
+    return found.select(*responses.columns)
 
 
 def title_not_null(pages: DataFrame, title: str = "page_title") -> DataFrame:

@@ -5,10 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Keeps every digit that a timestamp has.
+_LOSSLESS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
 # Hexadecimal digits that one counting pass looks at: 4,096 counts reach the driver.
 DIGITS = 3
-# Rows of one digit group that may be sorted together.
+# Rows of one digit group whose digests may be sorted together.
 SORTED_ROWS = 100_000
+# Bits of `monotonically_increasing_id` that count the rows of a partition.
+_ROW_BITS = 33
 
 
 def take_first_n(df: DataFrame, n: int, order: list[str]) -> DataFrame:
@@ -26,16 +34,16 @@ def sample_exact(
 ) -> DataFrame:
     """Exactly `n` rows without replacement: those whose seeded MD5 of `key` comes first.
 
-    Rows of one key are ordered by the MD5 of the whole row. The cut is found by counting rows per
-    digest prefix, so only the rows next to the cut are sorted. `df` is read once per counting pass;
-    hand in a table or a staged result. A pool with fewer than `n` rows is an error, or with
+    Rows of one key are ordered by the MD5 of the whole row, and rows that are equal in all columns are
+    taken in any order. The cut is found by counting rows per digest prefix, so only digests next to
+    the cut are sorted. All rows of the result are rows of `df`, whatever `sorted_rows` is. `df` is
+    read once per counting pass; hand in a table or a staged result. A pool with fewer than `n` rows is an error, or with
     `short="all"` is returned whole.
     """
     if n == 0:
         return df.limit(0)
     by_key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit(""))))
-    row_json = F.to_json(F.struct(*df.columns))
-    by_row = F.md5(row_json)
+    by_row = F.md5(F.to_json(F.struct(*df.columns), _LOSSLESS))
     need, checked = n, False
     before_cut, at_cut = F.lit(False), F.lit(True)
     for digest in (by_key, by_row):
@@ -56,12 +64,29 @@ def sample_exact(
             if need == counts[digits]:
                 return df.where(before_cut | at_cut)
             if counts[digits] <= sorted_rows:
-                rest = df.where(at_cut).orderBy(by_key, by_row).limit(need)
-                return df.where(before_cut).unionAll(rest)
-    # All rows left are copies of one another, so any `need` of them will do.
-    copy = df.where(at_cut).select(row_json.alias("row")).first()["row"]
-    copies = df.sparkSession.range(need).select(F.from_json(F.lit(copy), df.schema).alias("_row"))
-    return df.where(before_cut).unionAll(copies.select("_row.*"))
+                digests = df.where(at_cut).select(by_key.alias("key"), by_row.alias("row"))
+                first = digests.orderBy("key", "row").limit(need)
+                last, taken = first.agg(F.max(F.struct("key", "row")), F.count("*")).first()
+                assert taken == need
+                same = (by_key == last["key"]) & (by_row == last["row"])
+                earlier = (by_key < last["key"]) | ((by_key == last["key"]) & (by_row < last["row"]))
+                need -= df.where(at_cut & earlier).count()
+                before_cut = before_cut | (at_cut & earlier)
+                return df.where(before_cut).unionAll(_any_rows(df.where(at_cut & same), need))
+    return df.where(before_cut).unionAll(_any_rows(df.where(at_cut), need))
+
+
+def _any_rows(copies: DataFrame, need: int) -> DataFrame:
+    """`need` of rows that are all equal: whole partitions, and the first rows of one more."""
+    numbered = copies.withColumn("_number", F.monotonically_increasing_id())
+    part = F.shiftright("_number", _ROW_BITS)
+    counts = dict(map(tuple, numbered.groupBy(part).count().collect()))
+    for last in sorted(counts):
+        if need <= counts[last]:
+            break
+        need -= counts[last]
+    within = F.col("_number").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)) < need
+    return numbered.where((part < last) | ((part == last) & within)).drop("_number")
 
 
 def _counts(df: DataFrame, digest: Column, start: int) -> dict[str, int]:

@@ -85,7 +85,7 @@ def _is_one_of(column: str, values: Sequence) -> Column:
 def _part(df: DataFrame, fanout: int) -> Column:
     """A number below `fanout`; content and partition decide it, so a repeated task repeats it."""
     hashable = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
-    return F.pmod(F.xxhash64(*hashable) + F.spark_partition_id(), F.lit(fanout)).cast("int")
+    return F.pmod(F.xxhash64(*hashable, F.spark_partition_id()), F.lit(fanout)).cast("int")
 
 
 def spread_join(

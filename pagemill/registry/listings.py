@@ -259,3 +259,10 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     pool = fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     return op.sample_exact(pool, fx.table(spark, sf_dir, "customer").count(), "o_orderkey")
+
+
+@query("csv_records_over_lines", "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang FROM documents")
+def _(spark, sf_dir):
+    path = src.work_path(spark, "csv")
+    src.write_csv_with_lists(fx.table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), path)
+    return src.read_page_csv(spark, path)

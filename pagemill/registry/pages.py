@@ -8,15 +8,8 @@ from pagemill import functions as fn
 from pagemill import operators as op
 from pagemill import plans
 from pagemill import sources as src
-from pagemill.functions.html import (
-    NAMED_CHARACTERS,
-    PARAGRAPH_END,
-    PARAGRAPH_START,
-    RAW_CONTENT,
-    RAW_TAGS,
-    REFERENCE,
-    TAG,
-)
+from pagemill.constants import PARAGRAPH_BREAKERS
+from pagemill.functions.html import NAMED_CHARACTERS
 from pagemill.registry import fixtures as fx
 from pagemill.registry.base import joined_lists, query, sql_text
 from pagemill.schemas import LIST_COLUMNS
@@ -24,24 +17,27 @@ from pagemill.schemas import LIST_COLUMNS
 _NAMES = ", ".join(f"{sql_text(name)}: chr({ord(c)})" for name, c in NAMED_CHARACTERS.items())
 
 
+# Patterns of the SQL alone: what counts as markup here does not follow the code that is compared.
+RAW_SQL = "(?is)<(script|style)\\b[^>]*(?:>|$).*?(?:</(?:script|style)\\s*>|$)|<!--.*?(?:-->|$)"
+BLOCKS_SQL = "|".join(sorted(PARAGRAPH_BREAKERS))
+
+
 def held_sql(html: str) -> str:
-    """Markup without comments, with script and style content held as text."""
-    html = f"translate({html}, chr(1) || chr(2), '')"
+    """Markup without comments, with script and style content written as references between gaps."""
+    raw = sql_text(RAW_SQL)
+    content = "regexp_replace(regexp_replace(z[2], '(?is)^<(script|style)[^>]*>?', ''), '(?is)</(script|style)\\s*>$', '')"
     element = (
-        "CASE WHEN z[2] IS NULL OR starts_with(z[2], '<!--') THEN ''"
-        f" ELSE translate(regexp_replace(z[2], {sql_text(RAW_TAGS)}, '', 'g'), '<&', chr(1) || chr(2)) END"
-    )
-    pairs = (
-        f"list_zip(string_split_regex({html}, {sql_text(RAW_CONTENT)}),"
-        f" regexp_extract_all({html}, {sql_text(RAW_CONTENT)}))"
+        "CASE WHEN z[2] IS NULL THEN '' WHEN starts_with(z[2], '<!--') THEN '<!>'"
+        f" ELSE '<!>' || replace(replace({content}, '&', '&amp;'), '<', '&lt;') || '<!>' END"
     )
+    pairs = f"list_zip(string_split_regex({html}, {raw}), regexp_extract_all({html}, {raw}))"
     return f"array_to_string(list_transform({pairs}, lambda z: z[1] || {element}), '')"
 
 
 def decoded_sql(text: str) -> str:
     """Text with character references replaced."""
     code = (
-        "CASE WHEN lower(q.r[1:2]) = '#x' THEN TRY_CAST('0x' || q.r[3:] AS BIGINT)"
+        "CASE WHEN lower(q.r[1:2]) = '#x' THEN TRY_CAST('0x' || ltrim(q.r[3:], '0') AS BIGINT)"
         " WHEN q.r[1:1] = '#' THEN TRY_CAST(q.r[2:] AS BIGINT) END"
     )
     character = (
@@ -51,7 +47,7 @@ def decoded_sql(text: str) -> str:
     )
     tails = (
         f"list_transform(string_split({text}, '&')[2:],"
-        f" lambda p: {{'p': p, 'r': regexp_extract(p, {sql_text(REFERENCE)}, 1)}})"
+        " lambda p: {'p': p, 'r': regexp_extract(p, '^(#\\d+|#[xX][[:xdigit:]]+|[[:alpha:]][[:alnum:]]+);', 1)})"
     )
     decoded = (
         f"list_transform({tails}, lambda q: coalesce(({character}) || q.p[length(q.r) + 2:], '&' || q.p))"
@@ -60,17 +56,16 @@ def decoded_sql(text: str) -> str:
 
 
 def paragraphs_sql(html: str) -> str:
-    """Markup of all paragraphs as text, each after one blank, before references are decoded."""
-    paragraph = (
-        f"' ' || regexp_replace(regexp_replace(p, {sql_text(PARAGRAPH_END)}, ''), {sql_text(TAG)}, '', 'g')"
-    )
-    pieces = f"string_split_regex({held_sql(html)}, {sql_text(PARAGRAPH_START)})[2:]"
-    return f"array_to_string(list_transform({pieces}, lambda p: {paragraph}), '')"
+    """Texts between the tags of all paragraphs, the first of each after a blank."""
+    end = f"'(?is)</?({BLOCKS_SQL})(\\s[^>]*|/[^>]*)?(>|$).*'"
+    between = f"string_split_regex(' ' || regexp_replace(p, {end}, ''), '(?s)<(/?[A-Za-z]|[!?])[^>]*(>|$)')"
+    pieces = f"string_split_regex({held_sql(html)}, '(?i)<p(\\s[^>]*|/[^>]*)?(>|$)')[2:]"
+    return f"flatten(list_transform({pieces}, lambda p: {between}))"
 
 
 def page_text_sql(html: str) -> str:
-    decoded = decoded_sql(paragraphs_sql(html))
-    return f"replace(translate({decoded}, chr(1) || chr(2), '<&'), chr(10), '.')"
+    texts = f"list_transform({paragraphs_sql(html)}, lambda e: {decoded_sql('e')})"
+    return f"replace(array_to_string({texts}, ''), chr(10), '.')"
 
 
 LANG = "regexp_extract(html, '<html lang=\"([a-z]+)\"', 1)"

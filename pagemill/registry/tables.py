@@ -101,6 +101,31 @@ def _(spark, sf_dir):
     return op.attach_entity_id(pages, entities, ["source_rank", "pos"])
 
 
+@query(
+    "exclude_known_titles_large",
+    "SELECT o_orderkey AS page_id, CAST(o_custkey AS VARCHAR) AS title FROM orders"
+    f" WHERE NOT EXISTS (SELECT 1 FROM ({KNOWN}) k WHERE k.page_title = CAST(o_custkey AS VARCHAR))",
+)
+def _(spark, sf_dir):
+    """The same with a known side that counts as too large to copy, and hot titles spread."""
+    return op.exclude_known_titles(
+        fx.order_titles(spark, sf_dir), fx.known_titles(spark, sf_dir), "title", "page_title", limit=0, min_rows=1
+    ).select("page_id", "title")
+
+
+@query(
+    "attach_entity_id_large",
+    "SELECT l_orderkey, l_linenumber, CAST(l_partkey AS VARCHAR) AS page_title, f.id AS wikidata_id"
+    f" FROM lineitem LEFT JOIN ({FIRST}) f ON f.name = CAST(l_partkey AS VARCHAR)",
+)
+def _(spark, sf_dir):
+    pages = fx.table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey", "l_linenumber", "cast(l_partkey as string) as page_title"
+    )
+    entities = op.append_by_name(fx.name_sources(spark, sf_dir))
+    return op.attach_entity_id(pages, entities, ["source_rank", "pos"], limit=0, min_rows=1)
+
+
 @query("square", "SELECT p_partkey, p_size * p_size AS squared FROM part")
 def _(spark, sf_dir):
     return fx.table(spark, sf_dir, "part").select("p_partkey", fn.square("p_size").alias("squared"))

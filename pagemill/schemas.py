@@ -44,3 +44,9 @@ PAGE_LISTING = (
 CATEGORY_LISTING = (
     "`continue` struct<accontinue:string>, query struct<allcategories:array<map<string,string>>>"
 )
+
+# Columns of a saved games or series query, all text; the mapping query has no name.
+QUERY_RESULT_COLUMNS = (
+    "id", "idLabel", "genreLabel", "publisherLabel", "esrbLabel", "idAltLabel", "name", "article",
+)
+MAPPING_RESULT_COLUMNS = tuple(c for c in QUERY_RESULT_COLUMNS if c != "name")

@@ -31,14 +31,36 @@ def read_lines(spark: SparkSession, path: str, ordered: bool = False) -> DataFra
     return _with_file_order(lines) if ordered else lines
 
 
-def read_csv(spark: SparkSession, path: str, escape: str = '"') -> DataFrame:
-    """CSV with header; every column is text."""
-    return spark.read.option("header", True).option("escape", escape).csv(path)
+# No text holds it, so only a field with nothing in it, not even quotes, is NULL.
+_NO_NULL = "\u0000"
 
 
-def read_query_result(spark: SparkSession, path: str, ordered: bool = False) -> DataFrame:
-    """Columns id, idLabel and name of a saved graph query; `name` is NULL where the query has none."""
-    rows = read_csv(spark, path)
+def read_csv(
+    spark: SparkSession, path: str, escape: str = '"', columns: tuple[str, ...] | None = None
+) -> DataFrame:
+    """CSV with header; every column is text, blanks are kept.
+
+    A quoted field may hold line breaks, so a file is one split: many files give many tasks. An
+    empty field is NULL, an empty field in quotes the empty text. With `columns` the header of every
+    file has to name them in that order; without, the header decides.
+    """
+    reader = spark.read.option("header", True).option("escape", escape).option("multiLine", True)
+    reader = reader.option("nullValue", _NO_NULL)
+    reader = reader.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    if columns is not None:
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+        reader = reader.schema(schema).option("enforceSchema", False)
+    return reader.csv(path)
+
+
+def read_query_result(
+    spark: SparkSession, path: str, ordered: bool = False, columns: tuple[str, ...] | None = None
+) -> DataFrame:
+    """Columns id, idLabel and name of a saved graph query; `name` is NULL where the query has none.
+
+    `columns` are the query's own, such as QUERY_RESULT_COLUMNS, if the files have to have them.
+    """
+    rows = read_csv(spark, path, columns=columns)
     if ordered:
         rows = _with_file_order(rows)
     return query_result_columns(rows, *(FILE_ORDER if ordered else ()))
@@ -57,9 +79,7 @@ def read_page_csv(
     spark: SparkSession, path: str, escape: str = '"', list_columns: tuple[str, ...] = ()
 ) -> DataFrame:
     """A page table saved as CSV; `list_columns` are turned back from list literals into arrays."""
-    rows = spark.read.option("header", True).option("escape", escape)
-    rows = rows.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-    return parse_list_columns(rows.csv(path), list_columns)
+    return parse_list_columns(read_csv(spark, path, escape), list_columns)
 
 
 def parse_list_columns(df: DataFrame, columns: tuple[str, ...] = LIST_COLUMNS) -> DataFrame:
@@ -74,7 +94,10 @@ def lists_to_literals(df: DataFrame) -> DataFrame:
 
 
 def write_csv_with_lists(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """CSV with header and `"` as escape; arrays become list literals, blanks are kept."""
+    """CSV with header and `"` as escape; arrays become list literals, blanks are kept.
+
+    Line breaks stay in quoted fields; NULL is an empty field, the empty text one in quotes.
+    """
     writer = lists_to_literals(df).write.mode(mode).option("header", True).option("escape", '"')
     writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     writer.csv(path)

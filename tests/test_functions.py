@@ -119,8 +119,27 @@ def test_paragraph_text_parser(spark):
         fn.paragraph_text("v", engine="other")
 
 
-def test_control_characters_do_not_become_markup(spark):
-    assert apply(spark, fn.paragraph_text, ["<p>a\u0001b\u0002c</p>"]) == [" abc"]
+# Pages made to be misread, with texts written by hand.
+HARD_PAGES = {
+    "<p>a\u0001b\u0002c</p>": " a\u0001b\u0002c",
+    "<p>a &#1;b&#2; c</p>": " a \u0001b\u0002 c",
+    "<p>&#0000000065;&#x000000041;&#00000000038;lt;</p>": " AA&lt;",
+    "<p>&#x110000;&#99999999999999999999;&#0;</p>": " &#x110000;&#99999999999999999999;&#0;",
+    "<p>&l<b>t;</b>x&l<!-- c -->t;</p>": " &lt;x&lt;",
+    "<p>&<script>lt; &lt; &amp;lt; <b></script>gt;</p>": " &lt; &lt; &amp;lt; <b>gt;",
+    "<p>x<script>a && b</script>&amp;<style>&#65;</style></p>": " xa && b&&#65;",
+    "<p>&amp;#65; &AMP &unknown; &é;</p>": " &#65; &AMP &unknown; &é;",
+}
+
+
+def test_hard_pages(spark):
+    assert apply(spark, fn.paragraph_text, list(HARD_PAGES)) == list(HARD_PAGES.values())
+
+
+def test_hard_pages_agree_with_the_parser(spark):
+    # The parser replaces numbers that are no characters, and takes names without semicolon.
+    same = [h for h in HARD_PAGES if "x110000" not in h and "&AMP" not in h and "&#1;" not in h]
+    assert apply(spark, lambda c: fn.paragraph_text(c, engine="parser"), same) == [HARD_PAGES[h] for h in same]
 
 
 BODY = """{"parse": {"pageid": 7, "title": "Resolved", "categories": [

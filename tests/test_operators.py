@@ -247,3 +247,27 @@ def test_sample_seeds_and_short_pools(pool):
 def test_literals_after_append(spark):
     df = spark.createDataFrame([("['a', 'b']",)], "t string").select(parse_list_literal("t").alias("a"))
     assert df.first()["a"] == ["a", "b"]
+
+
+@pytest.mark.parametrize("sorted_rows", [0, 1, 3, 100_000])
+def test_samples_hold_only_rows_of_the_pool(spark, sorted_rows):
+    times = [f"2024-01-01 00:00:00.12300{n}" for n in range(6)] + ["2024-01-01 00:00:00.123456"] * 4
+    pool = spark.createDataFrame([("same", t) for t in times], "title string, t string")
+    pool = pool.select("title", F.col("t").cast("timestamp").alias("at"), F.col("t").cast("timestamp_ntz").alias("ntz"))
+    rows = sorted(map(repr, pool.collect()))
+    for n in range(1, 11):
+        found = sorted(map(repr, op.sample_exact(pool.repartition(3), n, "title", sorted_rows=sorted_rows).collect()))
+        assert len(found) == n
+        assert all(found.count(r) <= rows.count(r) for r in found)
+        assert found == sorted(map(repr, op.sample_exact(pool, n, "title").collect()))
+
+
+def test_parse_ok_decodes_once(spark):
+    from compare import plan_text
+
+    from pagemill import sources as src
+
+    frame = spark.createDataFrame([("a", "{}")], "title string, body string")
+    pages = op.parse_ok(src.load_parse_responses(frame))
+    assert plan_text(pages.select("title", "parse.title", "parse.pageid")).count("from_json") == 1
+    assert pages.columns == ["title", "parse"]

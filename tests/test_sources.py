@@ -209,3 +209,22 @@ def test_no_local_folder_on_a_cluster():
     assert src.shared_root(local) == src.shared_root(local) == local.folder
     with pytest.raises(RuntimeError):
         src.shared_root(Unset("spark://host"))
+
+
+def test_csv_records_may_span_lines(spark, tmp_path):
+    texts = ["t\rx", "line1\nline2", "", None, 'q"uo"te,\\ x', "a\r\nb ", " lead", "\\", "\r", "\n", '"', "é,"]
+    rows = [(str(n), t) for n, t in enumerate(texts)]
+    table = spark.createDataFrame(rows, "page_id string, page_text string").repartition(2)
+    src.write_csv_with_lists(table, str(tmp_path / "out"))
+    back = src.read_page_csv(spark, str(tmp_path / "out"))
+    assert sorted(map(tuple, back.collect()), key=lambda r: int(r[0])) == rows
+
+
+def test_query_result_with_stated_columns(spark, tmp_path):
+    from pagemill.schemas import MAPPING_RESULT_COLUMNS, QUERY_RESULT_COLUMNS
+
+    (tmp_path / "games.csv").write_text(",".join(QUERY_RESULT_COLUMNS) + '\nQ1,"two\nlines",,,,,N,a\n')
+    rows = src.read_query_result(spark, str(tmp_path / "games.csv"), columns=QUERY_RESULT_COLUMNS)
+    assert [tuple(r) for r in rows.collect()] == [("Q1", "two\nlines", "N")]
+    with pytest.raises(Exception):
+        src.read_query_result(spark, str(tmp_path / "games.csv"), columns=MAPPING_RESULT_COLUMNS).collect()
