@@ -68,7 +68,7 @@ def runs_of(body: bytes, up: Powers, down: Powers) -> tuple[np.ndarray, ...] | N
 
 
 RUNS = pa.schema(
-    [("gram", pa.int64()), ("context", pa.int64()), ("doc_id", pa.int64()), ("place", pa.int64()), ("shape", pa.int32())]
+    [("gram", pa.int64()), ("context", pa.int64()), ("doc_id", pa.int64()), ("place", pa.int64()), ("shape", pa.int64())]
 )
 
 
@@ -80,9 +80,9 @@ def text_tag():
 def runs(documents: DataFrame) -> DataFrame:
     """(gram, context, doc_id, place, shape) of all runs of windows.
 
-    `shape` holds the windows of the run less one, the anchor's distance, and 1 for a run that an equal
-    one in the same chunk of rows precedes; such runs need no further look and are dealt out evenly.
-    So of a passage that a third of all documents hold, a chunk sends each run once to its shard.
+    `shape` holds the windows of the run less one, the anchor's distance, and 1 for runs that equal ones
+    in the same chunk of rows precede; these need no further look, so neighbours are put together and
+    dealt out evenly. Of a passage that a third of all documents hold, a chunk sends each run once.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,15 +122,15 @@ def runs(documents: DataFrame) -> DataFrame:
             later = np.concatenate([[False], same & ~equal_row])
             for n in np.flatnonzero(same & equal_row) + 1:
                 later[n] = later[n - 1]
-            spread = mixed(doc_id.astype(np.uint64) * np.uint64(BASE) + place.astype(np.uint64))
-            gram = np.where(later, spread, gram)
-            for n in range(0, len(gram), 100_000):
-                part = slice(n, n + 100_000)
+            own = [v[~later] for v in (gram, context, doc_id, null, place, shape)]
+            spans = joined_runs(*(v[later] for v in (doc_id, null, place, shape)))
+            columns = [np.concatenate(pair) for pair in zip(own, spans)]
+            for n in range(0, len(columns[0]), 100_000):
+                gram, context, doc_id, null, place, shape = (v[n : n + 100_000] for v in columns)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(gram[part].view(np.int64)), pa.array(context[part].view(np.int64)),
-                        pa.array(doc_id[part], mask=null[part]), pa.array(place[part].astype(np.int64)),
-                        pa.array((shape | later)[part].astype(np.int32)),
+                        pa.array(gram.view(np.int64)), pa.array(context.view(np.int64)),
+                        pa.array(doc_id, mask=null), pa.array(place.astype(np.int64)), pa.array(shape.astype(np.int64)),
                     ],
                     schema=RUNS,
                 )
@@ -138,7 +138,24 @@ def runs(documents: DataFrame) -> DataFrame:
     rows = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"), bytes_of().alias("body"), text_tag().alias("tag")
     )
-    return rows.mapInArrow(run, "gram long, context long, doc_id long, place long, shape int")
+    return rows.mapInArrow(run, "gram long, context long, doc_id long, place long, shape long")
+
+
+def joined_runs(doc_id, null, place, shape) -> tuple[np.ndarray, ...]:
+    """Later runs of one text that touch or overlap, as one; with a hash of their place for a hash."""
+    order = np.lexsort((place >> TAG_BITS, place & TAG_MASK, doc_id, ~null))
+    doc_id, null, place, shape = (v[order] for v in (doc_id, null, place, shape))
+    first = place >> TAG_BITS
+    behind = first + (shape >> 9) + LENGTH
+    if len(first):
+        same = (doc_id[1:] == doc_id[:-1]) & (null[1:] == null[:-1])
+        same &= ((place[1:] ^ place[:-1]) & TAG_MASK) == 0
+        starts = np.flatnonzero(np.concatenate([[True], ~(same & (first[1:] <= behind[:-1]))]))
+        ends = np.concatenate([starts[1:], [len(first)]]) - 1
+        doc_id, null, place = doc_id[starts], null[starts], place[starts]
+        shape = (behind[ends] - first[starts] - LENGTH) << 9 | 1
+    gram = mixed(doc_id.astype(np.uint64) * np.uint64(BASE) + place.astype(np.uint64))
+    return gram, np.zeros(len(gram), np.uint64), doc_id, null, place, shape
 
 
 def compared(found: DataFrame) -> DataFrame:
