@@ -291,7 +291,11 @@ def keep_good(documents: DataFrame) -> DataFrame:
     names = documents.columns
     whole = documents.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), "text", "lang", "source")
     rows = with_stats(with_base(whole)).withColumns({"_lang": _key("lang"), "_source": _key("source")})
-    return judged(rows, fitted).filter("kept").select(*[F.col("_row")[c].alias(c) for c in names])
+    # A number per row, which the filter names, keeps the filter above the projection: pushed below, it
+    # would hold every count's expression within that of the next and split the text for every word.
+    rows = rows.withColumn("_number", F.monotonically_increasing_id())
+    kept = judged(rows, fitted).filter("kept and _number >= 0")
+    return kept.select(*[F.col("_row")[c].alias(c) for c in names])
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
