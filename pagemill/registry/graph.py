@@ -93,17 +93,21 @@ def entity_sql(target: str, languages: tuple[str, ...]) -> str:
         LEFT JOIN ({ALT_LABELS}) x ON x.id = i.id""")
 
 
-def derived_graph(spark, sf_dir, *predicates: str) -> op.TripleGraph:
+def derived_graph(spark, sf_dir, *predicates: str, **measure) -> op.TripleGraph:
     """The graph over the given tables, measured for the predicates that are joined on."""
     triples = fx.triples(spark, sf_dir, src.triple_view)
-    return op.TripleGraph.measure(triples, predicates) if predicates else op.TripleGraph(triples)
+    return op.TripleGraph.measure(triples, predicates, **measure) if predicates else op.TripleGraph(triples)
 
 
-def stored_graph(spark, sf_dir, *predicates: str) -> op.TripleGraph:
+def stored_graph(spark, sf_dir, *predicates: str, **measure) -> op.TripleGraph:
     """The same graph as a table partitioned by predicate, for queries with many patterns."""
     path = src.work_path(spark, "triples")
     src.write_triples(fx.triples(spark, sf_dir), path)
-    return op.TripleGraph.measure(src.read_triples(spark, path), predicates)
+    return op.TripleGraph.measure(src.read_triples(spark, path), predicates, **measure)
+
+
+# Makes small tables have hot values, so that joins spread them.
+EASILY_HOT = {"share": 0.01, "min_rows": 1}
 
 
 @query("triple_view", f"SELECT * FROM ({TRIPLES})")
@@ -140,34 +144,51 @@ def _(spark, sf_dir):
     return op.instance_of_closure(graph, "r0", distinct=True)
 
 
-@query(
-    "optional_match",
-    plain_sql(
+OPTIONAL_SQL = plain_sql(
         "SELECT i.s AS id, g.o AS genre, b.o AS publisher, e.o AS esrb FROM t i"
         " LEFT JOIN t g ON g.p = 'P136' AND g.s = i.s LEFT JOIN t b ON b.p = 'P123' AND b.s = i.s"
-        " LEFT JOIN t e ON e.p = 'P852' AND e.s = i.s WHERE i.p = 'P31'",
-    ),
+        " LEFT JOIN t e ON e.p = 'P852' AND e.s = i.s WHERE i.p = 'P31'"
 )
-def _(spark, sf_dir):
-    graph = derived_graph(spark, sf_dir, INSTANCE_OF, GENRE, PUBLISHER, RATING)
+
+
+def optional_rows(graph):
     rows = graph.pattern(INSTANCE_OF, "id")
     for node, predicate in (("genre", GENRE), ("publisher", PUBLISHER), ("esrb", RATING)):
         rows = op.optional_match(rows, graph, predicate, node)
     return rows
 
 
-@query(
-    "bgp_join",
-    # Every customer is an instance; its articles are the orders in English on the site.
-    f"SELECT 'c' || o_custkey AS id, 'a' || o_orderkey AS article, 'Order ' || o_orderkey AS name"
-    " FROM orders JOIN customer ON c_custkey = o_custkey"
-    " WHERE o_orderstatus <> 'F' AND o_orderpriority <> '5-LOW'",
+@query("optional_match", OPTIONAL_SQL)
+def _(spark, sf_dir):
+    return optional_rows(derived_graph(spark, sf_dir, INSTANCE_OF, GENRE, PUBLISHER, RATING))
+
+
+@query("optional_match_hot", OPTIONAL_SQL)
+def _(spark, sf_dir):
+    return optional_rows(derived_graph(spark, sf_dir, INSTANCE_OF, GENRE, PUBLISHER, RATING, **EASILY_HOT))
+
+
+# Every customer is an instance, some of two classes; its articles are the orders in English on the site.
+BGP_SQL = (
+    "SELECT 'c' || o_custkey AS id, 'a' || o_orderkey AS article, 'Order ' || o_orderkey AS name"
+    " FROM orders JOIN (SELECT c_custkey FROM customer"
+    " UNION ALL SELECT c_custkey FROM customer WHERE c_acctbal > 9000) ON c_custkey = o_custkey"
+    " WHERE o_orderstatus <> 'F' AND o_orderpriority <> '5-LOW'"
 )
+
+
+@query("bgp_join", BGP_SQL)
 def _(spark, sf_dir):
     graph = derived_graph(spark, sf_dir, INSTANCE_OF, ABOUT, NAME)
     return op.bgp_join(graph.pattern(INSTANCE_OF, "id"), graph).select("id", "article", "name")
 
 
+@query("bgp_join_hot", BGP_SQL)
+def _(spark, sf_dir):
+    graph = derived_graph(spark, sf_dir, INSTANCE_OF, ABOUT, NAME, **EASILY_HOT)
+    return op.bgp_join(graph.pattern(INSTANCE_OF, "id"), graph).select("id", "article", "name")
+
+
 @query("language_site_filter", plain_sql(f"SELECT article FROM ({ARTICLES})"))
 def _(spark, sf_dir):
     graph = derived_graph(spark, sf_dir, ABOUT)
@@ -205,6 +226,11 @@ def games_query(spark, sf_dir):
     return plans.games_query(stored_graph(spark, sf_dir, *op.JOINED), "r1")
 
 
+@query("games_query_hot", entity_sql("r1", ("en",)))
+def _(spark, sf_dir):
+    return plans.games_query(stored_graph(spark, sf_dir, *op.JOINED, **EASILY_HOT), "r1")
+
+
 @query("series_query", entity_sql("r2", ("fr", "en")))
 def _(spark, sf_dir):
     return plans.series_query(stored_graph(spark, sf_dir, *op.JOINED), "r2", ("fr", "en"))

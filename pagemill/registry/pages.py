@@ -266,12 +266,23 @@ def _(spark, sf_dir):
     return plans.content_lengths(fetched)
 
 
-@query(
-    "build_pages_chunked",
+CHUNKED = (
     f"SELECT CAST(length(html) AS VARCHAR) AS page_id, url AS page_title, {page_text_sql('html')} AS page_text,"
     " 'Articles' AS category, '' AS links, url AS external_links, '' AS sections,"
-    f" CAST(NULL AS VARCHAR) AS redirects_page FROM pages WHERE {WHOLE} AND NOT contains(url, '?')",
+    f" CAST(NULL AS VARCHAR) AS redirects_page FROM pages WHERE {WHOLE} AND NOT contains(url, '?')"
 )
+
+
+def _listed(spark, sf_dir):
+    return fx.page_table(spark, sf_dir).select(fn.format_line("page_id", "url").alias("value"), "html")
+
+
+@query("build_pages_chunked", CHUNKED)
+def _(spark, sf_dir):
+    return _lists(plans.build_pages_chunked(_listed(spark, sf_dir), fx.page_reply, inputs=("html",)))
+
+
+@query("build_pages_in_100_chunks", CHUNKED)
 def _(spark, sf_dir):
-    lines = fx.page_table(spark, sf_dir).select(fn.format_line("page_id", "url").alias("value"), "html")
-    return _lists(plans.build_pages_chunked(lines, fx.page_reply, inputs=("html",)))
+    pages = plans.build_pages_chunked(_listed(spark, sf_dir), fx.page_reply, chunks=100, inputs=("html",))
+    return _lists(pages)

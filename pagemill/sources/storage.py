@@ -23,9 +23,26 @@ def shared_root(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+# Folders that go when their application ends.
+_OWNED: set[str] = set()
+
+
+def work_root(spark: SparkSession) -> str:
+    """The application's own folder below the shared one. It is deleted when the application ends."""
+    context = spark.sparkContext
+    root = f"{shared_root(spark)}/pagemill/{context.applicationId}"
+    if root not in _OWNED:
+        folder = context._jvm.org.apache.hadoop.fs.Path(root)
+        files = folder.getFileSystem(context._jsc.hadoopConfiguration())
+        files.mkdirs(folder)
+        files.deleteOnExit(folder)
+        _OWNED.add(root)
+    return root
+
+
 def work_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder; nothing is created yet."""
-    return f"{shared_root(spark)}/pagemill/{name}-{uuid4().hex}"
+    """A new path in the application's folder; nothing is created there yet."""
+    return f"{work_root(spark)}/{name}-{uuid4().hex}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

@@ -228,3 +228,28 @@ def test_query_result_with_stated_columns(spark, tmp_path):
     assert [tuple(r) for r in rows.collect()] == [("Q1", "two\nlines", "N")]
     with pytest.raises(Exception):
         src.read_query_result(spark, str(tmp_path / "games.csv"), columns=MAPPING_RESULT_COLUMNS).collect()
+
+
+def test_an_application_leaves_no_staged_tables(tmp_path):
+    import os
+    import subprocess
+    import sys
+    import time
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = """
+from pyspark.sql import SparkSession
+from pagemill.sources.storage import stage
+import os, sys
+spark = SparkSession.builder.master("local[1]").config("spark.checkpoint.dir", sys.argv[1]).getOrCreate()
+assert stage(spark.range(5), "numbers").count() == 5
+assert len(os.listdir(sys.argv[1] + "/pagemill")) == 1
+spark.stop()
+"""
+    subprocess.run([sys.executable, "-c", code, str(tmp_path)], cwd=root, check=True, timeout=120)
+    left = tmp_path / "pagemill"
+    for _ in range(50):
+        if not list(left.iterdir()):
+            break
+        time.sleep(0.2)
+    assert list(left.iterdir()) == []
