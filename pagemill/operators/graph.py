@@ -24,7 +24,7 @@ from pagemill.constants import (
     SUBCLASS_OF,
 )
 from pagemill.operators.skew import HOT_ROWS, HOT_SHARE, hot_values_by, spread_join
-from pagemill.sources.storage import BROADCAST_BYTES, stage, stage_sized, work_path
+from pagemill.sources.storage import BROADCAST_BYTES, stage, stage_sized, surely_larger, work_path
 
 # Predicates whose subjects and objects are joined on.
 JOINED = (INSTANCE_OF, SUBCLASS_OF, GENRE, PUBLISHER, RATING, SERIES, ABOUT, NAME)
@@ -71,6 +71,8 @@ class TripleGraph:
         stays as it is, and joins do the work.
         """
         nodes = rows.select(F.explode(F.array(*columns)).alias("s")).where(F.col("s").isNotNull())
+        if surely_larger(nodes, limit):
+            return self
         nodes, small = stage_sized(nodes.distinct(), "nodes", limit)
         if not small:
             return self

@@ -150,3 +150,18 @@ def test_views_scan_only_the_wanted_statement(spark, tmp_path):
 def test_patterns_read_their_own_partition(graph):
     plan = plan_text(graph.pattern(GENRE, "id", "genre"))
     assert "PartitionFilters: [isnotnull(p" in plan
+
+
+def test_a_large_key_set_is_not_written(spark):
+    import os
+
+    from pagemill.sources.storage import work_root
+
+    triples = spark.createDataFrame([("a", "p", "b", None)], "s string, p string, o string, lang string")
+    graph = op.TripleGraph(triples)
+    rows = spark.createDataFrame([(f"n{n}",) for n in range(2000)], "id string")
+    folder = work_root(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    assert graph.within(rows, "id", limit=10) is graph
+    assert set(os.listdir(folder)) == before
+    assert graph.within(rows, "id") is not graph
