@@ -142,7 +142,6 @@ def spans(documents: DataFrame) -> DataFrame:
                 later[n] = later[n - 1]
             own = mixed(doc_id.astype(np.uint64) * np.uint64(BASE) + place.astype(np.uint64))
             hashes = np.where(later, own, hashes)
-            # Neighbouring repeats of one text are given as one.
             yield from _span_batches(hashes, doc_id, null, place, behind * 2 + later)
 
     rows = documents.select(
