@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from pagemill.llm.common import LOWER_ASCII, OUT_BYTES, batched, bytes_of, read_table
 
-# A span is the shortest run of at least so many sentences that holds at least so many words.
+# A span is a run of at least so many sentences that holds at least so many words; hashed are the
+# shortest that begin and the shortest that end at each sentence.
 SPAN_SENTENCES = 3
 SPAN_WORDS = 20
 # Longer sentences are cut into clauses, after words that their own checksum picks.
@@ -27,7 +28,13 @@ WORD = re.compile(rb"\s*\S+\s*")
 # An odd multiplier for hashes of runs, and its inverse modulo 2**64.
 BASE = 0x9E3779B97F4A7C15
 BASE_INVERSE = pow(BASE, -1, 1 << 64)
+# A span's place is one number: its first sentence, the tag of its row's text, its sentences, and whether
+# its equal came before in the chunk. All sentences but the first of a text hold a word, so the shortest
+# spans have at most SPAN_WORDS + 1 sentences.
 TAG_BITS = 26
+SIZE_BITS = 6
+TAG_AT = SIZE_BITS + 1
+START_AT = TAG_AT + TAG_BITS
 
 
 def sentences(body: bytes) -> list[bytes]:
@@ -73,7 +80,11 @@ def mixed(values: np.ndarray) -> np.ndarray:
 
 
 def span_hashes(body: bytes, up: Powers, down: Powers) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, first sentence, behind last sentence) of the span that begins at each sentence, if any."""
+    """(hash, first sentence, behind last sentence) of the shortest spans that begin or end at a sentence.
+
+    These cover every longer run: from its first sentence on, the shortest spans that begin in it and do
+    not pass its end; what they leave at its end lies in the shortest span that ends there.
+    """
     digests, counts = [], []
     for piece in sentences(body):
         words = piece.translate(LOWER_ASCII).split()
@@ -86,22 +97,28 @@ def span_hashes(body: bytes, up: Powers, down: Powers) -> tuple[np.ndarray, np.n
     behind = np.searchsorted(words_before, words_before[:-1] + SPAN_WORDS)
     behind = np.maximum(behind, start + SPAN_SENTENCES)
     start, behind = start[behind <= n], behind[behind <= n]
+    ends = np.arange(1, n + 1)
+    begins = np.searchsorted(words_before, words_before[1:] - SPAN_WORDS, side="right") - 1
+    begins = np.minimum(begins, ends - SPAN_SENTENCES)
+    ends, begins = ends[begins >= 0], begins[begins >= 0]
+    both = np.unique(np.concatenate([start * (n + 1) + behind, begins * (n + 1) + ends]))
+    start, behind = both // (n + 1), both % (n + 1)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(np.array(digests, np.uint64) * up.first(n), out=sums[1:])
     hashes = (sums[behind] - sums[start]) * down.first(n)[start]
     return mixed(hashes + (behind - start).astype(np.uint64)), start, behind
 
 
-SPANS = pa.schema([("hash", pa.int64()), ("doc_id", pa.int64()), ("place", pa.int64()), ("behind", pa.int64())])
+SPANS = pa.schema([("hash", pa.int64()), ("doc_id", pa.int64()), ("place", pa.int64())])
 
 
 def spans(documents: DataFrame) -> DataFrame:
-    """(hash, doc_id, place, behind): spans that may be the first of their kind, one per hash and chunk of
-    rows, and spans that are not, with an even or odd `behind`.
+    """(hash, doc_id, place): spans that may be the first of their kind, one per hash and chunk of rows, and
+    spans that are not, with an even or odd `place`.
 
-    `place` holds the first sentence and the tag of the row's text, `behind` twice the sentence behind
-    the span, plus one for a span whose equal came before in the chunk. Those need no further look;
-    their hash is drawn from their place, so that they do not meet.
+    `place` holds the first sentence, the tag of the row's text and the number of sentences, and a last
+    bit for a span whose equal came before in the chunk. Those need no further look; their hash is
+    drawn from their place, so that they do not meet.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,8 +134,9 @@ def spans(documents: DataFrame) -> DataFrame:
                         own = doc_id.as_py()
                         # Null ids come before all others.
                         order = np.iinfo(np.int64).min if own is None else own
-                        held.append((hashes, start << TAG_BITS | tag.as_py(), behind, order, own is None))
-                        held_bytes += 40 * len(hashes)
+                        place = start << START_AT | tag.as_py() << TAG_AT | (behind - start) << 1
+                        held.append((hashes, place, order, own is None))
+                        held_bytes += 32 * len(hashes)
                     if held_bytes >= OUT_BYTES:
                         yield held
                         held, held_bytes = [], 0
@@ -126,12 +144,12 @@ def spans(documents: DataFrame) -> DataFrame:
                 yield held
 
         for held in chunks():
-            hashes, place, behind = (np.concatenate([h[k] for h in held]) for k in range(3))
+            hashes, place = (np.concatenate([h[k] for h in held]) for k in range(2))
             lengths = [len(h[0]) for h in held]
-            doc_id = np.repeat(np.array([h[3] for h in held], np.int64), lengths)
-            null = np.repeat(np.array([h[4] for h in held], bool), lengths)
+            doc_id = np.repeat(np.array([h[2] for h in held], np.int64), lengths)
+            null = np.repeat(np.array([h[3] for h in held], bool), lengths)
             order = np.lexsort((place, doc_id, ~null, hashes))
-            hashes, place, behind, doc_id, null = (v[order] for v in (hashes, place, behind, doc_id, null))
+            hashes, place, doc_id, null = (v[order] for v in (hashes, place, doc_id, null))
             later = np.zeros(len(hashes), bool)
             # Equal rows of the table are equally first.
             later[1:] = (hashes[1:] == hashes[:-1]) & ~(
@@ -142,22 +160,22 @@ def spans(documents: DataFrame) -> DataFrame:
                 later[n] = later[n - 1]
             own = mixed(doc_id.astype(np.uint64) * np.uint64(BASE) + place.astype(np.uint64))
             hashes = np.where(later, own, hashes)
-            yield from _span_batches(hashes, doc_id, null, place, behind * 2 + later)
+            yield from _span_batches(hashes, doc_id, null, place + later)
 
     rows = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"), bytes_of().alias("body"),
         F.coalesce(text_tag(), F.lit(0)).alias("tag"),
     )
-    return rows.mapInArrow(run, "hash long, doc_id long, place long, behind long")
+    return rows.mapInArrow(run, "hash long, doc_id long, place long")
 
 
-def _span_batches(hashes, doc_id, null, place, behind, rows: int = 100_000) -> Iterator[pa.RecordBatch]:
+def _span_batches(hashes, doc_id, null, place, rows: int = 100_000) -> Iterator[pa.RecordBatch]:
     for n in range(0, len(hashes), rows):
         part = slice(n, n + rows)
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(hashes[part].view(np.int64)), pa.array(doc_id[part], mask=null[part]),
-                pa.array(place[part].astype(np.int64)), pa.array(behind[part].astype(np.int64)),
+                pa.array(place[part].astype(np.int64)),
             ],
             schema=SPANS,
         )
@@ -177,20 +195,23 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
     """
     order = Window.partitionBy("hash").orderBy(F.col("doc_id").asc_nulls_first(), "place")
     ranked = spans(documents).withColumn("rank", F.rank().over(order))
-    later = ranked.filter((F.col("rank") > 1) | (F.col("behind") % 2 == 1))
+    later = ranked.filter((F.col("rank") > 1) | (F.col("place") % 2 == 1))
+    first = F.shiftright("place", START_AT)
+    size = F.shiftright("place", 1).bitwiseAND(F.lit((1 << SIZE_BITS) - 1))
     return later.select(
-        "doc_id", F.col("place").bitwiseAND(F.lit((1 << TAG_BITS) - 1)).alias("tag"),
-        F.shiftright("place", TAG_BITS).alias("first"), F.shiftright("behind", 1).alias("behind"),
+        "doc_id", F.shiftright("place", TAG_AT).bitwiseAND(F.lit((1 << TAG_BITS) - 1)).alias("tag"),
+        first.alias("first"), (first + size).alias("behind"),
     )
 
 
 def dedup_sentences(documents: DataFrame) -> DataFrame:
     """`documents` with repeated passages removed from `text`, and `n_sentences`, `n_removed`, `words_removed`.
 
-    Every run of `SPAN_SENTENCES` or more consecutive sentences with `SPAN_WORDS` words or more is hashed
-    by its lower-case words; sentences in a run that is not the first of its kind go, with the white
-    space behind them. Runs are judged on the input, not on what is left. A passage that repeats loses
-    all but the pieces of sentences at its ends. Null text stays null and has no sentences; rows that
+    Every run of `SPAN_SENTENCES` or more consecutive sentences with `SPAN_WORDS` words or more counts, by
+    its lower-case words; sentences in a run that is not the first of its kind go, with the white space
+    behind them. The shortest runs that begin and that end at each sentence are hashed; together they
+    cover every longer one. Runs are judged on the input, not on what is left. A passage that repeats
+    loses all but the pieces of sentences at its ends; a copy of a whole text loses all. Null text stays null and has no sentences; rows that
     are equal in id and text are one document and have equal results; rows with one id and different
     texts are different documents. Other columns stay as they are; old columns with the new names
     are replaced. Hashes have 64 bits. Any number of rows may share a passage.

@@ -120,6 +120,42 @@ def test_a_passage_goes_from_all_but_the_first(make):
     assert result[5].source == "s" and "n_chars" in result[5].asDict()
 
 
+def all_runs(rows):
+    """(id, text left) of each row, by every run that meets both minimums."""
+    seen, gone = set(), defaultdict(set)
+    for n, (_, text) in sorted(enumerate(rows), key=lambda r: order(r[1])):
+        words = [tuple(p.lower().split()) for p in sentences(text.encode())]
+        for i in range(len(words)):
+            for j in range(i + SPAN_SENTENCES, len(words) + 1):
+                if sum(map(len, words[i:j])) >= SPAN_WORDS:
+                    run = tuple(words[i:j])
+                    if run in seen:
+                        gone[n] |= set(range(i, j))
+                    seen.add(run)
+    return sorted(
+        (i, b"".join(p for k, p in enumerate(sentences(text.encode())) if k not in gone[n]).decode())
+        for n, (i, text) in enumerate(rows)
+    )
+
+
+def sentences_of(lengths, seed):
+    words = iter(prose(sum(lengths), seed).replace(".", "").split())
+    return " ".join(" ".join(next(words) for _ in range(n)) + "." for n in lengths)
+
+
+def test_every_repeated_run_goes_to_its_end(make):
+    text = sentences_of([11, 8, 1, 5, 5], 1)
+    result = {r.doc_id: r for r in dedup_sentences(make([(1, text), (2, text)])).collect()}
+    assert (result[1].n_removed, result[2].n_removed, result[2].text) == (0, 5, "")
+    pick = random.Random(4)
+    shared = [sentences_of([pick.randrange(1, 12) for _ in range(9)], 100 + k) for k in range(4)]
+    rows = [
+        (n, " ".join([sentences_of([3, 9, 2], 200 + n), *pick.choices(shared, k=2), sentences_of([4, 1, 6], 300 + n)]))
+        for n in range(40)
+    ]
+    assert sorted((r.doc_id, r.text) for r in dedup_sentences(make(rows)).collect()) == all_runs(rows)
+
+
 def plain_bytes(rows):
     seen, found = set(), {}
     for document in sorted(set(rows), key=order):
