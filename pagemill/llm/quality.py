@@ -21,8 +21,9 @@ WINDOW = 5
 LEAST_WORDS = 10
 REPEAT_PERCENT = 20
 
-# Share of a group that the estimate is drawn from, and rounds of concentrating on the nearest rows.
-CORE_SHARE = 0.75
+# Share of a group that the estimate is drawn from, and rounds of concentrating on the nearest rows. With
+# half the rows the estimate holds until nearly half of a group is junk; more rows break earlier.
+CORE_SHARE = 0.5
 ROUNDS = 4
 # A group with fewer rows takes the estimate of its language; a language with fewer has none.
 LEAST_ROWS = 50

@@ -129,6 +129,13 @@ def test_estimates_and_verdicts(make):
     assert {i for i, r in judged.items() if r.kept} == set(range(150))
 
 
+def test_a_group_with_much_junk(make):
+    rows = [(k, prose(60 + k % 50, k)) for k in range(180)]
+    junk = [" ".join(w + "$" * (1 + k % 3) for w in prose(60 + k % 40, 3000 + k).split()) for k in range(120)]
+    kept = quality.keep_good(make(rows + [(1000 + k, t) for k, t in enumerate(junk)])).collect()
+    assert {r.doc_id for r in kept} == set(range(180))
+
+
 def test_small_groups_and_odd_rows(make, odd_rows):
     frame = make(odd_rows + [(n + 500, prose(50, n)) for n in range(60)])
     frame = frame.withColumn("source", F.when(F.col("doc_id") % 2 == 0, "a")).withColumn("kept", F.lit("clash"))
