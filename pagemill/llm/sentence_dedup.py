@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -18,13 +19,36 @@ from pagemill.llm.common import LOWER_ASCII, OUT_BYTES, batched, bytes_of, read_
 # shortest that begin and the shortest that end at each sentence.
 SPAN_SENTENCES = 3
 SPAN_WORDS = 20
-# Longer sentences are cut into clauses, after words that their own checksum picks.
+# Longer sentences are cut into clauses, after words that their own checksum picks; of so many words in a
+# row of which none is picked, the one with the least checksum.
 LONG_SENTENCE = 12
 CLAUSE_WORDS = 5
+CLAUSE_WINDOW = 8
 
 # A sentence ends after . ! or ? before white space, or at the end of a line.
 SENTENCE = re.compile(rb"[^\n.!?]*(?:[.!?]+(?!\s)[^\n.!?]*)*(?:[.!?]+\s+|\n\s*|$)")
 WORD = re.compile(rb"\s*\S+\s*")
+# Marks beyond ASCII that end a sentence or line whatever follows, with closing marks and blanks behind.
+ENDS = "\u3002\uff0e\uff01\uff1f\uff61\u203c\u2047\u2048\u2049\u061f\u06d4\u0589\u0964\u0965\u0f0d\u0f0e\u104b\u1362\u1367\u1368\u17d4\u17d5\u2028\u2029"
+CLOSING = "\u300d\u300f\uff09\u3011\u300b\u3009\u3015\uff3d\uff63\u2019\u201d\u00bb\u3000"
+MARKED = re.compile(
+    b"(?:%s)+(?:%s|\\s)*" % tuple(b"|".join(c.encode() for c in marks) for marks in (ENDS, CLOSING))
+)
+# The first bytes of these marks, and of the letters below.
+BEYOND = re.compile(rb"[\xd6\xd8\xdb\xe0-\xf4]")
+# Letters of scripts without blanks between words: each is a word, with the marks that belong to it.
+_SPACELESS = [
+    (0x0E01, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x2E80, 0x2FDF), (0x3005, 0x3007), (0x3021, 0x3029),
+    (0x3031, 0x3035), (0x3041, 0x30FF), (0x3105, 0x312F), (0x31A0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF),
+    (0xA000, 0xA4CF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x1B000, 0x1B16F), (0x20000, 0x3FFFF),
+]
+_MARKS = "".join(
+    chr(c) for a, b in [*_SPACELESS[:3], (0x302A, 0x302F), (0x3099, 0x309A), (0xFE00, 0xFE0F), (0xE0100, 0xE01EF)]
+    for c in range(a, b + 1) if unicodedata.category(chr(c)).startswith("M")
+) + "\uff9e\uff9f"
+_LETTERS = "".join(f"{chr(a)}-{chr(b)}" for a, b in _SPACELESS)
+LETTER = re.compile(f"[{_LETTERS}]")
+UNIT = re.compile(f"\\s*(?:[{_LETTERS}][{_MARKS}]*|[^\\s{_LETTERS}]+)\\s*")
 # An odd multiplier for hashes of runs, and its inverse modulo 2**64.
 BASE = 0x9E3779B97F4A7C15
 BASE_INVERSE = pow(BASE, -1, 1 << 64)
@@ -37,26 +61,59 @@ TAG_AT = SIZE_BITS + 1
 START_AT = TAG_AT + TAG_BITS
 
 
+def words_of(piece: bytes) -> list[bytes]:
+    """The words of a piece with the white space around them. Where a script has no blanks, its letters."""
+    if BEYOND.search(piece) and LETTER.search(text := piece.decode("utf-8", "surrogateescape")):
+        return [unit.encode("utf-8", "surrogateescape") for unit in UNIT.findall(text)]
+    return WORD.findall(piece)
+
+
+def count_words(piece: bytes) -> int:
+    return len(words_of(piece)) if BEYOND.search(piece) else len(piece.split())
+
+
+def clauses(words: list[bytes]) -> Iterator[bytes]:
+    """The words put together up to those that are picked, by nothing but words near them, in lower case."""
+    sums = [zlib.crc32(word.translate(LOWER_ASCII).strip()) for word in words]
+    picked = [n for n, value in enumerate(sums) if value % CLAUSE_WORDS == 0]
+    chosen, before = {*picked, len(words) - 1}, -1
+    for behind in [*picked, len(words)]:
+        best = -1
+        for last in range(before + CLAUSE_WINDOW, behind):
+            # The least of the window that ends here; of equal ones the last.
+            if best <= last - CLAUSE_WINDOW:
+                best = min(range(last, last - CLAUSE_WINDOW, -1), key=sums.__getitem__)
+            elif sums[last] <= sums[best]:
+                best = last
+            chosen.add(best)
+        before = behind
+    first = 0
+    for n in sorted(chosen):
+        yield b"".join(words[first : n + 1])
+        first = n + 1
+
+
 def sentences(body: bytes) -> list[bytes]:
     """The text cut into sentences and clauses, each with the white space behind it."""
     found = []
-    for piece in SENTENCE.findall(body):
-        if not piece:
-            continue
-        if piece.count(b" ") >= LONG_SENTENCE and len(words := WORD.findall(piece)) > LONG_SENTENCE:
-            held = []
-            for word in words:
-                held.append(word)
-                if zlib.crc32(word.strip()) % CLAUSE_WORDS == 0:
-                    found.append(b"".join(held))
-                    held = []
-            if held:
-                found.append(b"".join(held))
-        else:
-            found.append(piece)
+    for line in SENTENCE.findall(body):
+        for piece in _marked(line) if BEYOND.search(line) else [line]:
+            # A word and its blank have two bytes; so has a letter, or more.
+            if len(piece) > 2 * LONG_SENTENCE and len(words := words_of(piece)) > LONG_SENTENCE:
+                found.extend(clauses(words))
+            elif piece:
+                found.append(piece)
     return found
 
 
+def _marked(line: bytes) -> Iterator[bytes]:
+    first = 0
+    for mark in MARKED.finditer(line):
+        yield line[first : mark.end()]
+        first = mark.end()
+    yield line[first:]
+
+
 class Powers:
     """Powers of a number modulo 2**64, as many as were asked for so far."""
 
@@ -88,7 +145,7 @@ def span_hashes(body: bytes, up: Powers, down: Powers) -> tuple[np.ndarray, np.n
     digests, counts = [], []
     for piece in sentences(body):
         words = piece.translate(LOWER_ASCII).split()
-        counts.append(len(words))
+        counts.append(len(words_of(piece)) if BEYOND.search(piece) else len(words))
         digests.append(xxhash.xxh3_64_intdigest(b" ".join(words)))
     n = len(counts)
     words_before = np.zeros(n + 1, np.int64)
@@ -207,6 +264,10 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
 def dedup_sentences(documents: DataFrame) -> DataFrame:
     """`documents` with repeated passages removed from `text`, and `n_sentences`, `n_removed`, `words_removed`.
 
+    Sentences end at marks of many scripts and at the ends of lines. Those of more than `LONG_SENTENCE`
+    words are cut into clauses of `CLAUSE_WINDOW` words at most, but for the ends, by their words in lower
+    case. A letter of a script without blanks counts as a word.
+
     Every run of `SPAN_SENTENCES` or more consecutive sentences with `SPAN_WORDS` words or more counts, by
     its lower-case words; sentences in a run that is not the first of its kind go, with the white space
     behind them. The shortest runs that begin and that end at each sentence are hashed; together they
@@ -262,7 +323,7 @@ def without_runs(text: str | None, runs: list[int] | None) -> tuple[str | None,
         gone[packed & 0xFFFFFFFF] -= 1
     gone = np.cumsum(gone) > 0
     left = b"".join([p for p, g in zip(pieces, gone) if not g])
-    words = sum(len(p.split()) for p, g in zip(pieces, gone) if g)
+    words = sum(count_words(p) for p, g in zip(pieces, gone) if g)
     return left.decode(), len(pieces), int(gone.sum()), words
 
 

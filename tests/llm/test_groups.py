@@ -11,7 +11,7 @@ from fixtures_llm import prose
 from pagemill.llm.components import connected_components
 from pagemill.llm.induced_sort import LayerQueue, induce, later_ones
 from pagemill.llm.ngram_join import ngram_groups
-from pagemill.llm.sentence_dedup import SPAN_SENTENCES, SPAN_WORDS, dedup_sentences, sentences
+from pagemill.llm.sentence_dedup import SPAN_SENTENCES, SPAN_WORDS, dedup_sentences, sentences, words_of
 from pagemill.llm.suffix_dedup import dedup_bytes
 
 
@@ -156,6 +156,29 @@ def test_every_repeated_run_goes_to_its_end(make):
     assert sorted((r.doc_id, r.text) for r in dedup_sentences(make(rows)).collect()) == all_runs(rows)
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_long_lines_and_other_scripts_are_cut(make, seed):
+    pick = random.Random(seed)
+
+    def line(n, blank):
+        return blank.join("".join(pick.choices("abcdefgh", k=6)) for _ in range(n))
+
+    def phrases(n):
+        return "".join("".join(chr(pick.randrange(0x4E00, 0x9F00)) for _ in range(20)) + "\u3002" for _ in range(n))
+
+    tabbed, plain, chinese, marked = line(60, "\t"), line(60, " "), phrases(20), phrases(20).replace("\u3002", "")
+    thai = "".join(chr(pick.randrange(0x0E01, 0x0E2F)) + "\u0e34" for _ in range(80))
+    for n, passage in enumerate([tabbed, plain, chinese, marked, thai]):
+        rows = [(k, f"{line(3 + k, ' ')}. {passage} {line(9 - k, ' ')}.") for k in (1, 2)]
+        rows[1] = (2, rows[1][1].upper())
+        result = {r.doc_id: r for r in dedup_sentences(make(rows)).collect()}
+        assert result[1].text == rows[0][1], n
+        assert result[2].words_removed >= 20 and len(result[2].text) < len(rows[1][1]), n
+    assert all(len(words_of(p)) <= 8 for p in sentences((tabbed * 3).encode())[1:-1])
+    for text in (tabbed, chinese, thai, " \u3000 \n" + marked, "a\u3002\u300d b\u00a0c"):
+        assert b"".join(sentences(text.encode())).decode() == text
+
+
 def plain_bytes(rows):
     seen, found = set(), {}
     for document in sorted(set(rows), key=order):
