@@ -16,18 +16,29 @@ from pagemill.llm.sentence_dedup import dedup_sentences
 from pagemill.sources.storage import stage
 
 
+def with_key(docs: DataFrame) -> DataFrame:
+    """`docs` with `_key`, a digest of id and text by which decisions are joined back. It is never null."""
+    return docs.withColumn("_key", F.xxhash64("doc_id", "text"))
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
     return keep_good(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the smallest doc_id stays, and what has no id; of rows with one
-    id one stays."""
-    groups = ngram_groups(docs)
-    first = groups.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    kept = docs.filter("doc_id is not null").join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.select(*docs.columns).unionByName(docs.filter("doc_id is null"))
+    """Of each group of near duplicates the row with the smallest doc_id stays, one without id only if none
+    has one, and of several with that id one by a digest. Rows that are equal in id and text are one
+    document; rows with one id and different texts are different documents."""
+    keyed = with_key(docs)
+    groups = ngram_groups(keyed.select(F.col("_key").alias("doc_id"), "text"))
+    groups = groups.select(F.col("doc_id").alias("_key"), "component_id").distinct()
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_key")
+    first = (
+        keyed.select("doc_id", "_key").distinct().join(groups, "_key")
+        .groupBy("component_id").agg(F.min(rank).alias("first")).select(F.col("first._key").alias("_key"))
+    )
+    return keyed.join(first, "_key", "left_semi").dropDuplicates(["_key"]).select(*docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,9 +54,10 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a passage of the benchmark go."""
-    found = find_benchmark(docs, read_table(spark, sf_dir, "benchmark"))
-    hit = found.filter(F.size("runs") > 0).select("doc_id").distinct()
-    return docs.join(hit, "doc_id", "left_anti").select(*docs.columns)
+    keyed = with_key(docs)
+    found = find_benchmark(keyed.select(F.col("_key").alias("doc_id"), "text"), read_table(spark, sf_dir, "benchmark"))
+    hit = found.filter(F.size("runs") > 0).select(F.col("doc_id").alias("_key")).distinct()
+    return keyed.join(hit, "_key", "left_anti").select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

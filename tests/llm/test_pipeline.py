@@ -56,6 +56,28 @@ def test_run_gives_the_tokens_of_what_is_left(spark, corpus):
     assert found[5].decoded_sha256 == hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
 
 
+def test_rows_with_null_and_repeated_ids(spark, corpus):
+    path, _ = corpus
+    item, clean = prose(20, 9000), [prose(70, 800 + k) for k in range(6)]
+    hit = f"{clean[0]} {item} {clean[1]}"
+    rows = [(None, hit), (None, clean[2]), (1, hit), (1, clean[3]), (2, clean[4]), (2, clean[4])]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], COLUMNS).repartition(3)
+    left = corpus_pipeline.benchmark_passages(spark, docs, path)
+    assert left.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=repr) == sorted(
+        [(None, clean[2]), (1, clean[3]), (2, clean[4]), (2, clean[4])], key=repr
+    )
+    rows = [(5, clean[0]), (5, clean[1]), (3, clean[0]), (7, clean[1] + " tail"), (None, clean[0]), (8, clean[4])]
+    rows += [(None, clean[2]), (None, clean[2]), (None, clean[3]), (8, clean[4]), (9, None), (10, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], COLUMNS).repartition(3)
+    left = corpus_pipeline.near_duplicates(spark, docs, path)
+    assert left.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=repr) == sorted(
+        [(3, clean[0]), (5, clean[1]), (None, clean[2]), (None, clean[3]), (8, clean[4]), (9, None), (10, None)],
+        key=repr,
+    )
+
+
 def test_queries_are_registered():
     names = __spark_entry__.queries()
     assert "pipeline" in names
