@@ -337,8 +337,9 @@ def ngram_groups(documents: DataFrame) -> DataFrame:
     A document's set holds its distinct runs of five words, A-Z in lower case; with fewer words, the whole
     sequence. Without words, or with null text, it is empty and linked with nothing. Documents link
     when their sets share 80 of 100 members of their union; component_id is the smallest doc_id
-    that links reach. Equal sets are one: copies are never paired. No link between different sets is
-    lost, whatever the number of documents that share an n-gram. Rows with a null doc_id take part;
+    that links reach. Equal sets are one: copies are never paired. Components are whole, whatever the
+    number of documents that share an n-gram; the links themselves are not: pairs already in one
+    component are skipped, so neither links nor their number can be had from here. Rows with a null doc_id take part;
     alone in their component they keep a null component_id. Repeated rows each give a row; other
     columns are ignored. Members are 62-bit hashes, sets are named by 63 bits.
     """
