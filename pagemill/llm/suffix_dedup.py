@@ -211,7 +211,9 @@ def sorted_shards(found: DataFrame) -> DataFrame:
     """(doc_id, tag, first, behind): bytes of windows that equal an earlier window of their shard.
 
     Each partition is a shard. Its texts, and the tuples of the sort, lie in files without names beyond
-    a bound, so a shard may be larger than memory.
+    a bound. The numbers of its contexts do not: a task holds some ten whole arrays of them and a row
+    per hit, about as many bytes as the texts have. All contexts of one anchor are in one shard, so an
+    anchor between very many different neighbours has to fit a task.
     """
     schema = pa.schema(
         [("doc_id", pa.int64()), ("tag", pa.int64()), ("first", pa.int64()), ("behind", pa.int64())]
