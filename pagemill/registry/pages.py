@@ -103,7 +103,8 @@ def _(spark, sf_dir):
 
 @query("paragraph_text_parser", f"SELECT page_id, {page_text_sql('html')} AS page_text FROM pages")
 def _(spark, sf_dir):
-    text = fn.paragraph_text("html", engine="parser")
+    # The parser is an independent check, in tests only.
+    text = fn.paragraph_text("html")
     return fx.page_table(spark, sf_dir).select("page_id", text.alias("page_text"))
 
 
