@@ -8,10 +8,11 @@ from dataclasses import dataclass
 from itertools import groupby
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagemill.llm.common import batched, read_table
+from pagemill.llm.numbering import numbered
 from pagemill.sources.storage import stage, stage_sized
 
 # Nodes that become one node of the next level.
@@ -22,8 +23,6 @@ LEVELS = 3
 TASK_LEAVES = 32 * ARITY**LEVELS
 # Bytes of a digest.
 WIDTH = 32
-# Bits of `monotonically_increasing_id` that count the rows of a partition.
-ROW_BITS = 33
 
 BLOCK_TYPE = "_key string, _block long, _n long, _ids array<long>, _claims array<binary>, _nodes binary"
 BLOCK_SCHEMA = pa.schema([
@@ -170,35 +169,6 @@ def leaf_digest(fields: Sequence[Column]) -> Column:
     return F.unhex(F.sha2(leaf_text(fields), 256))
 
 
-def numbered(rows: DataFrame, order: Sequence[str], name: str) -> tuple[DataFrame, int]:
-    """`rows` with `_index`, dense from 0 within `_key` in `order`, and `_n`, the rows of the key; and their number.
-
-    One global sort of narrow rows is written; equal rows are told apart by where they were read, so many
-    of them still spread over partitions. A key's rows in a partition are counted, not looked at, so a hot
-    key costs one number per partition.
-    """
-    marked = rows.withColumn("_tie", F.monotonically_increasing_id())
-    in_order = marked.orderBy("_key", *order, "_tie").drop("_tie")
-    placed = stage(in_order.withColumn("_place", F.monotonically_increasing_id()), name)
-    placed = placed.withColumn("_part", F.shiftright("_place", ROW_BITS))
-    per_part = placed.groupBy("_part", "_key").agg(F.count(F.lit(1)).alias("_rows"), F.min("_place").alias("_first"))
-    of_key = Window.partitionBy("_key")
-    before = of_key.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts, small = stage_sized(
-        per_part.select(
-            "_part", "_key",
-            (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first")).alias("_shift"),
-            F.sum("_rows").over(of_key).alias("_n"),
-            "_rows",
-        ),
-        f"{name}-starts",
-    )
-    total = starts.agg(F.sum("_rows")).first()[0] or 0
-    found = placed.join(F.broadcast(starts) if small else starts, ["_part", "_key"])
-    index = (F.col("_place") + F.col("_shift")).alias("_index")
-    return found.select(*[c for c in rows.columns], index, "_n"), total
-
-
 def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
     for batch in batches:
         yield from zip(*[column.to_pylist() for column in batch.columns])

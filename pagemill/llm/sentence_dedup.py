@@ -12,8 +12,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pagemill.llm.common import LOWER_ASCII, OUT_BYTES, batched, bytes_of, read_table
+from pagemill.llm.numbering import identified
 
 # A span is a run of at least so many sentences that holds at least so many words; hashed are the
 # shortest that begin and the shortest that end at each sentence.
@@ -52,13 +54,11 @@ UNIT = re.compile(f"\\s*(?:[{_LETTERS}][{_MARKS}]*|[^\\s{_LETTERS}]+)\\s*")
 # An odd multiplier for hashes of runs, and its inverse modulo 2**64.
 BASE = 0x9E3779B97F4A7C15
 BASE_INVERSE = pow(BASE, -1, 1 << 64)
-# A span's place is one number: its first sentence, the tag of its row's text, its sentences, and whether
-# its equal came before in the chunk. All sentences but the first of a text hold a word, so the shortest
-# spans have at most SPAN_WORDS + 1 sentences.
-TAG_BITS = 26
+# A span's place is one number: its first sentence, its sentences, and whether its equal came before in
+# the chunk. All sentences but the first of a text hold a word, so the shortest spans have at most
+# SPAN_WORDS + 1 sentences.
 SIZE_BITS = 6
-TAG_AT = SIZE_BITS + 1
-START_AT = TAG_AT + TAG_BITS
+START_AT = SIZE_BITS + 1
 
 
 def words_of(piece: bytes) -> list[bytes]:
@@ -173,8 +173,8 @@ def spans(documents: DataFrame) -> DataFrame:
     """(hash, doc_id, place): spans that may be the first of their kind, one per hash and chunk of rows, and
     spans that are not, with an even or odd `place`.
 
-    `place` holds the first sentence, the tag of the row's text and the number of sentences, and a last
-    bit for a span whose equal came before in the chunk. Those need no further look; their hash is
+    `place` holds the first sentence and the number of sentences, and a last bit for a span whose equal
+    came before in the chunk. Those need no further look; their hash is
     drawn from their place, so that they do not meet.
     """
 
@@ -184,15 +184,12 @@ def spans(documents: DataFrame) -> DataFrame:
         def chunks():
             held, held_bytes = [], 0
             for batch in batches:
-                for doc_id, body, tag in zip(*(batch.column(k) for k in range(3))):
+                for doc_id, body in zip(batch.column(0), batch.column(1)):
                     body = body.as_py() or b""
                     hashes, start, behind = span_hashes(body, up, down)
                     if len(hashes):
-                        own = doc_id.as_py()
-                        # Null ids come before all others.
-                        order = np.iinfo(np.int64).min if own is None else own
-                        place = start << START_AT | tag.as_py() << TAG_AT | (behind - start) << 1
-                        held.append((hashes, place, order, own is None))
+                        place = start << START_AT | (behind - start) << 1
+                        held.append((hashes, place, doc_id.as_py()))
                         held_bytes += 32 * len(hashes)
                     if held_bytes >= OUT_BYTES:
                         yield held
@@ -204,61 +201,46 @@ def spans(documents: DataFrame) -> DataFrame:
             hashes, place = (np.concatenate([h[k] for h in held]) for k in range(2))
             lengths = [len(h[0]) for h in held]
             doc_id = np.repeat(np.array([h[2] for h in held], np.int64), lengths)
-            null = np.repeat(np.array([h[3] for h in held], bool), lengths)
-            order = np.lexsort((place, doc_id, ~null, hashes))
-            hashes, place, doc_id, null = (v[order] for v in (hashes, place, doc_id, null))
+            order = np.lexsort((place, doc_id, hashes))
+            hashes, place, doc_id = (v[order] for v in (hashes, place, doc_id))
             later = np.zeros(len(hashes), bool)
             # Equal rows of the table are equally first.
-            later[1:] = (hashes[1:] == hashes[:-1]) & ~(
-                (doc_id[1:] == doc_id[:-1]) & (place[1:] == place[:-1]) & (null[1:] == null[:-1])
-            )
+            later[1:] = (hashes[1:] == hashes[:-1]) & ~((doc_id[1:] == doc_id[:-1]) & (place[1:] == place[:-1]))
             same = np.flatnonzero(~later[1:] & (hashes[1:] == hashes[:-1])) + 1
             for n in same:
                 later[n] = later[n - 1]
             own = mixed(doc_id.astype(np.uint64) * np.uint64(BASE) + place.astype(np.uint64))
             hashes = np.where(later, own, hashes)
-            yield from _span_batches(hashes, doc_id, null, place + later)
+            yield from _span_batches(hashes, doc_id, place + later)
 
-    rows = documents.select(
-        F.col("doc_id").cast("long").alias("doc_id"), bytes_of().alias("body"),
-        F.coalesce(text_tag(), F.lit(0)).alias("tag"),
-    )
+    rows = documents.select("doc_id", bytes_of().alias("body"))
     return rows.mapInArrow(run, "hash long, doc_id long, place long")
 
 
-def _span_batches(hashes, doc_id, null, place, rows: int = 100_000) -> Iterator[pa.RecordBatch]:
+def _span_batches(hashes, doc_id, place, rows: int = 100_000) -> Iterator[pa.RecordBatch]:
     for n in range(0, len(hashes), rows):
         part = slice(n, n + rows)
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(hashes[part].view(np.int64)), pa.array(doc_id[part], mask=null[part]),
-                pa.array(place[part].astype(np.int64)),
+                pa.array(hashes[part].view(np.int64)), pa.array(doc_id[part]), pa.array(place[part].astype(np.int64))
             ],
             schema=SPANS,
         )
 
 
-def text_tag():
-    """Tells apart rows with one id and different texts."""
-    return F.xxhash64("text").bitwiseAND(F.lit((1 << TAG_BITS) - 1))
-
-
 def repeated_spans(documents: DataFrame) -> DataFrame:
-    """(doc_id, tag, first, behind): runs of sentences that repeat a span which came before.
+    """(doc_id, first, behind): runs of sentences that repeat a span which came before.
 
-    Before means a smaller doc_id (null first), or the same and an earlier sentence. Equal spans meet
+    Before means a smaller doc_id, or the same and an earlier sentence. Equal spans meet
     in one shuffle, after at most one per chunk of rows is left of each: a span that a third of all
     documents hold gives a row per chunk, not per document.
     """
-    order = Window.partitionBy("hash").orderBy(F.col("doc_id").asc_nulls_first(), "place")
+    order = Window.partitionBy("hash").orderBy("doc_id", "place")
     ranked = spans(documents).withColumn("rank", F.rank().over(order))
     later = ranked.filter((F.col("rank") > 1) | (F.col("place") % 2 == 1))
     first = F.shiftright("place", START_AT)
     size = F.shiftright("place", 1).bitwiseAND(F.lit((1 << SIZE_BITS) - 1))
-    return later.select(
-        "doc_id", F.shiftright("place", TAG_AT).bitwiseAND(F.lit((1 << TAG_BITS) - 1)).alias("tag"),
-        first.alias("first"), (first + size).alias("behind"),
-    )
+    return later.select("doc_id", first.alias("first"), (first + size).alias("behind"))
 
 
 def dedup_sentences(documents: DataFrame) -> DataFrame:
@@ -278,36 +260,27 @@ def dedup_sentences(documents: DataFrame) -> DataFrame:
     are replaced. Hashes have 64 bits. Any number of rows may share a passage.
     """
     documents = documents.drop("n_sentences", "n_removed", "words_removed")
+    rows = identified(documents)
     packed = (F.shiftleft(F.col("first"), 32) + F.col("behind")).alias("run")
-    removed = (
-        repeated_spans(documents).select("doc_id", "tag", packed)
-        .groupBy("doc_id", "tag").agg(F.collect_set("run").alias("_runs"))
-        .select(F.col("doc_id").alias("_doc_id"), F.col("tag").alias("_tag"), "_runs")
-    )
-    joined = documents.join(
-        removed,
-        documents["doc_id"].cast("long").eqNullSafe(removed["_doc_id"])
-        & (F.coalesce(text_tag(), F.lit(0)) == removed["_tag"]),
-        "left",
-    ).drop("_doc_id", "_tag")
-    text_at, runs_at = joined.columns.index("text"), joined.columns.index("_runs")
-    kept = [n for n in range(len(joined.columns)) if n != runs_at]
+    removed = repeated_spans(rows).select("doc_id", packed).groupBy("doc_id").agg(F.collect_set("run").alias("runs"))
+    joined = rows.join(removed, "doc_id", "left").select("row", "runs")
+    names, text_at = documents.columns, documents.columns.index("text")
+    numbers = ("n_sentences", "n_removed", "words_removed")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, counts = [], []
-            for text, runs in zip(batch.column(text_at), batch.column(runs_at)):
-                left, *numbers = without_runs(text.as_py(), runs.as_py())
+            columns = batch.column(0).flatten()
+            for text, runs in zip(columns[text_at], batch.column(1)):
+                left, *found = without_runs(text.as_py(), runs.as_py())
                 texts.append(left)
-                counts.append(numbers)
-            columns = [batch.column(n) for n in kept]
-            columns[kept.index(text_at)] = pa.array(texts, pa.string())
+                counts.append(found)
+            columns[text_at] = pa.array(texts, pa.string())
             columns += [pa.array([c[k] for c in counts], pa.int64()) for k in range(3)]
-            names = [batch.schema.names[n] for n in kept] + ["n_sentences", "n_removed", "words_removed"]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            yield pa.RecordBatch.from_arrays(columns, names=[*names, *numbers])
 
-    schema = documents.select(*[F.col(f"`{joined.columns[n]}`") for n in kept]).schema
-    for name in ("n_sentences", "n_removed", "words_removed"):
+    schema = T.StructType(list(documents.schema.fields))
+    for name in numbers:
         schema = schema.add(name, "long")
     return joined.mapInArrow(run, schema)
 

@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from pagemill.llm.common import OUT_BYTES, batched, bytes_of, read_table
 from pagemill.llm.induced_sort import TextStore, induce, later_ones
+from pagemill.llm.numbering import identified
 from pagemill.llm.sentence_dedup import BASE, BASE_INVERSE, Powers, mixed
 from pagemill.sources.storage import stage, stage_sized
 
@@ -28,9 +29,6 @@ LENGTH = 100
 GRAM = 32
 STARTS = LENGTH - GRAM + 1  # places of the anchor in a window
 WIDTH = LENGTH + STARTS - 1  # bytes of a context at most
-# A place holds the byte where a run begins and a tag of the row's text.
-TAG_BITS = 17
-TAG_MASK = (1 << TAG_BITS) - 1
 # Bytes of contexts in a shard on average.
 SHARD_BYTES = 64 * 1024 * 1024
 
@@ -72,11 +70,6 @@ RUNS = pa.schema(
 )
 
 
-def text_tag():
-    """Tells apart rows with one id and different texts."""
-    return F.coalesce(F.xxhash64("text"), F.lit(0)).bitwiseAND(F.lit(TAG_MASK))
-
-
 def runs(documents: DataFrame) -> DataFrame:
     """(gram, context, doc_id, place, shape) of all runs of windows.
 
@@ -91,15 +84,13 @@ def runs(documents: DataFrame) -> DataFrame:
         def chunks():
             held, held_bytes = [], 0
             for batch in batches:
-                for doc_id, body, tag in zip(*(batch.column(k) for k in range(3))):
+                for doc_id, body in zip(batch.column(0), batch.column(1)):
                     found = runs_of(body.as_py() or b"", up, down)
                     if found is None:
                         continue
                     gram, context, first, last, anchor = found
-                    own = doc_id.as_py()
                     shape = ((last - first) << 8 | (anchor - first)) << 1
-                    order = np.iinfo(np.int64).min if own is None else own
-                    held.append((gram, context, first << TAG_BITS | tag.as_py(), shape, order, own is None))
+                    held.append((gram, context, first, shape, doc_id.as_py()))
                     held_bytes += 48 * len(gram)
                     if held_bytes >= OUT_BYTES:
                         yield held
@@ -111,57 +102,49 @@ def runs(documents: DataFrame) -> DataFrame:
             gram, context, place, shape = (np.concatenate([h[k] for h in held]) for k in range(4))
             lengths = [len(h[0]) for h in held]
             doc_id = np.repeat(np.array([h[4] for h in held], np.int64), lengths)
-            null = np.repeat(np.array([h[5] for h in held], bool), lengths)
-            # Null ids come before all others.
-            order = np.lexsort((place, doc_id, ~null, context, gram))
-            gram, context, place, shape, doc_id, null = (
-                v[order] for v in (gram, context, place, shape, doc_id, null)
-            )
+            order = np.lexsort((place, doc_id, context, gram))
+            gram, context, place, shape, doc_id = (v[order] for v in (gram, context, place, shape, doc_id))
             same = (gram[1:] == gram[:-1]) & (context[1:] == context[:-1])
-            equal_row = (doc_id[1:] == doc_id[:-1]) & (place[1:] == place[:-1]) & (null[1:] == null[:-1])
+            equal_row = (doc_id[1:] == doc_id[:-1]) & (place[1:] == place[:-1])
             later = np.concatenate([[False], same & ~equal_row])
             for n in np.flatnonzero(same & equal_row) + 1:
                 later[n] = later[n - 1]
-            own = [v[~later] for v in (gram, context, doc_id, null, place, shape)]
-            spans = joined_runs(*(v[later] for v in (doc_id, null, place, shape)))
+            own = [v[~later] for v in (gram, context, doc_id, place, shape)]
+            spans = joined_runs(*(v[later] for v in (doc_id, place, shape)))
             columns = [np.concatenate(pair) for pair in zip(own, spans)]
             for n in range(0, len(columns[0]), 100_000):
-                gram, context, doc_id, null, place, shape = (v[n : n + 100_000] for v in columns)
+                gram, context, doc_id, place, shape = (v[n : n + 100_000] for v in columns)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(gram.view(np.int64)), pa.array(context.view(np.int64)),
-                        pa.array(doc_id, mask=null), pa.array(place.astype(np.int64)), pa.array(shape.astype(np.int64)),
+                        pa.array(gram.view(np.int64)), pa.array(context.view(np.int64)), pa.array(doc_id),
+                        pa.array(place.astype(np.int64)), pa.array(shape.astype(np.int64)),
                     ],
                     schema=RUNS,
                 )
 
-    rows = documents.select(
-        F.col("doc_id").cast("long").alias("doc_id"), bytes_of().alias("body"), text_tag().alias("tag")
-    )
+    rows = documents.select("doc_id", bytes_of().alias("body"))
     return rows.mapInArrow(run, "gram long, context long, doc_id long, place long, shape long")
 
 
-def joined_runs(doc_id, null, place, shape) -> tuple[np.ndarray, ...]:
+def joined_runs(doc_id, place, shape) -> tuple[np.ndarray, ...]:
     """Later runs of one text that touch or overlap, as one; with a hash of their place for a hash."""
-    order = np.lexsort((place >> TAG_BITS, place & TAG_MASK, doc_id, ~null))
-    doc_id, null, place, shape = (v[order] for v in (doc_id, null, place, shape))
-    first = place >> TAG_BITS
-    behind = first + (shape >> 9) + LENGTH
-    if len(first):
-        same = (doc_id[1:] == doc_id[:-1]) & (null[1:] == null[:-1])
-        same &= ((place[1:] ^ place[:-1]) & TAG_MASK) == 0
-        starts = np.flatnonzero(np.concatenate([[True], ~(same & (first[1:] <= behind[:-1]))]))
-        ends = np.concatenate([starts[1:], [len(first)]]) - 1
-        doc_id, null, place = doc_id[starts], null[starts], place[starts]
-        shape = (behind[ends] - first[starts] - LENGTH) << 9 | 1
+    order = np.lexsort((place, doc_id))
+    doc_id, place, shape = (v[order] for v in (doc_id, place, shape))
+    behind = place + (shape >> 9) + LENGTH
+    if len(place):
+        touch = (doc_id[1:] == doc_id[:-1]) & (place[1:] <= behind[:-1])
+        starts = np.flatnonzero(np.concatenate([[True], ~touch]))
+        ends = np.concatenate([starts[1:], [len(place)]]) - 1
+        doc_id, place = doc_id[starts], place[starts]
+        shape = (behind[ends] - place - LENGTH) << 9 | 1
     gram = mixed(doc_id.astype(np.uint64) * np.uint64(BASE) + place.astype(np.uint64))
-    return gram, np.zeros(len(gram), np.uint64), doc_id, null, place, shape
+    return gram, np.zeros(len(gram), np.uint64), doc_id, place, shape
 
 
 def compared(found: DataFrame) -> DataFrame:
     """Runs that come later than an equal one (`sort` false), and the first of each context where
     contexts of one anchor hash differ (`sort` true)."""
-    firsts = Window.partitionBy("gram", "context").orderBy(F.col("doc_id").asc_nulls_first(), "place")
+    firsts = Window.partitionBy("gram", "context").orderBy("doc_id", "place")
     group = Window.partitionBy("gram")
     ranked = found.withColumns(
         {
@@ -175,32 +158,22 @@ def compared(found: DataFrame) -> DataFrame:
     )
 
 
-def first_byte(place="place"):
-    return F.shiftright(place, TAG_BITS)
-
-
 def spans_of_later(later: DataFrame) -> DataFrame:
-    """(doc_id, tag, first, behind): the bytes that whole runs cover."""
-    return later.select(
-        "doc_id", F.col("place").bitwiseAND(F.lit(TAG_MASK)).alias("tag"), first_byte().alias("first"),
-        (first_byte() + F.shiftright("shape", 9) + LENGTH).alias("behind"),
-    )
+    """(doc_id, first, behind): the bytes that whole runs cover."""
+    behind = F.col("place") + F.shiftright("shape", 9) + LENGTH
+    return later.select("doc_id", F.col("place").alias("first"), behind.alias("behind"))
 
 
 def contexts(documents: DataFrame, wanted: DataFrame) -> DataFrame:
     """(gram, doc_id, place, shape, bytes) of the wanted runs, cut from the documents' texts."""
-    per_text = wanted.withColumn("tag", F.col("place").bitwiseAND(F.lit(TAG_MASK))).groupBy("doc_id", "tag").agg(
-        F.collect_list(F.struct("gram", "place", "shape")).alias("runs")
-    ).withColumnsRenamed({"doc_id": "_id", "tag": "_tag"})
-    keys, small = stage_sized(wanted.select(F.col("doc_id").alias("_key")).distinct(), "texts")
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("tag", text_tag())
+    per_text = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("gram", "place", "shape")).alias("runs"))
+    keys, small = stage_sized(wanted.select("doc_id").distinct(), "texts")
+    rows = documents.select("doc_id", "text")
     if small:
-        rows = rows.join(F.broadcast(keys), F.col("doc_id").eqNullSafe(F.col("_key")), "left_semi")
-    joined = rows.dropDuplicates(["doc_id", "tag"]).join(
-        per_text, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tag") == F.col("_tag"))
-    )
+        rows = rows.join(F.broadcast(keys), "doc_id", "left_semi")
+    joined = rows.dropDuplicates(["doc_id"]).join(per_text, "doc_id")
     one = F.explode("runs").alias("run")
-    start = first_byte("run.place").cast("int")
+    start = F.col("run.place").cast("int")
     length = (F.shiftright("run.shape", 9) + LENGTH).cast("int")
     return joined.select("doc_id", F.col("text").cast("binary").alias("body"), one).select(
         "run.gram", "doc_id", "run.place", "run.shape", F.substring("body", start + 1, length).alias("bytes")
@@ -208,20 +181,18 @@ def contexts(documents: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def sorted_shards(found: DataFrame) -> DataFrame:
-    """(doc_id, tag, first, behind): bytes of windows that equal an earlier window of their shard.
+    """(doc_id, first, behind): bytes of windows that equal an earlier window of their shard.
 
     Each partition is a shard. Its texts, and the tuples of the sort, lie in files without names beyond
     a bound. The numbers of its contexts do not: a task holds some ten whole arrays of them and a row
     per hit, about as many bytes as the texts have. All contexts of one anchor are in one shard, so an
     anchor between very many different neighbours has to fit a task.
     """
-    schema = pa.schema(
-        [("doc_id", pa.int64()), ("tag", pa.int64()), ("first", pa.int64()), ("behind", pa.int64())]
-    )
+    schema = pa.schema([("doc_id", pa.int64()), ("first", pa.int64()), ("behind", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = TextStore(WIDTH)
-        kept = [[], [], [], []]  # id, null, place, shape
+        kept = [[], [], []]  # id, place, shape
         for batch in batches:
             doc_id, place, shape, body = (batch.column(k) for k in range(4))
             rows = np.zeros((batch.num_rows, WIDTH), np.uint8)
@@ -232,19 +203,18 @@ def sorted_shards(found: DataFrame) -> DataFrame:
                 begin = STARTS - 1 - far[n]
                 rows[n, begin : begin + len(value)] = value
             texts.append(rows)
-            kept[0].append(np.asarray(doc_id.fill_null(0)))
-            kept[1].append(np.asarray(doc_id.is_null()))
-            kept[2].append(np.asarray(place))
-            kept[3].append(np.asarray(shape))
+            kept[0].append(np.asarray(doc_id))
+            kept[1].append(np.asarray(place))
+            kept[2].append(np.asarray(shape))
         if not texts.rows:
             return
-        doc_id, null, place, shape = (np.concatenate(k) for k in kept)
+        doc_id, place, shape = (np.concatenate(k) for k in kept)
         table = texts.table()
         far, spare = shape >> 1 & 0xFF, shape >> 9
         begin = STARTS - 1 - far
         end = begin + spare + LENGTH
         # Numbers follow the order of documents and places, so the smallest of a run is the first.
-        order = np.lexsort((place, doc_id, ~null))
+        order = np.lexsort((place, doc_id))
         number = np.empty(len(order), np.int32)
         number[order] = np.arange(len(order), dtype=np.int32)
         hit = np.zeros((len(order), STARTS), bool)
@@ -261,29 +231,26 @@ def sorted_shards(found: DataFrame) -> DataFrame:
             if column < STARTS:
                 for later in later_ones(queue.blocks(), LENGTH):
                     hit[later, column] = True
-        yield from batched(hit_spans(hit, order, begin, doc_id, null, place), schema, lambda row: 48)
+        yield from batched(hit_spans(hit, order, begin, doc_id, place), schema, lambda row: 48)
 
     return found.select("doc_id", "place", "shape", "bytes").mapInArrow(
-        run, "doc_id long, tag long, first long, behind long"
+        run, "doc_id long, first long, behind long"
     )
 
 
-def hit_spans(hit, order, begin, doc_id, null, place) -> Iterator[tuple]:
+def hit_spans(hit, order, begin, doc_id, place) -> Iterator[tuple]:
     """Neighbouring windows of a context as one span of bytes."""
     edges = np.diff(np.pad(hit.astype(np.int8), ((0, 0), (1, 1))), axis=1)
     first_rows, first_columns = np.nonzero(edges == 1)
     _, behind_columns = np.nonzero(edges == -1)
     for n, a, b in zip(first_rows.tolist(), first_columns.tolist(), behind_columns.tolist()):
         row = order[n]
-        start = int(place[row]) >> TAG_BITS
-        shift = start - int(begin[row])
-        yield (
-            None if null[row] else int(doc_id[row]), int(place[row]) & TAG_MASK, a + shift, b - 1 + shift + LENGTH
-        )
+        shift = int(place[row]) - int(begin[row])
+        yield int(doc_id[row]), a + shift, b - 1 + shift + LENGTH
 
 
 def repeated_bytes(documents: DataFrame) -> DataFrame:
-    """(doc_id, tag, first, behind): bytes that lie in a string of `LENGTH` bytes which starts earlier, too."""
+    """(doc_id, first, behind): bytes that lie in a string of `LENGTH` bytes which starts earlier, too."""
     found = stage(compared(runs(documents)), "runs")
     wanted = found.filter("sort")
     shards = max(1, wanted.count() * WIDTH // SHARD_BYTES, wanted.sparkSession.sparkContext.defaultParallelism)
@@ -302,35 +269,27 @@ def dedup_bytes(documents: DataFrame) -> DataFrame:
     the new names are replaced.
     """
     documents = documents.drop("kept", "spans", "n_bytes")
-    gone = (
-        repeated_bytes(documents).groupBy("doc_id", "tag")
-        .agg(F.collect_list(F.struct("first", "behind")).alias("_gone"))
-        .withColumnsRenamed({"doc_id": "_id", "tag": "_tag"})
-    )
-    joined = documents.withColumn("_own", text_tag()).join(
-        gone, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_tag")), "left"
-    ).drop("_id", "_tag", "_own")
-    text_at, gone_at = joined.columns.index("text"), joined.columns.index("_gone")
-    kept_at = [n for n in range(len(joined.columns)) if n != gone_at]
+    rows = identified(documents)
+    gone = repeated_bytes(rows).groupBy("doc_id").agg(F.collect_list(F.struct("first", "behind")).alias("gone"))
+    joined = rows.join(gone, "doc_id", "left").select("row", "gone")
+    names, text_at = documents.columns, documents.columns.index("text")
     span = pa.list_(pa.struct([("first", pa.int64()), ("behind", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             left, spans, sizes = [], [], []
-            for text, runs in zip(batch.column(text_at), batch.column(gone_at)):
+            columns = batch.column(0).flatten()
+            for text, runs in zip(columns[text_at], batch.column(1)):
                 body = (text.as_py() or "").encode()
                 merged = merged_spans([(r["first"], r["behind"]) for r in runs.as_py() or ()])
                 left.append(b"".join(body[a:b] for a, b in between(merged, len(body))))
                 spans.append([{"first": a, "behind": b} for a, b in merged])
                 sizes.append(len(body))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(n) for n in kept_at]
-                + [pa.array(left, pa.binary()), pa.array(spans, span), pa.array(sizes, pa.int64())],
-                names=[batch.schema.names[n] for n in kept_at] + ["kept", "spans", "n_bytes"],
-            )
+            columns += [pa.array(left, pa.binary()), pa.array(spans, span), pa.array(sizes, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*names, "kept", "spans", "n_bytes"])
 
-    schema = joined.select(*[F.col(f"`{joined.columns[n]}`") for n in kept_at]).schema
     pair = T.StructType().add("first", "long").add("behind", "long")
+    schema = T.StructType(list(documents.schema.fields))
     schema = schema.add("kept", "binary").add("spans", T.ArrayType(pair)).add("n_bytes", "long")
     return joined.mapInArrow(run, schema)
 

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 from fixtures_llm import prose
+from pyspark.sql import functions as F
 
 from pagemill.llm.components import connected_components
 from pagemill.llm.induced_sort import LayerQueue, induce, later_ones
@@ -78,22 +79,23 @@ def test_long_chains_are_one_component(spark):
     assert found == {**{n: 100 for n in range(100, 161)}, 3: 3, 7: 3}
 
 
-def plain_sentences(rows):
-    """(id, text left, sentences, removed) of each row."""
+def all_runs(rows):
+    """(id, text left, sentences, removed) of each row, by every run that meets both minimums."""
     seen, gone = set(), defaultdict(set)
-    documents = sorted({r for r in rows if r[1] is not None}, key=order)
-    for document in documents:
-        words = [p.lower().split() for p in sentences(document[1].encode())]
+    for document in sorted({r for r in rows if r[1] is not None}, key=order):
+        words = [tuple(p.lower().split()) for p in sentences(document[1].encode())]
         for i in range(len(words)):
-            j = i
-            while j < len(words) and (j - i < SPAN_SENTENCES or sum(map(len, words[i:j])) < SPAN_WORDS):
-                j += 1
-            span = tuple(map(tuple, words[i:j]))
-            if j - i < SPAN_SENTENCES or sum(map(len, words[i:j])) < SPAN_WORDS:
-                continue
-            if span in seen:
-                gone[document] |= set(range(i, j))
-            seen.add(span)
+            size = 0
+            for j in range(i + 1, len(words) + 1):
+                size += len(words[j - 1])
+                if j - i >= SPAN_SENTENCES and size >= SPAN_WORDS:
+                    run = hash(tuple(words[i:j])) if j - i < 40 else (document, i, j)
+                    if run in seen:
+                        gone[document] |= set(range(i, j))
+                    seen.add(run)
+                if j - i >= 40:
+                    # A longer run repeats only if those of 39 sentences within it do.
+                    break
     found = []
     for row in rows:
         if row[1] is None:
@@ -105,10 +107,12 @@ def plain_sentences(rows):
     return sorted(found, key=repr)
 
 
+def sentence_rows(frame):
+    return sorted(((r.doc_id, r.text, r.n_sentences, r.n_removed) for r in dedup_sentences(frame).collect()), key=repr)
+
+
 def test_sentences_that_came_before_go(make, odd_rows):
-    # One id with two texts has no order of its own, and null ids are equal: keep their texts apart.
-    result = dedup_sentences(make(odd_rows)).collect()
-    assert sorted(((r.doc_id, r.text, r.n_sentences, r.n_removed) for r in result), key=repr) == plain_sentences(odd_rows)
+    assert sentence_rows(make(odd_rows)) == all_runs(odd_rows)
 
 
 def test_a_passage_goes_from_all_but_the_first(make):
@@ -120,24 +124,6 @@ def test_a_passage_goes_from_all_but_the_first(make):
     assert result[5].source == "s" and "n_chars" in result[5].asDict()
 
 
-def all_runs(rows):
-    """(id, text left) of each row, by every run that meets both minimums."""
-    seen, gone = set(), defaultdict(set)
-    for n, (_, text) in sorted(enumerate(rows), key=lambda r: order(r[1])):
-        words = [tuple(p.lower().split()) for p in sentences(text.encode())]
-        for i in range(len(words)):
-            for j in range(i + SPAN_SENTENCES, len(words) + 1):
-                if sum(map(len, words[i:j])) >= SPAN_WORDS:
-                    run = tuple(words[i:j])
-                    if run in seen:
-                        gone[n] |= set(range(i, j))
-                    seen.add(run)
-    return sorted(
-        (i, b"".join(p for k, p in enumerate(sentences(text.encode())) if k not in gone[n]).decode())
-        for n, (i, text) in enumerate(rows)
-    )
-
-
 def sentences_of(lengths, seed):
     words = iter(prose(sum(lengths), seed).replace(".", "").split())
     return " ".join(" ".join(next(words) for _ in range(n)) + "." for n in lengths)
@@ -153,7 +139,7 @@ def test_every_repeated_run_goes_to_its_end(make):
         (n, " ".join([sentences_of([3, 9, 2], 200 + n), *pick.choices(shared, k=2), sentences_of([4, 1, 6], 300 + n)]))
         for n in range(40)
     ]
-    assert sorted((r.doc_id, r.text) for r in dedup_sentences(make(rows)).collect()) == all_runs(rows)
+    assert sentence_rows(make(rows)) == all_runs(rows)
 
 
 @pytest.mark.parametrize("seed", range(4))
@@ -206,10 +192,43 @@ def byte_rows(frame):
 
 
 def test_bytes_that_came_before_go(make, odd_rows):
-    rows = [r for r in odd_rows if r[0] not in (None, 7)] + [(None, prose(40, 1))]
+    # Different texts of one id are in the order of a digest, so here they share no bytes with each other.
+    rows = [r for r in odd_rows if r != (None, odd_rows[0][1])] + [(None, prose(40, 1))]
     assert byte_rows(make(rows)) == plain_bytes(rows)
 
 
+def test_one_id_with_many_texts_keeps_them_apart(make):
+    passage = prose(60, 900)
+    clean = [(None, prose(25, 1000 + n)) for n in range(1500)] + [(5, prose(25, 3000 + n)) for n in range(300)]
+    held = [(None, f"{prose(8, 4000 + n)} {passage} {prose(8, 5000 + n)}") for n in range(300)]
+    frame = make(clean + held)
+    found = {(r.doc_id, r.text): r for r in dedup_bytes(frame).collect()}
+    assert all(not found[row].spans and found[row].kept == row[1].encode() for row in clean)
+    cut = [found[row] for row in held if found[row].spans]
+    assert len(cut) == len(held) - 1 and all(sum(s.behind - s.first for s in r.spans) >= len(passage) for r in cut)
+    left = Counter((r.doc_id, r.text) for r in dedup_sentences(frame).filter("n_removed = 0").collect())
+    assert all(left[row] == 1 for row in clean) and sum(left.values()) == len(clean) + 1
+
+
+OWN_NAMES = [
+    "_id", "_tag", "_gone", "_own", "_runs", "_doc_id", "_key", "_index", "_n", "row", "runs", "gone", "first", "second",
+    "id", "a", "b", "n", "tag", "gram", "place", "shape", "component_id", "hash", "rank", "number", "body", "a.b",
+]
+
+
+@pytest.mark.parametrize("unique", [True, False])
+@pytest.mark.parametrize("operator", [dedup_bytes, dedup_sentences])
+def test_columns_with_the_operators_own_names_stay(make, odd_rows, operator, unique):
+    rows = [(n, t) for n, (_, t) in enumerate(odd_rows)] if unique else odd_rows
+    plain = make(rows)
+    clashing = plain.select("*", *[F.lit(n).alias(n) for n in OWN_NAMES])
+    found = operator(clashing)
+    assert found.columns[: len(clashing.columns)] == clashing.columns
+    assert all(all(r[n] == n for n in OWN_NAMES) for r in found.collect())
+    kept = found.select(operator(plain).columns)
+    assert sorted(map(repr, kept.collect())) == sorted(map(repr, operator(plain).collect()))
+
+
 def test_periodic_and_overlapping_texts(make):
     pick = random.Random(5)
     unit = "".join(pick.choice("ab") for _ in range(400))

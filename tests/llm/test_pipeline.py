@@ -5,6 +5,7 @@ import hashlib
 import public_tokenizers
 import pytest
 from fixtures_llm import prose
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__
@@ -78,7 +79,21 @@ def test_rows_with_null_and_repeated_ids(spark, corpus):
     )
 
 
+def test_stages_keep_columns_of_any_name_and_empty_tables(spark, corpus):
+    path, texts = corpus
+    names = ["_key", "row", "first", "second", "none", "component_id", "runs", "_id", "_tag", "n", "hash"]
+    rows = [(i, t, "en", "s", len(t or "")) for i, t in texts.items()]
+    rows += [(300, prose(30_000, 8000), "en", "s", 0), (None, prose(80, 8001), "en", "s", 0)]
+    docs = spark.createDataFrame(rows, COLUMNS).select("*", *[F.lit(n).alias(n) for n in names])
+    for _, function in corpus_pipeline.STAGES[:-1]:
+        found = function(spark, docs, path)
+        assert found.columns == docs.columns
+        kept = found.collect()
+        assert {300, None} <= {r.doc_id for r in kept} and all(all(r[n] == n for n in names) for r in kept)
+        assert function(spark, docs.filter("doc_id < 0"), path).collect() == []
+
+
 def test_queries_are_registered():
     names = __spark_entry__.queries()
     assert "pipeline" in names
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14))
