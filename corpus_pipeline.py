@@ -11,16 +11,12 @@ from pagemill.llm.bpe_codec import bpe_round_trip
 from pagemill.llm.common import read_table
 from pagemill.llm.decontaminate import find_benchmark
 from pagemill.llm.ngram_join import ngram_groups
+from pagemill.llm.numbering import identified
 from pagemill.llm.quality import keep_good
 from pagemill.llm.sentence_dedup import dedup_sentences
 from pagemill.sources.storage import stage
 
 
-def with_key(docs: DataFrame) -> DataFrame:
-    """`docs` with `_key`, a digest of id and text by which decisions are joined back. It is never null."""
-    return docs.withColumn("_key", F.xxhash64("doc_id", "text"))
-
-
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
     return keep_good(docs)
@@ -30,15 +26,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Of each group of near duplicates the row with the smallest doc_id stays, one without id only if none
     has one, and of several with that id one by a digest. Rows that are equal in id and text are one
     document; rows with one id and different texts are different documents."""
-    keyed = with_key(docs)
-    groups = ngram_groups(keyed.select(F.col("_key").alias("doc_id"), "text"))
-    groups = groups.select(F.col("doc_id").alias("_key"), "component_id").distinct()
-    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_key")
+    rows = identified(docs)
+    groups = ngram_groups(rows.select("doc_id", "text")).select("doc_id", "component_id").distinct()
+    # Numbers ascend with doc_id, null first.
+    rank = F.struct(F.col("row.doc_id").isNull().alias("none"), "doc_id")
     first = (
-        keyed.select("doc_id", "_key").distinct().join(groups, "_key")
-        .groupBy("component_id").agg(F.min(rank).alias("first")).select(F.col("first._key").alias("_key"))
+        rows.select("doc_id", rank.alias("rank")).distinct().join(groups, "doc_id")
+        .groupBy("component_id").agg(F.min("rank").alias("first")).select(F.col("first.doc_id").alias("doc_id"))
     )
-    return keyed.join(first, "_key", "left_semi").dropDuplicates(["_key"]).select(*docs.columns)
+    return rows.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select("row.*")
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,10 +50,10 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a passage of the benchmark go."""
-    keyed = with_key(docs)
-    found = find_benchmark(keyed.select(F.col("_key").alias("doc_id"), "text"), read_table(spark, sf_dir, "benchmark"))
-    hit = found.filter(F.size("runs") > 0).select(F.col("doc_id").alias("_key")).distinct()
-    return keyed.join(hit, "_key", "left_anti").select(*docs.columns)
+    rows = identified(docs)
+    found = find_benchmark(rows.select("doc_id", "text"), read_table(spark, sf_dir, "benchmark"))
+    hit = found.filter(F.size("runs") > 0).select("doc_id").distinct()
+    return rows.join(hit, "doc_id", "left_anti").select("row.*")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
