@@ -1,4 +1,4 @@
-from pagemill.operators.chunking import split_bytes, split_even, split_floor, with_position
+from pagemill.operators.chunking import split_byte_ranges, split_bytes, split_even, split_floor, with_position
 from pagemill.operators.dedup import count_rows, dedup_any, dedup_keep_first
 from pagemill.operators.graph import (
     JOINED,
@@ -39,7 +39,7 @@ __all__ = [
     "exclude_known_titles", "hot_values", "hot_values_by", "instance_of_closure", "label_lookup",
     "language_site_filter", "lookup_join", "main_pages", "optional_match", "parse_ok",
     "required_match", "resolve_redirect_title", "sample_exact", "select_columns", "series_mapping",
-    "split_bytes", "split_even", "split_floor", "split_redirects", "spread_join",
+    "split_byte_ranges", "split_bytes", "split_even", "split_floor", "split_redirects", "spread_join",
     "subclass_closure", "suffix_filter", "take_first_n", "title_not_null", "to_page_table",
     "union_all_list", "with_alt_labels", "with_position",
 ]

@@ -6,11 +6,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from pagemill.operators import line_chunks
 from pagemill.sources.storage import stage
 
 _OFFSETS = StructType(
     [StructField("_part_file", StringType()), StructField("_rows_before", LongType()),
-     StructField("_weight_before", LongType())]
+     StructField("_weight_before", LongType()), StructField("_blocks_before", LongType())]
 )
 
 
@@ -39,9 +40,10 @@ def _located(df: DataFrame, order: list[str], weight: str | None) -> tuple[DataF
         fields = name.split(".")[0].split("-")
         return int(fields[1]), int(fields[-1].lstrip("c"))
 
-    offsets, rows, weights = [], 0, 0
+    offsets, rows, weights, blocks = [], 0, 0, 0
     for part in sorted(parts, key=lambda p: number(p["_part_file"])):
-        offsets.append((part["_part_file"], rows, weights))
+        offsets.append((part["_part_file"], rows, weights, blocks))
+        blocks += -(-part["rows"] // line_chunks.BLOCK_LINES)
         rows += part["rows"]
         weights += part["weight"]
     # As many rows as the sort has partitions.
@@ -76,13 +78,34 @@ def split_floor(df: DataFrame, n: int, order: list[str], name: str = "chunk_id")
 
 def split_bytes(
     df: DataFrame, size: int, order: list[str], line: str = "value", name: str = "chunk_id"
+) -> DataFrame:
+    """Add the number, from 0, of the chunk in which each line lies (newlines count as bytes).
+
+    The first chunk begins with the first line, the next with the first line that starts more than
+    `size` bytes behind the start of the one before, so lines are never cut and a chunk holds the
+    line that reaches or passes its size. The chain of starts is found by composing blocks of lines, see
+    `line_chunks`, and not line by line. A null line counts as empty. Lines with equal keys in `order`
+    are in a fixed order of their content.
+    """
+    located, _ = _located(df.withColumn("_bytes", _line_bytes(line)), order, "_bytes")
+    found = line_chunks.with_chained_chunks(
+        located, size, row="_part_row", weight="_bytes", blocks="_blocks_before", offset="_weight_before", name="_chunk"
+    )
+    return found.select(*df.columns, F.col("_chunk").cast("int").alias(name))
+
+
+def split_byte_ranges(
+    df: DataFrame, size: int, order: list[str], line: str = "value", name: str = "chunk_id"
 ) -> DataFrame:
     """Add the number of the `size`-byte range in which each line starts (newlines count).
 
     Lines are never cut, and every range starts at a multiple of `size`.
     """
-    sized = df.withColumn("_bytes", F.octet_length(line) + F.lit(1))
-    located, _ = _located(sized, order, "_bytes")
+    located, _ = _located(df.withColumn("_bytes", _line_bytes(line)), order, "_bytes")
     within = Window.partitionBy("_part_file").orderBy("_part_row").rowsBetween(Window.unboundedPreceding, -1)
     start = F.col("_weight_before") + F.coalesce(F.sum("_bytes").over(within), F.lit(0))
     return located.select(*df.columns, _div(start, size).cast("int").alias(name))
+
+
+def _line_bytes(line: str) -> Column:
+    return F.coalesce(F.octet_length(line), F.lit(0)).cast("long") + F.lit(1)

@@ -233,12 +233,32 @@ def _(spark, sf_dir):
 
 @query(
     "split_bytes",
+    """
+    WITH RECURSIVE lines AS MATERIALIZED (
+        SELECT conv_id, turn, coalesce(sum(strlen(text) + 1) OVER (
+            ORDER BY conv_id, turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
+        FROM conversations
+    ), chunks AS (
+        SELECT 0 AS chunk_id, 0::BIGINT AS start
+        UNION ALL
+        SELECT chunk_id + 1, (SELECT min(l.start) FROM lines l WHERE l.start > chunks.start + 65536)
+        FROM chunks WHERE EXISTS (SELECT 1 FROM lines l WHERE l.start > chunks.start + 65536)
+    )
+    SELECT conv_id, turn, chunk_id FROM lines ASOF JOIN chunks ON lines.start >= chunks.start""",
+)
+def _(spark, sf_dir):
+    lines = fx.table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    return op.split_bytes(lines, 65536, ["conv_id", "turn"], "text").drop("text")
+
+
+@query(
+    "split_byte_ranges",
     "SELECT conv_id, turn, CAST((sum(strlen(text) + 1) OVER (ORDER BY conv_id, turn ROWS UNBOUNDED PRECEDING)"
     " - strlen(text) - 1) // 65536 AS INTEGER) AS chunk_id FROM conversations",
 )
 def _(spark, sf_dir):
     lines = fx.table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
-    return op.split_bytes(lines, 65536, ["conv_id", "turn"], "text").drop("text")
+    return op.split_byte_ranges(lines, 65536, ["conv_id", "turn"], "text").drop("text")
 
 
 @query(

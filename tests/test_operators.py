@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,6 +8,7 @@ from compare import plan_text
 
 from pagemill import operators as op
 from pagemill.functions import parse_list_literal
+from pagemill.operators import line_chunks
 
 
 def rows_of(df, *columns):
@@ -194,10 +196,60 @@ def test_split_floor(spark, rows, n):
     assert sorted(tuple(r) for r in chunks.collect()) == expected
 
 
-def test_split_bytes(spark):
+def chained(lines, size):
+    """The chunk of each line, one line after the other."""
+    found, start, begin, chunk = [], 0, 0, 0
+    for line in lines:
+        if start > begin + size:
+            begin, chunk = start, chunk + 1
+        found.append(chunk)
+        start += len((line or "").encode()) + 1
+    return found
+
+
+@pytest.mark.parametrize("size", [0, 7, 64, 1000])
+@pytest.mark.parametrize("block,cell,fan", [(3, 4, 5), (16, 4, 2), (1 << 20, 256, 64)])
+def test_split_bytes_begins_a_chunk_behind_the_last(spark, monkeypatch, size, block, cell, fan):
+    monkeypatch.setattr(line_chunks, "BLOCK_LINES", block)
+    monkeypatch.setattr(line_chunks, "CELL_LINES", cell)
+    composed = line_chunks.chained_chunks
+    monkeypatch.setattr(line_chunks, "chained_chunks", lambda lines, size: composed(lines, size, fan))
+    pick = random.Random(size + block)
+    # Short and long lines, empty and null ones, and stretches of one length.
+    lines = [None if k % 31 == 0 else "é" * pick.choice([0, 0, 1, 2, 5, 9, 40, 300]) for k in range(70)]
+    lines += ["x" * 8] * 30 + ["y" * 2000] + [""] * 20
+    df = spark.createDataFrame(list(enumerate(lines)), "i int, value string").repartition(3)
+    found = sorted((r["i"], r["chunk_id"]) for r in op.split_bytes(df, size, ["i"]).collect())
+    assert [c for _, c in found] == chained(lines, size)
+
+
+def test_split_bytes_of_no_lines_and_of_one(spark):
+    df = spark.createDataFrame([(1, "abc")], "i int, value string")
+    assert [r["chunk_id"] for r in op.split_bytes(df, 1, ["i"]).collect()] == [0]
+    assert op.split_bytes(df.where("i > 1"), 1, ["i"]).collect() == []
+
+
+def test_jump_functions_compose_as_chains_do():
+    pick = np.random.default_rng(5)
+    starts = np.cumsum(pick.integers(1, 60, 4000))
+    for size in (1, 30, 500, 5000):
+        parts = [line_chunks.block_jump(p, size) for p in np.split(starts, [1, 2, 40, 900, 2500])]
+        whole = parts[0]
+        for part in parts[1:]:
+            whole = whole.then(part)
+        for threshold in (-1, int(starts[0]), int(starts[0]) + size - 1):
+            place, chunks, at = np.searchsorted(starts, threshold, side="right"), 0, threshold
+            while place < len(starts):
+                at, chunks = starts[place] + size, chunks + 1
+                place = np.searchsorted(starts, at, side="right")
+            to, count = whole.apply(np.array([threshold]))
+            assert (int(to[0]), int(count[0])) == (at, chunks)
+
+
+def test_split_byte_ranges(spark):
     lines = ["é" * n for n in (3, 0, 50, 1, 7, 200, 2, 2)] * 5
     df = spark.createDataFrame(list(enumerate(lines)), "i int, value string").repartition(4)
-    got = dict((r["i"], r["chunk_id"]) for r in op.split_bytes(df, 64, ["i"]).collect())
+    got = dict((r["i"], r["chunk_id"]) for r in op.split_byte_ranges(df, 64, ["i"]).collect())
     start, expected = 0, {}
     for i, line in enumerate(lines):
         expected[i] = start // 64
