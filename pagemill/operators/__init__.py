@@ -4,7 +4,6 @@ from pagemill.operators.graph import (
     JOINED,
     TripleGraph,
     alt_label_concat,
-    bgp_join,
     entity_articles,
     instance_of_closure,
     label_lookup,
@@ -31,15 +30,17 @@ from pagemill.operators.rows import (
 from pagemill.operators.sampling import sample_exact, take_first_n
 from pagemill.operators.setops import append_by_name, union_all_list
 from pagemill.operators.skew import hot_values, hot_values_by, lookup_join, spread_join
+from pagemill.operators.star import AltLabels, Fixed, Label, Values, article_parts, bgp_join, star_match
 
 __all__ = [
-    "JOINED", "TripleGraph", "alt_label_concat", "append_by_name", "attach_entity_id", "bgp_join",
+    "JOINED", "AltLabels", "Fixed", "Label", "TripleGraph", "Values", "alt_label_concat", "append_by_name",
+    "article_parts", "attach_entity_id", "bgp_join",
     "count_rows", "dedup_any", "dedup_keep_first", "drop_columns", "drop_disambiguation",
     "entity_articles",
     "exclude_known_titles", "hot_values", "hot_values_by", "instance_of_closure", "label_lookup",
     "language_site_filter", "lookup_join", "main_pages", "optional_match", "parse_ok",
     "required_match", "resolve_redirect_title", "sample_exact", "select_columns", "series_mapping",
     "split_byte_ranges", "split_bytes", "split_even", "split_floor", "split_redirects", "spread_join",
-    "subclass_closure", "suffix_filter", "take_first_n", "title_not_null", "to_page_table",
+    "star_match", "subclass_closure", "suffix_filter", "take_first_n", "title_not_null", "to_page_table",
     "union_all_list", "with_alt_labels", "with_position",
 ]

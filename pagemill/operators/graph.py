@@ -203,21 +203,6 @@ def entity_articles(
     return stage(found, "articles")
 
 
-def bgp_join(
-    entities: DataFrame,
-    graph: TripleGraph,
-    on: str = "id",
-    language: str = ARTICLE_LANGUAGE,
-    site: str = ARTICLE_SITE,
-    with_name: bool = True,
-) -> DataFrame:
-    """Join entities with their articles of one language and site, and the articles' names."""
-    articles = entity_articles(entities, graph, on)
-    near = graph.within(articles, "article")
-    articles = language_site_filter(articles, near, language, site)
-    return required_match(articles, near, NAME, "article", "name") if with_name else articles
-
-
 def label_lookup(
     rows: DataFrame,
     graph: TripleGraph,

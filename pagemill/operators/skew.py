@@ -82,7 +82,7 @@ def _is_one_of(column: str, values: Sequence) -> Column:
     return F.coalesce(F.col(column).isin(list(values)), F.lit(False))
 
 
-def _part(df: DataFrame, fanout: int) -> Column:
+def row_part(df: DataFrame, fanout: int) -> Column:
     """A number below `fanout`; content and partition decide it, so a repeated task repeats it."""
     hashable = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
     return F.pmod(F.xxhash64(*hashable, F.spark_partition_id()), F.lit(fanout)).cast("int")
@@ -117,19 +117,19 @@ def spread_join(
     keys = [on]
     if hot_left:
         keys.append("_left_part")
-        part = F.when(_is_one_of(on, hot_left), _part(left, fanout)).otherwise(F.lit(0))
+        part = F.when(_is_one_of(on, hot_left), row_part(left, fanout)).otherwise(F.lit(0))
         left = left.withColumn("_left_part", part)
         right = right.withColumn("_left_part", copies(hot_left))
     if hot_right:
         keys.append("_right_part")
-        part = F.when(_is_one_of(on, hot_right), _part(right, fanout)).otherwise(F.lit(0))
+        part = F.when(_is_one_of(on, hot_right), row_part(right, fanout)).otherwise(F.lit(0))
         right = right.withColumn("_right_part", part).withColumn("_found", F.lit(True))
         left = left.withColumn("_right_part", copies(hot_right))
     if without_key:
         # A NULL matches nothing, so such rows may take any keys that do not occur on the right.
         # The right side keeps its own partitioning.
         keys[0] = "_key"
-        nowhere = F.concat(F.lit("\u0000"), _part(left, fanout).cast("string"))
+        nowhere = F.concat(F.lit("\u0000"), row_part(left, fanout).cast("string"))
         left = left.withColumn("_key", F.coalesce(F.col(on), nowhere))
         right = right.withColumnRenamed(on, "_key")
     joined = left.join(right, keys, how)

@@ -13,20 +13,19 @@ from pagemill.constants import (
     GAME_CLASS,
     GAME_SERIES_CLASS,
     GENRE,
-    NAME,
     PUBLISHER,
     RATING,
+    SERIES,
 )
 from pagemill.operators import (
+    AltLabels,
+    Label,
     TripleGraph,
+    Values,
+    article_parts,
     entity_articles,
     instance_of_closure,
-    label_lookup,
-    language_site_filter,
-    optional_match,
-    required_match,
-    series_mapping,
-    with_alt_labels,
+    star_match,
 )
 
 _OPTIONAL = {"genre": GENRE, "publisher": PUBLISHER, "esrb": RATING}
@@ -45,17 +44,14 @@ def games_query(
     """
     articles = entity_articles(instance_of_closure(graph, target), graph)
     near = graph.within(articles, "id", "article")
-    rows = language_site_filter(articles, near, language, site)
-    rows = required_match(rows, near, NAME, "article", "name")
-    # Everything keyed by the entity comes together, and what multiplies rows comes last.
-    rows = label_lookup(rows, near, "id", languages, "idLabel", unbound=False)
-    rows = with_alt_labels(rows, near, languages)
-    for node, predicate in _OPTIONAL.items():
-        rows = optional_match(rows, near, predicate, node)
+    rows = star_match(articles, near, "article", *article_parts(language, site, with_name=True))
     values = near.triples.where(F.col("p").isin(list(_OPTIONAL.values())))
-    named = graph.within(values, "o")
-    for node in _OPTIONAL:
-        rows = label_lookup(rows, named, node, languages, f"{node}Label")
+    optional = [Values(p, label_into=f"{node}Label", languages=languages) for node, p in _OPTIONAL.items()]
+    # Everything about the entity comes together, with the labels of its objects.
+    rows = star_match(
+        rows, near, "id", Label(languages, "idLabel"), AltLabels(languages, "idAltLabel"), *optional,
+        names=graph.within(values, "o"),
+    )
     return rows.select(
         "id", "idLabel", "genreLabel", "publisherLabel", "esrbLabel", "idAltLabel", "name", "article"
     )
@@ -82,8 +78,8 @@ def mapping_query(
     """Games with a series, once per series and article. The optional labels are never bound."""
     articles = entity_articles(instance_of_closure(graph, target), graph)
     near = graph.within(articles, "id", "article")
-    rows = language_site_filter(articles, near, language, site)
-    rows = label_lookup(rows, near, "id", languages, "idLabel", unbound=False)
-    rows = series_mapping(with_alt_labels(rows, near, languages), near)
+    rows = star_match(articles, near, "article", *article_parts(language, site, with_name=False))
+    series = Values(SERIES, required=True)
+    rows = star_match(rows, near, "id", Label(languages, "idLabel"), AltLabels(languages, "idAltLabel"), series)
     unbound = [F.lit(None).cast("string").alias(f"{node}Label") for node in _OPTIONAL]
     return rows.select("id", "idLabel", *unbound, "idAltLabel", "article")

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -131,6 +133,82 @@ def test_mapping_query(graph, sizes):
     assert rows_of(mapped) == [("e1", "Un", None, None, None, "x", "a1")] * 4
 
 
+def one_by_one(rows, graph, languages):
+    """The parts of a star by one join after the other."""
+    rows = op.language_site_filter(rows, graph, "en", "here", on="n")
+    rows = op.label_lookup(rows, graph, "n", languages, "label")
+    rows = op.with_alt_labels(rows, graph, languages, "n").withColumnRenamed("nAltLabel", "alt")
+    rows = op.required_match(rows, graph, SERIES, "n")
+    for predicate, into in ((GENRE, "g"), (PUBLISHER, "p")):
+        rows = op.optional_match(rows, graph, predicate, into, on="n")
+        rows = op.label_lookup(rows, graph, into, languages, f"{into}Label")
+    return rows
+
+
+def star(rows, graph, languages, required=True):
+    parts = [op.Fixed(IN_LANGUAGE, "en"), op.Fixed(IS_PART_OF, "here"), op.Values(SERIES, required=True)] if required else []
+    values = [op.Values(p, i, label_into=f"{i}Label", languages=languages) for p, i in ((GENRE, "g"), (PUBLISHER, "p"))]
+    return op.star_match(rows, graph, "n", *parts, op.Label(languages, "label"), op.AltLabels(languages, "alt"), *values)
+
+
+@pytest.fixture(scope="module", params=[None, 1])
+def star_graph(spark, request):
+    """Nodes with none to many objects; n0 has many genres and n1 many of two predicates."""
+    pick, facts = random.Random(8), []
+    for k in range(40):
+        node = f"n{k}"
+        facts += [(node, IN_LANGUAGE, pick.choice(["en", "en", "fr"]), None), (node, IS_PART_OF, pick.choice(["here", "there"]), None)]
+        facts += [(node, GENRE, f"g{j}", None) for j in range(pick.choice([0, 1, 2]) if k > 1 else 40)]
+        facts += [(node, PUBLISHER, f"p{j}", None) for j in range(pick.choice([0, 0, 1, 3]) if k != 1 else 30)]
+        facts += [(node, SERIES, f"s{j}", None) for j in range(pick.choice([0, 1, 2]))]
+        facts += [(node, LABEL, f"{lang} {k}", lang) for lang in ("en", "fr", "de") if pick.random() < 0.5]
+        facts += [(node, ALT_LABEL, f"{lang} {pick.random()}", lang) for lang in ("en", "fr") for _ in range(pick.choice([0, 2]))]
+    for node in ("n0", "n1"):
+        facts += [(node, SERIES, "s9", None), (node, IN_LANGUAGE, "en", None), (node, IS_PART_OF, "here", None)]
+    facts += [(f"g{j}", LABEL, f"Genre {j}", pick.choice(["en", "fr"])) for j in range(0, 40, 3)]
+    triples = spark.createDataFrame(sorted(set(facts), key=repr), TRIPLES)
+    if request.param is None:
+        return op.TripleGraph(triples)
+    measured = op.TripleGraph.measure(triples, share=0.2, min_rows=1)
+    assert {"n0", "n1"} <= set(measured.hot_subjects(GENRE)) and "n1" in measured.hot_subjects(PUBLISHER)
+    return measured
+
+
+def test_a_star_gives_the_rows_of_joins_one_by_one(spark, star_graph):
+    nodes = [(f"n{k % 43}", k) for k in range(60)] + [(None, 90), ("unknown", 91)]
+    rows = spark.createDataFrame(nodes, "n string, _place int")
+    languages = ["fr", "en"]
+    found, plain = star(rows, star_graph, languages), one_by_one(rows, star_graph, languages)
+    assert rows_of(found, *plain.columns) == rows_of(plain) and len(rows_of(plain)) > 1000
+
+
+def test_a_star_without_required_parts_keeps_every_row(spark, star_graph):
+    rows = spark.createDataFrame([("n0", 1), ("n0", 1), ("n5", 2), (None, 3), ("unknown", 4)], "n string, _star int")
+    found = star(rows, star_graph, ["en"], required=False)
+    plain = rows
+    plain = op.label_lookup(plain, star_graph, "n", ["en"], "label")
+    plain = op.with_alt_labels(plain, star_graph, ["en"], "n").withColumnRenamed("nAltLabel", "alt")
+    for predicate, into in ((GENRE, "g"), (PUBLISHER, "p")):
+        plain = op.optional_match(plain, star_graph, predicate, into, on="n")
+        plain = op.label_lookup(plain, star_graph, into, ["en"], f"{into}Label")
+    assert rows_of(found, *plain.columns) == rows_of(plain)
+
+
+def test_hot_nodes_add_no_shuffles(spark, star_graph):
+    rows = spark.createDataFrame([(f"n{k}", k) for k in range(40)], "n string, k int")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        hot = plan_text(star(rows, star_graph, ["en"])).count("Exchange hashpartitioning")
+        plain = plan_text(star(rows, op.TripleGraph(star_graph.triples), ["en"])).count("Exchange hashpartitioning")
+        joins = plan_text(one_by_one(rows, star_graph, ["en"])).count("Exchange hashpartitioning")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Labels of objects and their lookup, the node's triples, and the rows.
+    assert hot == plain <= 5 < joins
+
+
 @pytest.mark.parametrize("build", [triples_from, triple_view])
 def test_triples_from_rows(spark, build):
     rows = spark.createDataFrame([(1, "x", None), (2, None, "y")], "id int, a string, b string")
