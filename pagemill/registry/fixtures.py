@@ -84,6 +84,13 @@ def page_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _batches(table(spark, sf_dir, "part"), entry, "allpages", "apcontinue")
 
 
+def order_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(body): batches of one listing entry per order."""
+    rows = table(spark, sf_dir, "orders").selectExpr("o_orderkey as p_partkey", "o_custkey")
+    entry = F.struct(F.col("p_partkey").alias("pageid"), F.col("o_custkey").cast("string").alias("title"))
+    return _batches(rows, entry, "allpages", "apcontinue")
+
+
 def category_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     entry = F.struct("size", "pages", "files", "subcats", F.col("title").alias("*"))
     return _batches(category_rows(spark, sf_dir), entry, "allcategories", "accontinue")

@@ -23,6 +23,8 @@ CATEGORY = (
     " p_size AS num_pages, CAST(length(p_brand) AS INTEGER) AS num_subcat,"
     " CAST(length(p_name) AS INTEGER) AS num_files FROM part"
 )
+# The fixtures' tokens are ids of pages.
+FIRST_ID = "query.allpages[0].pageid"
 PAGE_LISTING = "SELECT p_partkey AS page_id, p_name AS title FROM part"
 
 
@@ -204,7 +206,48 @@ def _(spark, sf_dir):
     " FROM part",
 )
 def _(spark, sf_dir):
-    return src.listing_complete(_batches(spark, sf_dir))
+    return src.listing_complete(_batches(spark, sf_dir), F.expr(FIRST_ID))
+
+
+# Of every ten batches one is gone, one is there twice, and one has lost its token.
+BROKEN = """
+    WITH kept AS (
+        SELECT DISTINCT o_orderkey // 500 AS batch, max(o_orderkey // 500) OVER () AS last FROM orders
+    ), links AS (
+        SELECT batch * 500 AS begin, CASE WHEN batch < last AND batch % 10 <> 4 THEN (batch + 1) * 500 END AS next
+        FROM kept, range(2) copies(n) WHERE batch % 10 <> 1 AND (n = 0 OR batch % 10 = 2)
+    ), problems AS (
+        SELECT DISTINCT 'missing batch' AS problem, next AS token FROM links
+        WHERE next IS NOT NULL AND next NOT IN (SELECT begin FROM links)
+        UNION ALL SELECT 'repeated batch', begin FROM links GROUP BY begin HAVING count(*) > 1
+        UNION ALL SELECT 'repeated continuation', next FROM links WHERE next IS NOT NULL GROUP BY next HAVING count(*) > 1
+        UNION ALL SELECT DISTINCT 'several starts', begin FROM links WHERE begin NOT IN (SELECT next FROM links WHERE next IS NOT NULL)
+            AND (SELECT count(DISTINCT begin) FROM links WHERE begin NOT IN (SELECT next FROM links WHERE next IS NOT NULL)) > 1
+        UNION ALL SELECT DISTINCT 'several endings', begin FROM links WHERE next IS NULL
+            AND (SELECT count(*) FROM links WHERE next IS NULL) > 1
+    )"""
+
+
+def _broken_batches(spark, sf_dir):
+    batches = src.parse_listing_batches(fx.order_batches(spark, sf_dir))
+    batch = F.call_function("div", F.col("query.allpages")[0]["pageid"], F.lit(500))
+    copies = F.explode(F.sequence(F.lit(1), F.when(batch % 10 == 2, 2).otherwise(1)))
+    more = F.when(batch % 10 != 4, F.col("continue"))
+    return batches.where(batch % 10 != 1).select(more.alias("continue"), "query", copies.alias("copy")).drop("copy")
+
+
+@query("listing_breaks", f"{BROKEN} SELECT problem, CAST(token AS VARCHAR) AS token FROM problems")
+def _(spark, sf_dir):
+    return src.listing_breaks(_broken_batches(spark, sf_dir), F.expr(FIRST_ID))
+
+
+@query(
+    "listing_incomplete",
+    f"{BROKEN} SELECT count(*) AS batches, count(*) - count(next) AS final_batches,"
+    " NOT EXISTS (SELECT 1 FROM problems) AS complete FROM links",
+)
+def _(spark, sf_dir):
+    return src.listing_complete(_broken_batches(spark, sf_dir), F.expr(FIRST_ID))
 
 
 @query("batch_count", "SELECT count(DISTINCT p_partkey // 500) AS batches FROM part")

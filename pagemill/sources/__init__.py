@@ -12,9 +12,9 @@ from pagemill.sources.files import (
     write_csv_with_lists,
     write_table,
 )
+from pagemill.sources.listing_chain import batch_links, listing_breaks, listing_complete
 from pagemill.sources.listings import (
     batch_count,
-    listing_complete,
     load_category_listing,
     load_page_listing,
     parse_listing_batches,
@@ -41,7 +41,8 @@ from pagemill.sources.triples import (
 )
 
 __all__ = [
-    "FILE_ORDER", "Statement", "batch_count", "fetch_map", "list_files", "listing_complete", "lists_to_literals",
+    "FILE_ORDER", "Statement", "batch_count", "batch_links", "fetch_map", "list_files", "listing_breaks", "listing_complete",
+    "lists_to_literals",
     "load_category_listing", "load_page_listing", "load_parse_responses", "load_parsed_pages",
     "parse_list_columns", "parse_listing_batches", "query_result_columns", "read_category_list",
     "read_lines", "read_listing_batches", "read_page_csv", "read_query_result", "read_title_list", "read_triples",

@@ -60,14 +60,6 @@ def write_delimited(df: DataFrame, path: str, columns: list[str], sep: str = ";
     to_delimited(df, columns, sep).write.text(path)
 
 
-def listing_complete(batches: DataFrame) -> DataFrame:
-    """One row: batches seen, final batches, and whether the listing ended exactly once."""
-    finals = F.count_if(F.col("continue").isNull())
-    return batches.agg(
-        F.count("*").alias("batches"), finals.alias("final_batches"), (finals == 1).alias("complete")
-    )
-
-
 def batch_count(batches: DataFrame) -> DataFrame:
     """One row with the number of batches."""
     return batches.agg(F.count("*").alias("batches"))

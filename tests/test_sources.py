@@ -34,6 +34,67 @@ def test_listing_batches(spark, tmp_path):
     assert rows_of(src.listing_complete(src.read_listing_batches(spark, str(tmp_path / "cut")))) == [(1, 0, False)]
 
 
+def chain(*sizes):
+    """Batches of these sizes that follow each other."""
+    found, first = [], 0
+    for n in sizes:
+        found.append(pages(first, n, True))
+        first += n
+    del found[-1]["continue"]
+    return found
+
+
+def doubled(batches, k):
+    return [*batches, batches[k]]
+
+
+def without(batches, k):
+    return batches[:k] + batches[k + 1 :]
+
+
+def ended(batches, k):
+    return [{"query": b["query"]} if n == k else b for n, b in enumerate(batches)]
+
+
+def circle(*firsts):
+    return [pages(a, 1, True) | {"continue": {"apcontinue": f"T{b}"}} for a, b in zip(firsts, [*firsts[1:], firsts[0]])]
+
+
+WHOLE = chain(*[3] * 9)
+
+
+@pytest.mark.parametrize(
+    "batches,breaks",
+    [
+        (WHOLE, []),
+        (chain(1), []),
+        (without(WHOLE, 4), [("missing batch", "T12"), ("several starts", "T0"), ("several starts", "T15")]),
+        (without(WHOLE, 8), [("missing batch", "T24"), ("no ending", None)]),
+        (doubled(WHOLE, 4), [("repeated batch", "T12"), ("repeated continuation", "T15")]),
+        (ended(WHOLE, 2), [("several endings", "T24"), ("several endings", "T6"), ("several starts", "T0"), ("several starts", "T9")]),
+        (WHOLE + circle(100, 101, 102), [("cycle", "T100")]),
+        (circle(5, 6), [("no ending", None), ("no start", None)]),
+        (WHOLE + [{"query": {"allpages": []}, "continue": {"apcontinue": "T3"}}],
+         [("empty batch", None), ("repeated continuation", "T3")]),
+    ],
+)
+def test_breaks_of_a_listing_are_named(spark, tmp_path, batches, breaks):
+    for n, batch in enumerate(batches):
+        write(tmp_path / "in", f"{n:02d}.json", batch)
+    listing = src.read_listing_batches(spark, str(tmp_path / "in"))
+    assert rows_of(src.listing_breaks(listing)) == sorted(breaks, key=repr)
+    finals = sum("continue" not in b for b in batches)
+    assert rows_of(src.listing_complete(listing)) == [(len(batches), finals, not breaks)]
+
+
+def test_tokens_write_blanks_as_underscores(spark, tmp_path):
+    entry = {"size": 9, "pages": 5, "files": 3, "subcats": 1, "*": "Two words"}
+    write(tmp_path / "in", "a.json", {"query": {"allcategories": [{"*": "One"}]}, "continue": {"accontinue": "Two_words"}})
+    write(tmp_path / "in", "b.json", {"query": {"allcategories": [entry]}})
+    batches = src.read_listing_batches(spark, str(tmp_path / "in"), "categories")
+    assert rows_of(src.listing_complete(batches)) == [(2, 1, True)]
+
+
 def test_category_batches(spark, tmp_path):
     entry = {"size": 9, "pages": 5, "files": 3, "subcats": 1, "*": "Name"}
     write(tmp_path / "in", "a.json", {"query": {"allcategories": [entry, {"*": "Bare"}]}})
