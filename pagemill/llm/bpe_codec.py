@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -113,6 +114,9 @@ class Encoder:
         described = Tokenizer.from_buffer(content)
         self.normalizer, self.cutter = described.normalizer, described.pre_tokenizer
         self.tokens = vocabulary.tokens
+        # Per word its packed ids and its decoded text, for round trips.
+        self.packed: dict[str, bytes] = {}
+        self.decoded: dict[str, str] = {}
         self.exact_words = 0
 
     @classmethod
@@ -204,6 +208,38 @@ class Encoder:
                     ids += self.known[word] if word in self.known else table[word]
             yield np.array(ids, np.int32)
 
+    def round_trip(self, texts: list[str]) -> Iterator[tuple[bytes, str]]:
+        """Of each text its ids, as little-endian unsigned 32-bit integers, and the text they decode to.
+
+        Both are made per word, once, and put together per text: tokens never cross words, and
+        decoding sets a blank between any two tokens.
+        """
+        cut = [list(chain.from_iterable(self.cut(text))) for text in texts]
+        packed, decoded = self.packed, self.decoded
+        if len(packed) > KEPT_WORDS:
+            packed.clear()
+            decoded.clear()
+        new = list(set().union(*cut) - packed.keys())
+        special = [w for w in new if w in self.vocabulary.specials]
+        for word in special:
+            self._remember(word, [self.vocabulary.specials[word]])
+        plain = [w for w in new if w not in self.vocabulary.specials]
+        for start in range(0, len(plain), 50_000):
+            some = plain[start : start + 50_000]
+            for word, ids in zip(some, self.encode_words(some)):
+                self._remember(word, ids)
+        for words in cut:
+            # A word without tokens leaves no blank.
+            text = " ".join(filter(None, map(decoded.__getitem__, words)))
+            yield b"".join(map(packed.__getitem__, words)), text
+        for word in new:
+            if len(word) > KEPT_LENGTH:
+                del packed[word], decoded[word]
+
+    def _remember(self, word: str, ids: list[int]) -> None:
+        self.packed[word] = np.array(ids, "<u4").tobytes()
+        self.decoded[word] = self.decode(ids)
+
     def decode(self, ids) -> str:
         """Token texts with a blank between, as the encoder's library joins tokens without a decoder."""
         tokens = self.tokens
@@ -266,7 +302,8 @@ def bpe_decode(encoded: DataFrame, vocabulary_path: str) -> DataFrame:
 
 def bpe_round_trip(documents: DataFrame, vocabulary_path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256): digests of the ids, as little-endian unsigned
-    32-bit integers, and of the text that they decode to. Rules for odd rows are those of `bpe_encode`.
+    32-bit integers, and of the text that they decode to, in one pass. Rules for odd rows are those of
+    `bpe_encode`.
     """
     content = _shared(documents.sparkSession, vocabulary_path)
     schema = pa.schema(
@@ -274,24 +311,20 @@ def bpe_round_trip(documents: DataFrame, vocabulary_path: str, key: str = "doc_i
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = Encoder.of(content.value)
+        encoder = Encoder.of(content.value)
 
         def rows():
-            for batch in batches:
-                doc_ids = batch.column(0).to_pylist()
-                ids = batch.column(2)
-                for n, doc_id in enumerate(doc_ids):
-                    own = ids[n].values.to_numpy(zero_copy_only=False)
-                    decoded = decoder.decode(own.tolist())
+            for keys, texts in texts_by_size(pairs_of(batches)):
+                for doc_id, (ids, decoded) in zip(keys, encoder.round_trip(texts)):
                     yield (
-                        doc_id, len(own), hashlib.sha256(own.astype("<u4").tobytes()).hexdigest(),
+                        doc_id, len(ids) // 4, hashlib.sha256(ids).hexdigest(),
                         hashlib.sha256(decoded.encode()).hexdigest(),
                     )
 
         yield from batched(rows(), schema, lambda row: 256)
 
-    encoded = bpe_encode(documents, vocabulary_path, key, text)
-    return encoded.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    rows = id_and_bytes(documents, key, text).withColumn("doc_id", F.col("doc_id").cast("long"))
+    return rows.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op8_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:

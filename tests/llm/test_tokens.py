@@ -117,3 +117,20 @@ def test_conversations_are_read_back(spark):
         assert (r.loss_chars, r.loss_sha256) == (len(learned), hashlib.sha256(learned.encode()).hexdigest())
     assert read_back(segments, RANKS).count() == 6
     assert read_back(assemble(format_turns(frame.filter("turn > 9999"), RANKS)), RANKS).count() == 0
+
+
+def test_round_trip_is_encoding_and_decoding(monkeypatch):
+    with open(WORDS, "rb") as file:
+        encoder = Encoder.of(file.read())
+    special = next(iter(encoder.vocabulary.specials))
+    texts = [
+        "", " \n", "Plain words, and 'tis 12 more.", f"a{special}b {special}{special}", special, special.upper(),
+        "x" * 400 + " y", "x" * 400, "ünïcode İstanbul 東京 \U0001f600", "\x00� ​",
+    ]
+    want = [(ids.astype("<u4").tobytes(), encoder.decode(ids.tolist())) for ids in encoder.encode_batch(texts)]
+    for kept in (600_000, 0):  # with and without what earlier texts left
+        monkeypatch.setattr("pagemill.llm.bpe_codec.KEPT_WORDS", kept)
+        for _ in range(2):
+            assert list(encoder.round_trip(texts)) == want
+    assert not any(len(w) > 48 for w in encoder.packed)
+    assert encoder.packed.keys() == encoder.decoded.keys()
