@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
@@ -9,6 +11,12 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from pagemill.operators import line_chunks
 from pagemill.sources.storage import stage
 
+# Chunks up to which rows look their chunk up among the keys at which chunks begin.
+MOST_CUTS = 10_000
+
+Cuts = list[int]
+Chunk = Callable[[Column], Column]
+
 _OFFSETS = StructType(
     [StructField("_part_file", StringType()), StructField("_rows_before", LongType()),
      StructField("_weight_before", LongType()), StructField("_blocks_before", LongType())]
@@ -59,21 +67,96 @@ def with_position(df: DataFrame, order: list[str], name: str = "pos") -> tuple[D
 
 
 def split_even(df: DataFrame, n: int, order: list[str], name: str = "chunk_id") -> DataFrame:
-    """Add the number, from 0, of `n` contiguous chunks; the first `rows % n` have one row more."""
-    placed, rows = with_position(df, order, "_pos")
-    size, longer = divmod(rows, n)
-    pos, edge = F.col("_pos"), longer * (size + 1)
-    # With size 0 every position lies before the edge, so the divisor 1 is never used.
-    late = F.lit(longer) + _div(pos - edge, max(size, 1))
-    chunk = F.when(pos < edge, _div(pos, size + 1)).otherwise(late)
-    return placed.select(*df.columns, chunk.cast("int").alias(name))
+    """Add the number, from 0, of `n` contiguous chunks; the first `rows % n` have one row more.
+
+    See `_split_at` for what is read and moved.
+    """
+
+    def rule(rows: int) -> tuple[Cuts, Chunk]:
+        size, longer = divmod(rows, n)
+        edge = longer * (size + 1)
+        # With size 0 every position lies before the edge, so the divisor 1 is never used.
+        starts = [j * size + min(j, longer) for j in range(n)]
+
+        def chunk(pos: Column) -> Column:
+            late = F.lit(longer) + _div(pos - edge, max(size, 1))
+            return F.when(pos < edge, _div(pos, size + 1)).otherwise(late)
+
+        return starts, chunk
+
+    return _split_at(df, n, order, name, rule)
 
 
 def split_floor(df: DataFrame, n: int, order: list[str], name: str = "chunk_id") -> DataFrame:
-    """Add the number, from 0, of `n` contiguous chunks whose bounds are floor(rows * j / n)."""
-    placed, rows = with_position(df, order, "_pos")
-    chunk = _div((F.col("_pos") + 1) * n - 1, max(rows, 1))
-    return placed.select(*df.columns, chunk.cast("int").alias(name))
+    """Add the number, from 0, of `n` contiguous chunks whose bounds are floor(rows * j / n).
+
+    See `_split_at` for what is read and moved.
+    """
+
+    def rule(rows: int) -> tuple[Cuts, Chunk]:
+        return [rows * j // n for j in range(n)], lambda pos: _div((pos + 1) * n - 1, max(rows, 1))
+
+    return _split_at(df, n, order, name, rule)
+
+
+def _split_at(df: DataFrame, n: int, order: list[str], name: str, rule: Callable[[int], tuple[Cuts, Chunk]]) -> DataFrame:
+    """Chunks whose first positions follow from the number of rows.
+
+    Only the columns of `order` are sorted and written. The keys at which chunks begin, at most `n`, are
+    looked up there, and every row of `df` finds its chunk among them by halving, where it is read:
+    other columns are neither sorted nor shuffled nor written. Only rows that tie in `order` across a bound
+    are placed one by one, in a fixed order of their content. `df` is read twice, so hand in a table
+    or a staged result; from MOST_CUTS chunks on, every row is placed.
+    """
+    if n > MOST_CUTS:
+        placed, rows = with_position(df, order, "_pos")
+        return placed.select(*df.columns, rule(rows)[1](F.col("_pos")).cast("int").alias(name))
+    keys, rows = with_position(df.select(*order), order, "_pos")
+    starts, chunk = rule(rows)
+    # A chunk that is empty begins where the next one does.
+    begins = sorted({s for s in starts if 0 < s < rows})
+    if not begins:
+        return df.select("*", chunk(F.lit(0).cast("long")).cast("int").alias(name))
+    sides = [(at, at - side) for at in begins for side in (0, 1)]
+    positions = df.sparkSession.createDataFrame(sides, "_begin bigint, _pos bigint")
+    key = F.struct(*[F.col(f"`{c}`") for c in order])
+    cuts = (
+        keys.join(F.broadcast(positions), "_pos").groupBy("_begin")
+        .agg(F.max(key).alias("key"), (F.count_distinct(key) < 2).alias("tied"))
+        .select("key", "_begin", "tied", chunk(F.col("_begin")).cast("int").alias("chunk"))
+    )
+    cuts = stage(cuts, "cuts")
+    listed = F.array_sort(F.collect_list(F.struct("key", "_begin", "tied", "chunk")))
+    found = df.withColumn("_cuts", cuts.agg(listed).scalar()).withColumn(
+        "_cut", _last_cut(F.col("_cuts"), len(begins), key)
+    )
+    first = chunk(F.lit(0).cast("long")).cast("int")
+    tied = F.coalesce(F.col("_cut.tied") & (F.col("_cut.key") == key), F.lit(False))
+    whole = found.where(~tied).select(*df.columns, F.coalesce("_cut.chunk", first).alias(name))
+    if cuts.where("tied").isEmpty():
+        return found.select(*df.columns, F.coalesce("_cut.chunk", first).alias(name))
+    # Ties across a bound: where their run begins in all rows, plus their place in the run.
+    placed, _ = with_position(found.where(tied).select(*df.columns), order, "_place")
+    runs = placed.groupBy(key.alias("_run")).agg(F.min("_place").alias("_run_place"))
+    again = keys.withColumn("_cuts", cuts.agg(listed).scalar()).withColumn("_cut", _last_cut(F.col("_cuts"), len(begins), key))
+    starts_of = again.where(tied).groupBy(key.alias("_run")).agg(F.min("_pos").alias("_run_pos"))
+    shifts = runs.join(starts_of, "_run").select("_run", (F.col("_run_pos") - F.col("_run_place")).alias("_shift"))
+    moved = placed.join(F.broadcast(shifts), key == F.col("_run"))
+    pos = F.col("_place") + F.col("_shift")
+    return whole.unionAll(moved.select(*df.columns, chunk(pos).cast("int").alias(name)))
+
+
+def _last_cut(cuts: Column, n: int, key: Column) -> Column:
+    """The last of `n` sorted cuts whose key is not beyond `key`, or NULL; found by halving."""
+    steps = F.array(*[F.lit(1 << s) for s in reversed(range(n.bit_length()))])
+    start = F.struct(F.lit(0).alias("at"), key.alias("key"))
+
+    def nearer(found: Column, step: Column) -> Column:
+        at = found["at"] + step
+        fits = (at <= n) & (F.get(cuts, at - 1)["key"] <= found["key"])
+        return F.struct(F.when(fits, at).otherwise(found["at"]).alias("at"), found["key"].alias("key"))
+
+    return F.aggregate(steps, start, nearer, lambda found: F.get(cuts, found["at"] - 1))
 
 
 def split_bytes(

@@ -264,6 +264,18 @@ def _(spark, sf_dir):
     return op.split_even(parts, 100, ["p_name", "p_partkey"]).drop("p_name")
 
 
+# Priorities tie across the bounds: how many orders of one lie in a chunk is fixed, which ones is not.
+@query(
+    "split_even_ties",
+    "SELECT o_orderpriority, CAST(chunk - 1 AS INTEGER) AS chunk_id, count(*) AS orders FROM"
+    " (SELECT o_orderpriority, ntile(100) OVER (ORDER BY o_orderpriority) AS chunk FROM orders) GROUP BY ALL",
+)
+def _(spark, sf_dir):
+    orders = fx.table(spark, sf_dir, "orders").select("o_orderpriority", "o_orderkey", "o_custkey")
+    chunks = op.split_even(orders, 100, ["o_orderpriority"])
+    return chunks.groupBy("o_orderpriority", "chunk_id").agg(F.count("*").alias("orders"))
+
+
 @query(
     "split_floor",
     "SELECT p_partkey, CAST((row_number() OVER (ORDER BY p_name, p_partkey) * 8 - 1) // count(*) OVER ()"

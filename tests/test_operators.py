@@ -196,6 +196,49 @@ def test_split_floor(spark, rows, n):
     assert sorted(tuple(r) for r in chunks.collect()) == expected
 
 
+@pytest.mark.parametrize("split", ["even", "floor"])
+@pytest.mark.parametrize("kinds,n", [(1, 7), (3, 5), (4, 100), (40, 9), (400, 3)])
+def test_ties_and_nulls_across_bounds(spark, split, kinds, n):
+    """Chunks have their exact sizes, follow the order, and do not depend on the partitions."""
+    rows = [(None if i % kinds == 0 else f"k{i % kinds:03}", -0.0 if i % 2 else 0.0, i // 3) for i in range(300)]
+    found = []
+    for parts in (1, 5):
+        df = spark.createDataFrame(rows, "a string, b double, payload int").repartition(parts)
+        chunks = {"even": op.split_even, "floor": op.split_floor}[split](df, n, ["a", "b"])
+        assert chunks.columns == ["a", "b", "payload", "chunk_id"]
+        # Both zeros are one value to Spark, so rows that differ in nothing else are equal.
+        found.append(sorted(((a, b + 0.0, p, c) for a, b, p, c in chunks.collect()), key=repr))
+    assert found[0] == found[1]
+    assert sorted((r[:3] for r in found[0]), key=repr) == sorted(((a, b + 0.0, p) for a, b, p in rows), key=repr)
+    if split == "even":
+        sizes = [len(part) for part in even(list(range(300)), n)]
+    else:
+        sizes = [300 * (j + 1) // n - 300 * j // n for j in range(n)]
+    assert [sum(1 for r in found[0] if r[3] == c) for c in range(n)] == sizes
+    in_order = sorted(found[0], key=lambda r: (r[0] or "", r[3]))
+    assert [r[3] for r in in_order] == sorted(r[3] for r in in_order)
+
+
+def test_many_chunks_place_every_row(spark, monkeypatch):
+    monkeypatch.setattr("pagemill.operators.chunking.MOST_CUTS", 3)
+    for n in (3, 4):
+        chunks = op.split_even(shuffled(spark, 50), n, ["i"])
+        assert sorted(tuple(r) for r in chunks.collect()) == [
+            (i, c) for c, part in enumerate(even(list(range(50)), n)) for i in part
+        ]
+
+
+def test_chunks_move_no_payload(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(2000).selectExpr("id as i", "repeat('x', 50) as payload").write.parquet(path)
+    for split in (op.split_even, op.split_floor):
+        chunks = split(spark.read.parquet(path), 9, ["i"])
+        plan = chunks._jdf.queryExecution().executedPlan().toString()
+        whole = plan.split("Subquery")[0]
+        assert path in plan and not any(node in whole for node in ("Exchange", "Sort ", "Join"))
+        assert chunks.groupBy("chunk_id").count().count() == 9
+
+
 def chained(lines, size):
     """The chunk of each line, one line after the other."""
     found, start, begin, chunk = [], 0, 0, 0
