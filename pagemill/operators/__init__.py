@@ -15,6 +15,7 @@ from pagemill.operators.graph import (
     with_alt_labels,
 )
 from pagemill.operators.joins import attach_entity_id, exclude_known_titles
+from pagemill.operators.key_filter import MOST_KEYS, KeyFilter
 from pagemill.operators.rows import (
     drop_columns,
     drop_disambiguation,
@@ -33,7 +34,7 @@ from pagemill.operators.skew import hot_values, hot_values_by, lookup_join, spre
 from pagemill.operators.star import AltLabels, Fixed, Label, Values, article_parts, bgp_join, star_match
 
 __all__ = [
-    "JOINED", "AltLabels", "Fixed", "Label", "TripleGraph", "Values", "alt_label_concat", "append_by_name",
+    "JOINED", "MOST_KEYS", "AltLabels", "Fixed", "KeyFilter", "Label", "TripleGraph", "Values", "alt_label_concat", "append_by_name",
     "article_parts", "attach_entity_id", "bgp_join",
     "count_rows", "dedup_any", "dedup_keep_first", "drop_columns", "drop_disambiguation",
     "entity_articles",

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from pagemill import functions as fn
 from pagemill.operators import (
+    MOST_KEYS,
+    KeyFilter,
     append_by_name,
     dedup_any,
     dedup_keep_first,
@@ -24,6 +26,7 @@ from pagemill.operators import (
 )
 from pagemill.plans.extract import extract_pages
 from pagemill.sources import fetch_map, query_result_columns, read_title_list, stage, stage_sized
+from pagemill.sources.storage import BROADCAST_BYTES
 
 
 def game_names(sources: Sequence[DataFrame], order: list[str]) -> DataFrame:
@@ -38,21 +41,29 @@ def game_names(sources: Sequence[DataFrame], order: list[str]) -> DataFrame:
     return first.select(fn.strip_entity_prefix("id").alias("id"), "idLabel", "name")
 
 
-def saved_responses(titles: DataFrame, responses: DataFrame) -> DataFrame:
+def saved_responses(titles: DataFrame, responses: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     """The rows of `titles` with the `body` saved for their title; titles without one drop out.
 
     `responses` holds one body per title and is by far the larger side. The titles are staged and
-    measured: if they are small the bodies are not shuffled.
+    measured: up to `limit` bytes the bodies are not shuffled. Beyond, a Bloom filter of the titles drops
+    nearly all bodies that nobody asks for where they are read, and only the others are shuffled.
     """
     bodies = responses.select("title", "body")
-    titles, few = stage_sized(titles, "titles")
+    titles, few = stage_sized(titles, "titles", limit)
     if few:
         return bodies.join(F.broadcast(titles), "title")
+    count = titles.count()
+    if count <= MOST_KEYS:
+        bodies = KeyFilter.of(titles, "title", count).keep_possible(bodies, "title")
     return spread_join(titles, bodies, "title", "inner", hot_left=hot_values(titles, "title"))
 
 
 def build_game_pages(
-    sources: Sequence[DataFrame], responses: DataFrame, order: list[str], engine: str = "native"
+    sources: Sequence[DataFrame],
+    responses: DataFrame,
+    order: list[str],
+    engine: str = "native",
+    limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """The game page table with `wikidata_id`.
 
@@ -60,7 +71,7 @@ def build_game_pages(
     requested title. A name carries its entity's id along, so the id needs no lookup of its own.
     """
     names = game_names(sources, order).select(F.col("name").alias("title"), "id")
-    found = saved_responses(names, responses)
+    found = saved_responses(names, responses, limit)
     pages = extract_pages(found.withColumnRenamed("id", "wikidata_id"), "wikidata_id", engine=engine)
     return to_page_table(title_not_null(pages), "games")
 
@@ -72,6 +83,7 @@ def build_nongame_sample(
     seed: int = 42,
     recheck: bool = False,
     engine: str = "native",
+    limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """As many random pages that are not games as there are game pages.
 
@@ -82,7 +94,7 @@ def build_nongame_sample(
     games = stage(dedup_any(game_pages.select("page_title"), "page_title"), "games")
     titles = main_pages(listing).select("title")
     pool = stage(exclude_known_titles(titles, games, "title", "page_title"), "pool")
-    found = saved_responses(sample_exact(pool, games.count(), "title", seed), responses)
+    found = saved_responses(sample_exact(pool, games.count(), "title", seed), responses, limit)
     pages = resolve_redirect_title(title_not_null(extract_pages(found, engine=engine)))
     if recheck:
         pages = exclude_known_titles(dedup_any(pages, "page_title"), games, "page_title")

@@ -203,19 +203,27 @@ GAME_SOURCES = f"""
     WHERE {LANG} = 'es'"""
 
 
-@query(
-    "build_game_pages",
-    f"""SELECT e.page_id, page_title, page_text, category, links, external_links, sections, redirects_page,
-        g.id AS wikidata_id FROM ({EXTRACTED}) e JOIN (
-            SELECT *, row_number() OVER (PARTITION BY url ORDER BY source, copy, page_id) AS nth
-            FROM ({GAME_SOURCES})
-        ) g ON g.url = e.url AND g.nth = 1""",
-)
+GAME_PAGES = f"""SELECT e.page_id, page_title, page_text, category, links, external_links, sections, redirects_page,
+    g.id AS wikidata_id FROM ({EXTRACTED}) e JOIN (
+        SELECT *, row_number() OVER (PARTITION BY url ORDER BY source, copy, page_id) AS nth
+        FROM ({GAME_SOURCES})
+    ) g ON g.url = e.url AND g.nth = 1"""
+
+
+def _game_pages(spark, sf_dir, **options):
+    sources, responses = fx.game_sources(spark, sf_dir), fx.responses(spark, sf_dir)
+    return _lists(plans.build_game_pages(sources, responses, ["copy", "pos"], **options))
+
+
+@query("build_game_pages", GAME_PAGES)
 def _(spark, sf_dir):
-    games = plans.build_game_pages(
-        fx.game_sources(spark, sf_dir), fx.responses(spark, sf_dir), ["copy", "pos"]
-    )
-    return _lists(games)
+    return _game_pages(spark, sf_dir)
+
+
+@query("build_game_pages_large", GAME_PAGES)
+def _(spark, sf_dir):
+    """The same with names that count as too many to copy: bodies go through a Bloom filter and a shuffle."""
+    return _game_pages(spark, sf_dir, limit=0)
 
 
 GAME_TITLES = f"SELECT url FROM pages WHERE {LANG} = 'de' AND {WHOLE}"
@@ -225,17 +233,26 @@ NONGAMES = f"""
     ORDER BY md5('42:' || url), url LIMIT (SELECT count(*) FROM ({GAME_TITLES}))"""
 
 
-@query(
-    "build_nongame_sample",
+NONGAME_SAMPLE = (
     "SELECT coalesce(redirects_page, page_title) AS page_title, page_text, category, links, external_links,"
-    f" sections FROM ({EXTRACTED}) WHERE url IN ({NONGAMES})",
+    f" sections FROM ({EXTRACTED}) WHERE url IN ({NONGAMES})"
 )
-def _(spark, sf_dir):
+
+
+def _nongame_sample(spark, sf_dir, **options):
     games = fx.table(spark, sf_dir, "pages").where(f"{fx.PAGE_LANG} = 'de' and endswith(html, '</html>')")
-    sample = plans.build_nongame_sample(
-        fx.page_listing(spark, sf_dir), games.selectExpr("url as page_title"), fx.responses(spark, sf_dir)
-    )
-    return _lists(sample)
+    titles, listing = games.selectExpr("url as page_title"), fx.page_listing(spark, sf_dir)
+    return _lists(plans.build_nongame_sample(listing, titles, fx.responses(spark, sf_dir), **options))
+
+
+@query("build_nongame_sample", NONGAME_SAMPLE)
+def _(spark, sf_dir):
+    return _nongame_sample(spark, sf_dir)
+
+
+@query("build_nongame_sample_large", NONGAME_SAMPLE)
+def _(spark, sf_dir):
+    return _nongame_sample(spark, sf_dir, limit=0)
 
 
 def _get(url: str) -> str:

@@ -366,3 +366,21 @@ def test_parse_ok_decodes_once(spark):
     pages = op.parse_ok(src.load_parse_responses(frame))
     assert plan_text(pages.select("title", "parse.title", "parse.pageid")).count("from_json") == 1
     assert pages.columns == ["title", "parse"]
+
+
+def test_key_filter_keeps_all_keys_and_few_others(spark):
+    keys = spark.range(3000).selectExpr("if(id = 7, null, concat('k', id * 10)) as title")
+    rows = spark.range(30_001).selectExpr("if(id = 30000, null, concat('k', id)) as title", "id as body")
+    made = op.KeyFilter.of(keys, "title", 3000)
+    kept = {r.title for r in made.keep_possible(rows, "title").collect()}
+    wanted = {r.title for r in keys.collect()} - {None}
+    assert wanted <= kept and None not in kept and len(kept - wanted) < 27_000 * 0.02
+    low, high = (op.KeyFilter.of(keys.where(c), "title", 3000) for c in ("length(title) < 5", "length(title) >= 5"))
+    assert {r.title for r in low.merged(high).keep_possible(rows, "title").collect()} == kept
+    # A filter of bounded size lets more pass, and loses nothing.
+    small = op.KeyFilter.of(keys, "title", 3000, most_words=64)
+    assert small.words == 64 and wanted <= {r.title for r in small.keep_possible(rows, "title").collect()}
+    with pytest.raises(ValueError, match="words"):
+        made.merged(small)
+    none = op.KeyFilter.of(keys.limit(0), "title", 0)
+    assert none.keep_possible(rows, "title").count() == 0

@@ -144,3 +144,24 @@ def test_build_category_table(spark):
     ).json(spark.sparkContext.parallelize([json.dumps(batch)]))
     table = plans.build_category_table(batches)
     assert table.schema == CATEGORY_TABLE and tuple(table.first()) == ("Name", 9, 5, 1, 3)
+
+
+def test_only_wanted_bodies_are_shuffled(spark):
+    titles = spark.range(200).selectExpr("concat('t', id * 50) as title", "id as rank").unionAll(
+        spark.sql("select 't50', -1L union all select null, -2L")
+    )
+    responses = spark.range(10_000).selectExpr("concat('t', id) as title", "concat('b', id) as body")
+    small = plans.pages.saved_responses(titles, responses)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = plans.pages.saved_responses(titles, responses, limit=0)
+        columns = ["title", "rank", "body"]
+        found = sorted(map(tuple, large.select(*columns).collect()))
+        assert found == sorted(map(tuple, small.select(*columns).collect())) and len(found) == 201
+        plan = large._jdf.queryExecution().executedPlan().toString()
+        bodies = plan[: plan.index("Range (0, 10000")]
+        # The filter lies between the bodies and the shuffle.
+        assert bodies.rindex("BroadcastHashJoin") > bodies.rindex("Exchange hashpartitioning(title")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
