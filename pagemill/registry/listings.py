@@ -200,6 +200,18 @@ def _(spark, sf_dir):
     return spark.read.schema("page_id bigint, title string").parquet(f"{root}/out")
 
 
+@query(
+    "ingest_metrics",
+    "SELECT count(DISTINCT p_partkey // 500) AS batches, CAST(0 AS BIGINT) AS broken,"
+    " CAST(1 AS BIGINT) AS final_batches, count(*) AS entries FROM part",
+)
+def _(spark, sf_dir):
+    root = src.work_path(spark, "metrics")
+    fx.page_batches(spark, sf_dir).select("body").write.text(f"{root}/in")
+    counts = ingest_batches(spark, f"{root}/in", f"{root}/out", f"{root}/state", files_per_trigger=3)
+    return spark.createDataFrame([tuple(counts.values())], ", ".join(f"{name} bigint" for name in counts))
+
+
 @query(
     "listing_complete",
     "SELECT count(DISTINCT p_partkey // 500) AS batches, CAST(1 AS BIGINT) AS final_batches, true AS complete"

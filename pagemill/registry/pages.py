@@ -255,6 +255,19 @@ def _(spark, sf_dir):
     return _nongame_sample(spark, sf_dir, limit=0)
 
 
+@query(
+    "page_metrics",
+    "SELECT (SELECT count(*) FROM pages) AS responses, CAST(0 AS BIGINT) AS no_body, count(*) AS pages,"
+    " count_if(page_text = '') AS no_text, CAST(sum(length(page_text)) AS BIGINT) AS chars,"
+    f" (SELECT count(*) FROM pages) - count(*) AS dropped FROM ({EXTRACTED})",
+)
+def _(spark, sf_dir):
+    pages, metrics = plans.metered_pages(fx.responses(spark, sf_dir))
+    src.write_table(pages, src.work_path(spark, "pages"))
+    counts = metrics.get()
+    return spark.createDataFrame([tuple(counts.values())], ", ".join(f"{name} bigint" for name in counts))
+
+
 def _get(url: str) -> str:
     if "#" in url:
         raise ValueError(f"no fragment allowed: {url}")

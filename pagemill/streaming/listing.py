@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from pagemill.sources import load_category_listing, load_page_listing
 from pagemill.sources.listings import LISTING_SCHEMAS
 
 _LOADERS = {"pages": load_page_listing, "categories": load_category_listing}
+# Seconds between two looks at the progress of a query, which keeps that of its last 100 micro-batches.
+_LOOK = 1
+METRICS = ("batches", "broken", "final_batches", "entries")
 
 
 def ingest_batches(
@@ -17,20 +22,45 @@ def ingest_batches(
     checkpoint: str,
     kind: str = "pages",
     files_per_trigger: int | None = None,
-) -> None:
+) -> dict[str, int]:
     """Append the listing rows of every new batch file below `source` to the Parquet table `sink`.
 
     Processes what is there and returns. The checkpoint plays the part of a continuation token: the
     next run goes on behind the last committed file, and each file counts exactly once.
+
+    Returns counts of this run, taken by the job that writes: `batches` read; `broken`, those without a listing;
+    `final_batches`, unbroken ones without a token; `entries` listed. All are 0 if nothing was new.
     """
     reader = spark.readStream.schema(LISTING_SCHEMAS[kind])
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    rows = _LOADERS[kind](reader.json(source))
+    read = reader.json(source)
+    listing = F.col("query")[read.schema["query"].dataType.fields[0].name]
+    batches = read.observe(
+        "listing",
+        F.count(F.lit(1)).alias("batches"),
+        F.count_if(listing.isNull()).alias("broken"),
+        F.count_if(listing.isNotNull() & F.col("continue").isNull()).alias("final_batches"),
+        F.sum(F.coalesce(F.size(listing), F.lit(0))).alias("entries"),
+    )
     query = (
-        rows.writeStream.format("parquet")
+        _LOADERS[kind](batches).writeStream.format("parquet")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start(sink)
     )
-    query.awaitTermination()
+    seen: dict[int, dict[str, int]] = {}
+    while not query.awaitTermination(_LOOK):
+        seen |= _observed(query)
+    seen |= _observed(query)
+    return {name: sum(counts[name] for counts in seen.values()) for name in METRICS}
+
+
+def _observed(query: StreamingQuery) -> dict[int, dict[str, int]]:
+    """Counts by micro-batch; one without new files has none."""
+    found = {}
+    for progress in query.recentProgress:
+        counts = progress.observedMetrics.get("listing")
+        if counts is not None:
+            found[progress.batchId] = {name: counts[name] or 0 for name in METRICS}
+    return found

@@ -165,3 +165,15 @@ def test_only_wanted_bodies_are_shuffled(spark):
         assert bodies.rindex("BroadcastHashJoin") > bodies.rindex("Exchange hashpartitioning(title")
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_counts_of_page_tables(spark, responses):
+    more = responses.unionAll(spark.createDataFrame([("Z", None)], RESPONSES))
+    pages, metrics = plans.metered_pages(more, without_disambiguation=True)
+    assert sorted(r.page_title for r in pages.collect()) == sorted(
+        r.page_title for r in plans.extract_pages(more, without_disambiguation=True).collect()
+    )
+    assert metrics.get() == {"responses": 7, "no_body": 1, "pages": 3, "no_text": 1, "chars": 4, "dropped": 4}
+    pages, metrics = plans.metered_pages(more.limit(0))
+    pages.collect()
+    assert set(metrics.get().values()) == {0}

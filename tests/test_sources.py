@@ -116,6 +116,19 @@ def test_stream_equals_batch_and_restart_adds_nothing(spark, tmp_path):
     assert rows_of(spark.read.parquet(sink), "page_id") == [(i,) for i in range(7)]
 
 
+def test_counts_of_an_ingest(spark, tmp_path):
+    source, sink, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    for n, batch in enumerate(chain(3, 1, 2, 4)):
+        write(tmp_path / "in", f"{n}.json", batch)
+    write(tmp_path / "in", "error.json", {"error": {"code": "maxlag"}})
+    counts = ingest_batches(spark, source, sink, state, files_per_trigger=2)
+    assert counts == {"batches": 5, "broken": 1, "final_batches": 1, "entries": 10}
+    assert set(ingest_batches(spark, source, sink, state).values()) == {0}
+    write(tmp_path / "in", "late.json", pages(10, 2, True))
+    assert ingest_batches(spark, source, sink, state) == {"batches": 1, "broken": 0, "final_batches": 0, "entries": 2}
+    assert spark.read.parquet(sink).count() == 12
+
+
 def test_stream_of_categories(spark, tmp_path):
     source, sink, state = (str(tmp_path / n) for n in ("in", "out", "state"))
     entry = {"size": 9, "pages": 5, "files": 3, "subcats": 1, "*": "Name"}
