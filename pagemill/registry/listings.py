@@ -11,7 +11,7 @@ from pagemill.constants import ENTITY_PREFIX
 from pagemill.plans import build_category_table
 from pagemill.registry import fixtures as fx
 from pagemill.registry.base import joined_lists, query
-from pagemill.streaming import ingest_batches
+from pagemill.streaming import ingest_batches, track_listing, tracked_breaks
 
 LINES = (
     "SELECT p_partkey, CASE WHEN p_size > 45 THEN p_name ELSE p_partkey || '; ' || p_name ||"
@@ -253,6 +253,16 @@ def _(spark, sf_dir):
     return src.listing_breaks(_broken_batches(spark, sf_dir), F.expr(FIRST_ID))
 
 
+@query("tracked_breaks", f"{BROKEN} SELECT problem, CAST(token AS VARCHAR) AS token FROM problems")
+def _(spark, sf_dir):
+    """The same, found while batch files come in, in any order."""
+    root = src.work_path(spark, "tracked")
+    lines = _broken_batches(spark, sf_dir).select(F.to_json(F.struct("continue", "query")).alias("body"))
+    lines.repartition(6, "body").write.text(f"{root}/in")
+    track_listing(spark, f"{root}/in", f"{root}/tokens", f"{root}/state", begins=F.expr(FIRST_ID), files_per_trigger=2)
+    return tracked_breaks(spark, f"{root}/tokens")
+
+
 @query(
     "listing_incomplete",
     f"{BROKEN} SELECT count(*) AS batches, count(*) - count(next) AS final_batches,"

@@ -54,48 +54,73 @@ def _cyclic(links: DataFrame, batches: int) -> DataFrame:
     return pointers.where(F.col("next").isNotNull()).select("begin")
 
 
-def listing_breaks(batches: DataFrame, begins: Column | None = None) -> DataFrame:
-    """(problem, token): every place where the listing is not one chain from a start to an ending.
+def token_counts(links: DataFrame) -> DataFrame:
+    """(token, batches, named, ends, next): how many batches begin with a token and how many name it as the
+    next one, how many that begin with it have no token, and the least token of the others.
 
-    A token that no batch begins with is a missing batch; a beginning that several batches have, a token
-    that several batches end with, more than one batch that no token names or none, more than one without
-    a token or none, and batches without entries are problems as well. If there is none of these, batches
-    that only follow each other in a circle are looked for; `token` is then that of one of them. No rows: the
-    listing is whole. Only beginnings and tokens are shuffled.
+    One aggregate that is combined before the shuffle; `links` may be a stream. Token NULL stands for
+    batches without entries.
     """
-    links = stage(batch_links(batches, begins), "links")
-    spark = links.sparkSession
-    begun = links.where(F.col("begin").isNotNull()).groupBy("begin").agg(F.count("*").alias("batches"))
-    named = links.where(F.col("next").isNotNull()).groupBy(F.col("next").alias("begin")).agg(F.count("*").alias("tokens"))
-    met = stage(begun.join(named, "begin", "full_outer"), "links-met")
-    endings = links.where(F.col("next").isNull()).select("begin")
-    starts = met.where(F.col("tokens").isNull()).select("begin")
+
+    def event(token: str, batches: int, named: int, ends: Column, following: Column) -> Column:
+        return F.struct(
+            F.col(token).alias("token"), F.lit(batches).alias("batches"), F.lit(named).alias("named"),
+            ends.cast("int").alias("ends"), following.cast("string").alias("next"),
+        )
+
+    begun = event("begin", 1, 0, F.col("next").isNull(), F.col("next"))
+    named = F.when(F.col("next").isNotNull(), event("next", 0, 1, F.lit(0), F.lit(None)))
+    events = links.select(F.explode(F.array_compact(F.array(begun, named))).alias("event")).select("event.*")
+    sums = [F.sum(c).alias(c) for c in ("batches", "named", "ends")]
+    return events.groupBy("token").agg(*sums, F.min("next").alias("next"))
+
+
+def breaks_of(counts: DataFrame) -> DataFrame:
+    """The breaks, as `listing_breaks` gives them, of written `token_counts`."""
+    spark = counts.sparkSession
+    token = F.col("token").isNotNull()
+    start = token & (F.col("named") == 0)
+    starts, endings, batches = counts.agg(F.count_if(start), F.sum("ends"), F.sum("batches")).first()
 
     def problem(rows: DataFrame, name: str) -> DataFrame:
-        return rows.select(F.lit(name).alias("problem"), F.col("begin").alias("token"))
+        return rows.select(F.lit(name).alias("problem"), "token")
 
     found = [
-        problem(met.where(F.col("batches").isNull()), MISSING),
-        problem(met.where(F.col("batches") > 1), REPEATED),
-        problem(met.where(F.col("tokens") > 1), FORKED),
-        problem(links.where(F.col("begin").isNull()), EMPTY),
+        problem(counts.where(token & (F.col("batches") == 0)), MISSING),
+        problem(counts.where(token & (F.col("batches") > 1)), REPEATED),
+        problem(counts.where(F.col("named") > 1), FORKED),
+        problem(
+            counts.where(~token).select("token", F.explode(F.sequence(F.lit(1), F.col("batches").cast("int")))), EMPTY
+        ),
     ]
-    for rows, several, none in ((starts, STARTS, NO_START), (endings, ENDINGS, NO_ENDING)):
-        count = rows.count()
-        if count > 1:
-            found.append(problem(rows.distinct(), several))
-        elif not count:
+    for n, rows, several, none in ((starts, start, STARTS, NO_START), (endings, F.col("ends") > 0, ENDINGS, NO_ENDING)):
+        if not n:
             found.append(spark.createDataFrame([(none, None)], BREAK))
+        elif n > 1:
+            found.append(problem(counts.where(rows), several))
     breaks = found[0]
     for more in found[1:]:
         breaks = breaks.unionAll(more)
     breaks = stage(breaks, "breaks")
     if breaks.isEmpty():
-        circle = _cyclic(links, links.count()).agg(F.min("begin").alias("begin")).where(F.col("begin").isNotNull())
+        links = counts.select(F.col("token").alias("begin"), "next")
+        circle = _cyclic(links, batches).agg(F.min("begin").alias("token")).where(F.col("token").isNotNull())
         return problem(circle, CYCLE)
     return breaks
 
 
+def listing_breaks(batches: DataFrame, begins: Column | None = None) -> DataFrame:
+    """(problem, token): every place where the listing is not one chain from a start to an ending.
+
+    A token that no batch begins with is a missing batch; a beginning that several batches have, a token
+    that several batches end with, more than one batch that no token names or none, more than one without
+    a token or none, and batches without entries are problems as well. If there is none of these, batches
+    that only follow each other in a circle are looked for; `token` is then that of one of them. No rows: the
+    listing is whole. Only beginnings and tokens are shuffled.
+    """
+    return breaks_of(stage(token_counts(batch_links(batches, begins)), "tokens"))
+
+
 def listing_complete(batches: DataFrame, begins: Column | None = None) -> DataFrame:
     """One row: batches seen, batches without a token, and whether all of them are one chain without a break."""
     whole = listing_breaks(batches, begins).isEmpty()

@@ -1,3 +1,3 @@
-from pagemill.streaming.listing import ingest_batches
+from pagemill.streaming.listing import ingest_batches, track_listing, tracked_breaks
 
-__all__ = ["ingest_batches"]
+__all__ = ["ingest_batches", "track_listing", "tracked_breaks"]

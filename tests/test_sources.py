@@ -8,7 +8,7 @@ from compare import plan_text
 from pagemill import operators as op
 from pagemill import sources as src
 from pagemill.schemas import CATEGORY_TABLE, PAGE_TABLE
-from pagemill.streaming import ingest_batches
+from pagemill.streaming import ingest_batches, track_listing, tracked_breaks
 
 
 def rows_of(df, *columns):
@@ -87,6 +87,21 @@ def test_breaks_of_a_listing_are_named(spark, tmp_path, batches, breaks):
     assert rows_of(src.listing_complete(listing)) == [(len(batches), finals, not breaks)]
 
 
+@pytest.mark.parametrize(
+    "batches", [WHOLE, doubled(without(WHOLE, 4), 6), ended(WHOLE, 2), WHOLE + circle(100, 101), WHOLE + [{"query": {"allpages": []}}]]
+)
+def test_tracking_goes_on_where_it_stopped(spark, tmp_path, batches):
+    """Files come out of order and in two runs; after each the breaks are those of all files so far."""
+    source, table, state = (str(tmp_path / n) for n in ("in", "tokens", "state"))
+    named = list(enumerate(batches))[::-1]
+    for part in (named[1::2], named[::2], []):
+        for n, batch in part:
+            write(tmp_path / "in", f"{n:02d}.json", batch)
+        track_listing(spark, source, table, state, files_per_trigger=3)
+        seen = src.read_listing_batches(spark, source)
+        assert rows_of(tracked_breaks(spark, table)) == rows_of(src.listing_breaks(seen))
+
+
 def test_tokens_write_blanks_as_underscores(spark, tmp_path):
     entry = {"size": 9, "pages": 5, "files": 3, "subcats": 1, "*": "Two words"}
     write(tmp_path / "in", "a.json", {"query": {"allcategories": [{"*": "One"}]}, "continue": {"accontinue": "Two_words"}})
