@@ -13,6 +13,7 @@ from pagemill.functions.html import NAMED_CHARACTERS
 from pagemill.registry import fixtures as fx
 from pagemill.registry.base import joined_lists, query, sql_text
 from pagemill.schemas import LIST_COLUMNS
+from pagemill.streaming import fetch_resumable
 
 _NAMES = ", ".join(f"{sql_text(name)}: chr({ord(c)})" for name, c in NAMED_CHARACTERS.items())
 
@@ -283,6 +284,19 @@ def _(spark, sf_dir):
     return src.fetch_map(fx.page_table(spark, sf_dir), "url", _get)
 
 
+@query(
+    "fetch_resumable",
+    "SELECT DISTINCT url, CASE WHEN NOT contains(url, '#') THEN 'GET ' || url END AS body,"
+    " CASE WHEN contains(url, '#') THEN 'ValueError: no fragment allowed: ' || url END AS error,"
+    " CASE WHEN contains(url, '#') THEN 2 ELSE 1 END AS attempt FROM pages",
+)
+def _(spark, sf_dir):
+    pages, folder = fx.page_table(spark, sf_dir), src.work_path(spark, "fetch")
+    # A shorter list first; the second run fetches the rest, and once more what failed.
+    fetch_resumable(pages.where(F.col("url").startswith("http://")), "url", _get, folder)
+    return fetch_resumable(pages, "url", _get, folder, attempts=2)
+
+
 @query(
     "content_lengths",
     f"SELECT url, CASE WHEN {WHOLE} THEN length(html) END AS length,"

@@ -20,18 +20,21 @@ def fetch_map(
     chunks: int | None = None,
     inputs: tuple[str, ...] = (),
     threads: int = 10,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """(key, body, error) for every row of `df`.
+    """(key, body, error) for every row of `df`, and its columns `keep`.
 
     `fetch(key, *inputs)` runs on the executors. A failing item gets its message in `error` and does
     not stop the others. `chunks` spreads the rows evenly over that many tasks; without it the
     present partitions are kept. A lost task is run again, so `fetch` has to be repeatable.
     """
-    rows = df.select(key, *inputs)
+    rows = df.select(key, *inputs, *keep)
+    arguments = 1 + len(inputs)
     if chunks is not None:
         rows = rows.repartition(chunks)
     schema = T.StructType(
         [rows.schema[key], T.StructField("body", T.StringType()), T.StructField("error", T.StringType())]
+        + [rows.schema[name] for name in keep]
     )
 
     def attempt(values: tuple) -> tuple[str | None, str | None]:
@@ -45,8 +48,9 @@ def fetch_map(
             for frame in frames:
                 for start in range(0, len(frame), FETCH_ROWS):
                     part = frame.iloc[start : start + FETCH_ROWS]
-                    results = pool.map(attempt, part.itertuples(index=False, name=None))
+                    results = pool.map(attempt, part.iloc[:, :arguments].itertuples(index=False, name=None))
                     bodies, errors = zip(*results)
-                    yield pd.DataFrame({key: part[key].values, "body": bodies, "error": errors})
+                    kept = {name: part[name].values for name in keep}
+                    yield pd.DataFrame({key: part[key].values, "body": bodies, "error": errors, **kept})
 
     return rows.mapInPandas(run, schema)
