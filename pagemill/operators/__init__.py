@@ -32,9 +32,10 @@ from pagemill.operators.sampling import sample_exact, take_first_n
 from pagemill.operators.setops import append_by_name, union_all_list
 from pagemill.operators.skew import hot_values, hot_values_by, lookup_join, spread_join
 from pagemill.operators.star import AltLabels, Fixed, Label, Values, article_parts, bgp_join, star_match
+from pagemill.operators.triple_store import TripleStore
 
 __all__ = [
-    "JOINED", "MOST_KEYS", "AltLabels", "Fixed", "KeyFilter", "Label", "TripleGraph", "Values", "alt_label_concat", "append_by_name",
+    "JOINED", "MOST_KEYS", "AltLabels", "Fixed", "KeyFilter", "Label", "TripleGraph", "TripleStore", "Values", "alt_label_concat", "append_by_name",
     "article_parts", "attach_entity_id", "bgp_join",
     "count_rows", "dedup_any", "dedup_keep_first", "drop_columns", "drop_disambiguation",
     "entity_articles",

@@ -20,39 +20,47 @@ SKETCH_BRANCHES = 64
 FANOUT = 32
 
 
-def hot_values_by(
-    df: DataFrame,
+def key_sketches(df: DataFrame, by: str, columns: Sequence[str]) -> DataFrame:
+    """One row per group of `by`: its rows, and for each column the NULLs and a sketch of frequent values.
+
+    One pass; sketches have a fixed size and are merged in two steps. Rows of several tables can be kept
+    in one: `hot_in_sketches` merges those of one group.
+    """
+    branch = F.pmod(F.spark_partition_id(), F.lit(SKETCH_BRANCHES))
+    nulls = [F.count_if(F.col(c).isNull()).alias(f"_nulls_{c}") for c in columns]
+    items = F.lit(SKETCH_ITEMS)
+    sketches = [
+        F.call_function("approx_top_k_accumulate", F.col(c), items).alias(f"_sketch_{c}") for c in columns
+    ]
+    partial = df.select(by, *columns).groupBy(by, branch.alias("_branch")).agg(
+        F.count("*").alias("_rows"), *nulls, *sketches
+    )
+    return merged_sketches(partial, by, columns)
+
+
+def merged_sketches(sketches: DataFrame, by: str, columns: Sequence[str]) -> DataFrame:
+    """One row per group out of several."""
+    sums = [F.sum(name).alias(name) for name in ("_rows", *[f"_nulls_{c}" for c in columns])]
+    combined = [
+        F.call_function("approx_top_k_combine", F.col(f"_sketch_{c}"), F.lit(SKETCH_ITEMS)).alias(f"_sketch_{c}")
+        for c in columns
+    ]
+    return sketches.groupBy(by).agg(*sums, *combined)
+
+
+def hot_in_sketches(
+    sketches: DataFrame,
     by: str,
     columns: Sequence[str],
     share: float = HOT_SHARE,
     min_rows: int = HOT_ROWS,
 ) -> dict[tuple, list]:
-    """Hot values of each column within each group of `by`, as {(group, column): values}.
+    """Hot values of each column within each group, as {(group, column): values}.
 
-    One pass with fixed-size sketches; at most 1/share values per group and column reach the driver.
-    None stands for a hot NULL. The result only steers how rows are spread, never which rows exist.
+    `sketches` has one row per group. At most 1/share values per group and column reach the driver.
     """
-    branch = F.pmod(F.spark_partition_id(), F.lit(SKETCH_BRANCHES))
-    rows = df.select(by, *columns)
-
-    def sketches(function: str, value) -> list[Column]:
-        items = F.lit(SKETCH_ITEMS)
-        return [F.call_function(function, value(c), items).alias(f"_sketch_{c}") for c in columns]
-
-    def sums(name: str) -> Column:
-        return F.sum(name).alias(name)
-
-    nulls = [F.count_if(F.col(c).isNull()).alias(f"_nulls_{c}") for c in columns]
-    partial = rows.groupBy(by, branch.alias("_branch")).agg(
-        F.count("*").alias("_rows"), *nulls, *sketches("approx_top_k_accumulate", F.col)
-    )
-    merged = partial.groupBy(by).agg(
-        sums("_rows"),
-        *[sums(f"_nulls_{c}") for c in columns],
-        *sketches("approx_top_k_combine", lambda c: F.col(f"_sketch_{c}")),
-    )
     k = F.lit(round(1 / share))
-    found = merged.select(
+    found = sketches.select(
         by,
         "_rows",
         *[f"_nulls_{c}" for c in columns],
@@ -70,6 +78,21 @@ def hot_values_by(
     return hot
 
 
+def hot_values_by(
+    df: DataFrame,
+    by: str,
+    columns: Sequence[str],
+    share: float = HOT_SHARE,
+    min_rows: int = HOT_ROWS,
+) -> dict[tuple, list]:
+    """Hot values of each column within each group of `by`, as {(group, column): values}.
+
+    One pass with fixed-size sketches; at most 1/share values per group and column reach the driver.
+    None stands for a hot NULL. The result only steers how rows are spread, never which rows exist.
+    """
+    return hot_in_sketches(key_sketches(df, by, columns), by, columns, share, min_rows)
+
+
 def hot_values(
     df: DataFrame, column: str, share: float = HOT_SHARE, min_rows: int = HOT_ROWS
 ) -> list:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from pagemill import operators as op
 from pagemill import plans
 from pagemill import sources as src
@@ -106,6 +108,16 @@ def stored_graph(spark, sf_dir, *predicates: str, **measure) -> op.TripleGraph:
     return op.TripleGraph.measure(src.read_triples(spark, path), predicates, **measure)
 
 
+def appended_store(spark, sf_dir) -> op.TripleStore:
+    """The same triples in a store: first the links between nodes, then the texts."""
+    store = op.TripleStore(spark, src.work_path(spark, "store"))
+    triples = src.stage(fx.triples(spark, sf_dir), "triples")
+    is_text = F.col("lang").isNotNull()
+    store.append(triples.where(~is_text))
+    store.append(triples.where(is_text))
+    return store
+
+
 # Makes small tables have hot values, so that joins spread them.
 EASILY_HOT = {"share": 0.01, "min_rows": 1}
 
@@ -122,6 +134,11 @@ def _(spark, sf_dir):
     return src.read_triples(spark, path)
 
 
+@query("triple_store_sizes", f"SELECT p, count(*) AS rows FROM ({TRIPLES}) GROUP BY p")
+def _(spark, sf_dir):
+    return appended_store(spark, sf_dir).sizes()
+
+
 @query("triples", f"SELECT * FROM ({TRIPLES})")
 def _(spark, sf_dir):
     return fx.triples(spark, sf_dir)
@@ -231,6 +248,11 @@ def _(spark, sf_dir):
     return plans.games_query(stored_graph(spark, sf_dir, *op.JOINED, **EASILY_HOT), "r1")
 
 
+@query("games_query_store", entity_sql("r1", ("en",)))
+def _(spark, sf_dir):
+    return plans.games_query(appended_store(spark, sf_dir).graph(**EASILY_HOT), "r1")
+
+
 @query("series_query", entity_sql("r2", ("fr", "en")))
 def _(spark, sf_dir):
     return plans.series_query(stored_graph(spark, sf_dir, *op.JOINED), "r2", ("fr", "en"))

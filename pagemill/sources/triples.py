@@ -47,12 +47,13 @@ def triple_view(df: DataFrame, subject: ColumnLike, statements: Sequence[Stateme
     return reduce(DataFrame.unionAll, parts)
 
 
-def write_triples(triples: DataFrame, path: str) -> None:
+def write_triples(triples: DataFrame, path: str, mode: str = "error") -> None:
     """A triple table partitioned by predicate, so that a pattern reads only its own files.
 
     Rebalancing gathers the rows of rare predicates and splits those of common ones by size.
+    `mode` is that of Spark's writers.
     """
-    triples.hint("rebalance", "p").write.partitionBy("p").parquet(path)
+    triples.hint("rebalance", "p").write.mode(mode).partitionBy("p").parquet(path)
 
 
 def read_triples(spark: SparkSession, path: str) -> DataFrame:

@@ -243,3 +243,38 @@ def test_a_large_key_set_is_not_written(spark):
     assert graph.within(rows, "id", limit=10) is graph
     assert set(os.listdir(folder)) == before
     assert graph.within(rows, "id") is not graph
+
+
+def test_store_keeps_statistics_over_appends(spark, tmp_path):
+    rows = [(*fact, None) for fact in FACTS] + TEXTS + [(None, GENRE, "g1", None), ("e9", GENRE, None, None)]
+    triples = spark.createDataFrame(rows, TRIPLES)
+    store = op.TripleStore(spark, str(tmp_path / "store"))
+    # One predicate comes in both appends.
+    first = (F.col("p") == GENRE) & (F.col("o") == "g1")
+    store.append(triples.where(first))
+    store.append(triples.where(~F.coalesce(first, F.lit(False))))
+    assert rows_of(store.triples()) == sorted(rows, key=repr)
+    counts = {}
+    for row in rows:
+        counts[row[1]] = counts.get(row[1], 0) + 1
+    assert {r["p"]: r["rows"] for r in store.sizes().collect()} == counts
+    wanted = {key: set(values) for key, values in op.TripleGraph.measure(triples, share=0.1, min_rows=1).hot.items()}
+    assert (GENRE, "s") in wanted and None in wanted[GENRE, "s"]
+
+    def found():
+        return {key: set(values) for key, values in store.graph(share=0.1, min_rows=1).hot.items()}
+
+    assert found() == wanted
+    assert all("/sketches/" in name for name in store.statistics().inputFiles())
+    store.rebuild()
+    assert found() == wanted and {r["p"]: r["rows"] for r in store.sizes().collect()} == counts
+    only = store.graph([GENRE], share=0.1, min_rows=1)
+    assert set(only.hot) == {(GENRE, "s"), (GENRE, "o")}
+
+
+def test_store_of_empty_tables(spark, tmp_path):
+    store = op.TripleStore(spark, str(tmp_path / "store"))
+    store.append(spark.createDataFrame([], TRIPLES))
+    assert store.triples().count() == 0 and store.sizes().count() == 0 and store.graph().hot == {}
+    store.append(spark.createDataFrame([("a", GENRE, "b", None)], TRIPLES))
+    assert rows_of(store.triples()) == [("a", GENRE, "b", None)] and store.sizes().count() == 1
