@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from html.entities import name2codepoint
+from html.entities import html5, name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -17,20 +17,36 @@ _WRITTEN = {"&": "&amp;", "<": "&lt;"}
 # A tag without meaning. It keeps apart the texts on both sides of what stood between them.
 _GAP = "<!>"
 
+# What follows the name of a tag, as its tokeniser goes: blanks and slashes; names; values in quotes, which
+# begin behind `=` only and may hold `>`; values without. Every step is possessive, so a tag is read once.
+_VALUE = r"(?:\"[^\"]*+(?:\"|\z)|'[^']*+(?:'|\z)|[^\s>]*+)"
+_NAME = r"(?:=[^\s/>=]*+|[^\s/>=]++)"
+_ATTRIBUTES = rf"(?:[\s/](?:[\s/]++|{_NAME}(?:\s*+=\s*+{_VALUE})?+)*+)?+"
+# Attributes outside of groups, so that `$1$2...` leaves them out. Comments and raw content stay as they are.
+WITH_ATTRIBUTES = (
+    r"(?is)(<!--.*?(?:-->|\z))"
+    rf"|(<script){_ATTRIBUTES}(>.*?(?:</script\s*>|\z)|\z)"
+    rf"|(<style){_ATTRIBUTES}(>.*?(?:</style\s*>|\z)|\z)"
+    rf"|(</?[a-z][^\s/>]*+){_ATTRIBUTES}(>|\z)"
+)
 # The patterns start with one fixed character, which the matcher looks for before anything else.
 RAW_CONTENT = (
-    r"(?is)<(?:script\b[^>]*(?:>|\z).*?(?:</script\s*>|\z)"
-    r"|style\b[^>]*(?:>|\z).*?(?:</style\s*>|\z)"
+    r"(?is)<(?:script(?:>|\z).*?(?:</script\s*>|\z)"
+    r"|style(?:>|\z).*?(?:</style\s*>|\z)"
     r"|!--.*?(?:-->|\z))"
 )
-RAW_TAGS = r"(?is)^<(?:script|style)\b[^>]*(?:>|\z)|</(?:script|style)\s*>$"
+RAW_TAGS = r"(?is)^<(?:script|style)(?:>|\z)|</(?:script|style)\s*>$"
 PARAGRAPH_START = r"(?i)<p(?:[\s/][^>]*)?(?:>|\z)"
 PARAGRAPH_END = r"(?is)</?(?:" + "|".join(PARAGRAPH_BREAKERS) + r")(?:[\s/][^>]*)?(?:>|\z).*\z"
 TAG = r"(?s)<(?:/?[A-Za-z]|[!?])[^>]*(?:>|\z)"
-REFERENCE = r"^(#[0-9]+|#[xX][0-9A-Fa-f]+|[A-Za-z][A-Za-z0-9]{1,30});"
+REFERENCE = r"^(#[0-9]+|#[xX][0-9A-Fa-f]+|[A-Za-z][A-Za-z0-9]{1,30}(?=;))"
 
-# The HTML 4 names plus the XML apostrophe.
-NAMED_CHARACTERS = {name: chr(code) for name, code in name2codepoint.items()} | {"apos": "'"}
+# Names that need no semicolon, by the rule of the standard table: those it lists without one as well.
+OPEN_NAMES = {name: value for name, value in html5.items() if not name.endswith(";")}
+# Those, the HTML 4 names and the XML apostrophe.
+NAMED_CHARACTERS = {name: chr(code) for name, code in name2codepoint.items()} | {"apos": "'"} | OPEN_NAMES
+# The longest of these names that a text begins with.
+OPEN_NAME = "^(" + "|".join(sorted(OPEN_NAMES, key=lambda name: (-len(name), name))) + ")"
 
 
 def _character(code: Column) -> Column:
@@ -42,14 +58,17 @@ def _character(code: Column) -> Column:
 def decode_entities(text: ColumnLike) -> Column:
     """Replace named (HTML 4), decimal and hexadecimal character references, each exactly once.
 
-    Unknown names, references without semicolon and invalid numbers stay as they are.
+    Numbers and the names of OPEN_NAMES need no semicolon: of an unknown name the longest of these that it
+    begins with counts. Other names without semicolon, unknown names and invalid numbers stay as they are.
     """
     # One constant, which is folded into a map literal once per query.
     names = F.from_json(F.lit(json.dumps(NAMED_CHARACTERS)), "map<string,string>")
     pieces = F.transform(
         F.split(as_column(text), "&"),
         lambda piece: F.struct(
-            piece.alias("piece"), F.regexp_extract(piece, REFERENCE, 1).alias("reference")
+            piece.alias("piece"),
+            F.regexp_extract(piece, REFERENCE, 1).alias("reference"),
+            F.regexp_extract(piece, OPEN_NAME, 1).alias("open"),
         ),
     )
 
@@ -67,10 +86,16 @@ def decode_entities(text: ColumnLike) -> Column:
             .otherwise(F.try_element_at(names, reference))
         )
 
+    def behind(piece: Column, reference: Column) -> Column:
+        """What follows a reference and its semicolon."""
+        rest = F.substr(piece, F.length(reference) + F.lit(1))
+        return F.when(rest.startswith(";"), F.substr(rest, F.lit(2))).otherwise(rest)
+
     def decoded(tail: Column) -> Column:
-        rest = F.substr(tail["piece"], F.length(tail["reference"]) + F.lit(2))
         return F.coalesce(
-            F.concat(value(tail["reference"]), rest), F.concat(F.lit("&"), tail["piece"])
+            F.concat(value(tail["reference"]), behind(tail["piece"], tail["reference"])),
+            F.concat(F.try_element_at(names, tail["open"]), behind(tail["piece"], tail["open"])),
+            F.concat(F.lit("&"), tail["piece"]),
         )
 
     # The first piece stands before any `&`.
@@ -84,8 +109,16 @@ def _exchanged(text: Column, pairs: dict[str, str]) -> Column:
     return text
 
 
+def without_attributes(html: ColumnLike) -> Column:
+    """Markup whose tags have no attributes, so that each ends at its first `>`."""
+    return F.regexp_replace(as_column(html), WITH_ATTRIBUTES, "$1$2$3$4$5$6$7")
+
+
 def hold_raw_content(html: ColumnLike) -> Column:
-    """Drop comments and turn script and style elements into text that holds no markup."""
+    """Drop comments and turn script and style elements into text that holds no markup.
+
+    Tags of script and style have no attributes here.
+    """
     html = as_column(html)
     between = F.split(html, RAW_CONTENT)
     raw = F.regexp_extract_all(html, F.lit(RAW_CONTENT), F.lit(0))
@@ -124,7 +157,7 @@ def paragraph_text(html: ColumnLike, engine: str = "native") -> Column:
     if engine != "native":
         raise ValueError(f"unknown engine: {engine}")
     # Every step uses the one before it once: a repeated input would be computed again.
-    pieces = F.split(hold_raw_content(html), PARAGRAPH_START)
+    pieces = F.split(hold_raw_content(without_attributes(html)), PARAGRAPH_START)
     # Texts between tags are decoded one by one, so that no reference reaches across a tag.
     texts = F.flatten(
         F.transform(

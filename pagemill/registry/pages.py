@@ -9,7 +9,7 @@ from pagemill import operators as op
 from pagemill import plans
 from pagemill import sources as src
 from pagemill.constants import PARAGRAPH_BREAKERS
-from pagemill.functions.html import NAMED_CHARACTERS
+from pagemill.functions.html import NAMED_CHARACTERS, OPEN_NAMES
 from pagemill.registry import fixtures as fx
 from pagemill.registry.base import joined_lists, query, sql_text
 from pagemill.schemas import LIST_COLUMNS
@@ -19,7 +19,14 @@ _NAMES = ", ".join(f"{sql_text(name)}: chr({ord(c)})" for name, c in NAMED_CHARA
 
 
 # Patterns of the SQL alone: what counts as markup here does not follow the code that is compared.
-RAW_SQL = "(?is)<(script|style)\\b[^>]*(?:>|$).*?(?:</(?:script|style)\\s*>|$)|<!--.*?(?:-->|$)"
+QUOTED_SQL = "[^\\s/>=]*\\s*=\\s*(?:\"[^\"]*(?:\"|$)|'[^']*(?:'|$))"
+INSIDE_SQL = f"(?:[\\s/](?:{QUOTED_SQL}|[^\\s/>]+|[\\s/])*)?"
+TAGS_SQL = (
+    f"(?is)(<!--.*?(?:-->|$))|(<script){INSIDE_SQL}(>.*?(?:</script\\s*>|$)|$)"
+    f"|(<style){INSIDE_SQL}(>.*?(?:</style\\s*>|$)|$)|(</?[a-z][^\\s/>]*){INSIDE_SQL}(>|$)"
+)
+RAW_SQL = "(?is)<(script|style)(?:>|$).*?(?:</(?:script|style)\\s*>|$)|<!--.*?(?:-->|$)"
+OPEN_SQL = "|".join(sorted(OPEN_NAMES, key=len, reverse=True))
 BLOCKS_SQL = "|".join(sorted(PARAGRAPH_BREAKERS))
 
 
@@ -31,6 +38,7 @@ def held_sql(html: str) -> str:
         "CASE WHEN z[2] IS NULL THEN '' WHEN starts_with(z[2], '<!--') THEN '<!>'"
         f" ELSE '<!>' || replace(replace({content}, '&', '&amp;'), '<', '&lt;') || '<!>' END"
     )
+    html = f"regexp_replace({html}, {sql_text(TAGS_SQL)}, '\\1\\2\\3\\4\\5\\6\\7', 'g')"
     pairs = f"list_zip(string_split_regex({html}, {raw}), regexp_extract_all({html}, {raw}))"
     return f"array_to_string(list_transform({pairs}, lambda z: z[1] || {element}), '')"
 
@@ -48,10 +56,12 @@ def decoded_sql(text: str) -> str:
     )
     tails = (
         f"list_transform(string_split({text}, '&')[2:],"
-        " lambda p: {'p': p, 'r': regexp_extract(p, '^(#\\d+|#[xX][[:xdigit:]]+|[[:alpha:]][[:alnum:]]+);', 1)})"
+        " lambda p: {'p': p, 'r': rtrim(regexp_extract(p, '^(#\\d+|#[xX][[:xdigit:]]+|[[:alpha:]][[:alnum:]]+;)', 1), ';'),"
+        f" 'o': regexp_extract(p, '^({OPEN_SQL})', 1)}})"
     )
     decoded = (
-        f"list_transform({tails}, lambda q: coalesce(({character}) || q.p[length(q.r) + 2:], '&' || q.p))"
+        f"list_transform({tails}, lambda q: coalesce(({character}) || regexp_replace(q.p[length(q.r) + 1:], '^;', ''),"
+        f" MAP {{{_NAMES}}}[q.o] || regexp_replace(q.p[length(q.o) + 1:], '^;', ''), '&' || q.p))"
     )
     return f"(string_split({text}, '&')[1] || array_to_string({decoded}, ''))"
 
