@@ -323,6 +323,39 @@ def test_sample_exact(pool, n, sorted_rows):
     assert rows_of(sample) == by_digest(pool, n)
 
 
+@pytest.mark.parametrize("margin", [0.0, 0.005])
+def test_samples_read_keys_twice(spark, tmp_path, monkeypatch, margin):
+    """Two passes over the keys find the cut, also where the bracket misses it; other columns are not read."""
+    from pagemill.operators import sampling
+
+    path = str(tmp_path / "pool")
+    keys = "concat('t', if(id % 3 = 0, 1, id)) AS title"
+    spark.range(30_000).selectExpr(keys, "id AS page_id", "repeat('x', 50) AS body").write.parquet(path)
+    pool = spark.read.parquet(path)
+    monkeypatch.setattr(sampling, "MARGIN", margin)
+    monkeypatch.setattr(sampling, "SMALL_BYTES", 0)
+    whole, reads = sampling.stage, []
+
+    def watched(df, name):
+        reads.append(plan_text(df))
+        return whole(df, name)
+
+    monkeypatch.setattr(sampling, "stage", watched)
+    digest = F.md5(F.concat(F.lit("42:"), F.col("title")))
+    ordered = [r["title"] for r in pool.orderBy(digest, "title").select("title").collect()]
+    hot = ordered.index("t1")
+    for n in (1, hot, hot + 10_001, 20_000, 29_999):
+        reads.clear()
+        found = op.sample_exact(pool, n, "title", sorted_rows=50)
+        assert sorted(r["title"] for r in found.select("title").collect()) == sorted(ordered[:n])
+        assert all("body" not in plan for plan in reads)
+        assert len(reads) == 1 or margin == 0.0
+        assert "Union" not in plan_text(found)
+    # A cut within one key looks at whole rows of that key.
+    assert len({r["page_id"] for r in op.sample_exact(pool, hot + 5_000, "title").collect()}) == hot + 5_000
+    assert "body" in reads[-1]
+
+
 def test_sample_of_one_repeated_key(spark):
     pool = spark.range(900).selectExpr("'same' as title", "id as page_id")
     sample = rows_of(op.sample_exact(pool, 100, "title", sorted_rows=5))
