@@ -20,6 +20,8 @@ RUN = 4096
 # the general bound for that.
 START_BYTES = 32
 MOST_PARTITIONS = 100_000
+# Records of a file of a shard.
+FILE_ROWS = 100_000
 
 
 def record_size(text: str = "text") -> Column:
@@ -58,10 +60,10 @@ def shuffled_shards(
     starts = _bucket_starts(scattered.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_rows")))
     if n_buckets * START_BYTES <= BROADCAST_BYTES:
         starts = F.broadcast(starts)
-    # One partition per bucket on average; equal spots are put in order by the record itself.
+    # One partition per bucket, not by its hash; equal spots are put in order by the record itself.
     ordered = F.sort_array(F.collect_list(F.struct("_spot", "_record")))
     buckets = (
-        scattered.repartition(min(n_buckets, MOST_PARTITIONS), "_bucket")
+        scattered.repartitionById(min(n_buckets, MOST_PARTITIONS), "_bucket")
         .groupBy("_bucket").agg(ordered.alias("_rows"))
         .sortWithinPartitions("_bucket")
         .select("_bucket", F.shuffle("_rows", seed).alias("_rows"))
@@ -118,11 +120,17 @@ def _bucket_starts(counts: DataFrame) -> DataFrame:
     )
 
 
-def write_shards(sharded: DataFrame, path: str) -> None:
-    """One folder per shard, records in the order of their slots."""
+def write_shards(sharded: DataFrame, path: str, file_rows: int = FILE_ROWS) -> None:
+    """Writes `sharded` below `path`: a folder per shard, in it one per block of `file_rows` slots, in it
+    one file with the records in the order of their slots.
+
+    Blocks are the unit of work, so the number of shards does not bound the number of tasks. A task that
+    runs again writes the same files. An old column `block` is replaced. An empty table has no folders.
+    """
+    blocks = sharded.withColumn("block", F.floor(F.col("slot") / file_rows))
     (
-        sharded.repartition("shard").sortWithinPartitions("shard", "slot")
-        .write.partitionBy("shard").parquet(path)
+        blocks.repartition("shard", "block").sortWithinPartitions("shard", "block", "slot")
+        .write.partitionBy("shard", "block").parquet(path)
     )
 
 
