@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import hashlib
 import math
+from array import array
+from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import groupby
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,51 +21,99 @@ from pagemill.llm.common import WORDS_SQL, alnum_words, batched, bytes_of, id_an
 WINDOW = 10
 # Words that decide how far the search may skip.
 BLOCK = 2
+# Most bytes that the search may take in a worker, and how many it takes at most for a byte of benchmark
+# text: words of one letter take 18, those of prose 4 to 5.
+INDEX_BYTES = 256 * 1024 * 1024
+INDEX_FACTOR = 18
 # Bytes of benchmark text that are searched for in one pass over the documents.
-PASS_BYTES = 32 * 1024 * 1024
+PASS_BYTES = INDEX_BYTES // INDEX_FACTOR
 
 
 class WindowSearch:
     """All places where one of many word sequences of one length occurs.
 
-    `shift` says for a block of words how far its end is at least from the end of any sequence, so
-    the search jumps that far; a block that is in no sequence allows the longest jump. Blocks that
-    end a sequence have no shift: the bucket of the block holds the sequences with that ending, and
-    each is compared word by word.
+    Blocks of words are known by a slot, some bits of a hash; there are more slots than sequences.
+    `shift` says for a slot how far the end of its blocks is at least from the end of any sequence, so the
+    search jumps that far; blocks that are in no sequence mostly allow the longest jump. Slots of blocks
+    that end a sequence have no shift: they have a bucket of the sequences with that ending, in the order
+    of their hashes, and those with the hash of the words at hand are compared as text.
+
+    Sequences are places in `text`, the words of all items with a blank behind each; `begin` says where
+    words start. Only arrays are kept, whose size does not depend on how the words repeat.
     """
 
-    def __init__(self, windows: dict[tuple[bytes, ...], set[int]], length: int):
-        self.length = length
+    def __init__(
+        self, text: bytes, begin: array, starts: np.ndarray, owners: np.ndarray, length: int, blocks: np.ndarray
+    ):
+        """`starts` are the first words of the sequences, `owners` their items; `blocks` has a hash of the block
+        that begins at each word."""
+        self.text, self.begin, self.length = text, begin, length
         self.block = min(BLOCK, length)
         self.skip = length - self.block + 1
-        self.shift: dict[tuple[bytes, ...], int] = {}
-        self.buckets: dict[tuple[bytes, ...], list[tuple[tuple[bytes, ...], set[int]]]] = defaultdict(list)
-        for window, items in windows.items():
-            for end in range(self.block, length + 1):
-                block = window[end - self.block : end]
-                self.shift[block] = min(self.shift.get(block, self.skip), length - end)
-            self.buckets[window[-self.block :]].append((window, items))
-
-    def places(self, words: list[bytes]) -> Iterator[tuple[int, set[int]]]:
+        size = 1 << max(4, len(starts).bit_length())
+        self.mask = size - 1
+        hashes = np.fromiter((hash(self._words_at(s)) for s in starts.tolist()), np.int64, len(starts))
+        slots = blocks[starts + (length - self.block)] & self.mask
+        order = np.lexsort((hashes, slots))
+        first, owner, held, ends = array("i"), array("i"), array("q"), array("i")
+        keys = array("q")
+        for (slot, hashed), same in groupby(
+            zip(slots[order].tolist(), hashes[order].tolist(), starts[order].tolist(), owners[order].tolist()),
+            key=lambda row: row[:2],
+        ):
+            # Equal sequences become one with the items of all; a hash alone does not make them equal.
+            found: dict[bytes, tuple[int, set[int]]] = {}
+            for _, _, start, item in same:
+                found.setdefault(self._words_at(start), (start, set()))[1].add(item)
+            for start, items in found.values():
+                first.append(start)
+                held.append(hashed)
+                keys.append(slot)
+                owner.extend(sorted(items))
+                ends.append(len(owner))
+        self.first, self.owner, self.hashes, self.ends = first, owner, held, ends
+        found_at = np.searchsorted(np.frombuffer(keys, np.int64), np.arange(size + 1)) if keys else np.zeros(size + 1)
+        self.bucket = array("i", found_at.astype(np.int32).tobytes())
+        shift = np.full(size, self.skip, np.uint8)
+        # The shortest shift is written last.
+        for end in range(self.block, length + 1):
+            shift[blocks[starts + (end - self.block)] & self.mask] = length - end
+        self.shift = bytearray(shift.tobytes())
+
+    def _words_at(self, word: int) -> bytes:
+        return self.text[self.begin[word] : self.begin[word + self.length] - 1]
+
+    def nbytes(self) -> int:
+        """Bytes of the arrays of this search; text and word starts are shared with the others."""
+        arrays = (self.first, self.owner, self.hashes, self.ends, self.bucket)
+        return len(self.shift) + sum(a.itemsize * len(a) for a in arrays)
+
+    def places(self, words: list[bytes]) -> Iterator[tuple[int, array]]:
         """(first word, numbers of the items) of every occurrence."""
-        shift, skip, block, length = self.shift.get, self.skip, self.block, self.length
-        end, n = length, len(words)
-        if block == 2:
+        shift, length, mask, n = self.shift, self.length, self.mask, len(words)
+        end = length
+        if self.block == 2:
             while end <= n:
-                jump = shift((words[end - 2], words[end - 1]), skip)
+                slot = hash((words[end - 2], words[end - 1])) & mask
+                jump = shift[slot]
                 if not jump:
-                    start = end - length
-                    here = tuple(words[start:end])
-                    for window, items in self.buckets[here[-2:]]:
-                        if window == here:
-                            yield start, items
+                    yield from self._verified(slot, words, end - length)
                     jump = 1
                 end += jump
         else:
-            for start in range(n - length + 1):
-                here = tuple(words[start : start + length])
-                for window, items in self.buckets.get(here, ()):
-                    yield start, items
+            for start in range(n):
+                slot = hash(words[start]) & mask
+                if not shift[slot]:
+                    yield from self._verified(slot, words, start)
+
+    def _verified(self, slot: int, words: list[bytes], start: int) -> Iterator[tuple[int, array]]:
+        here = b" ".join(words[start : start + self.length])
+        wanted, behind = hash(here), self.bucket[slot + 1]
+        k = bisect_left(self.hashes, wanted, self.bucket[slot], behind)
+        while k < behind and self.hashes[k] == wanted:
+            if self._words_at(self.first[k]) == here:
+                yield start, self.owner[self.ends[k - 1] if k else 0 : self.ends[k]]
+            k += 1
 
 
 class Benchmark:
@@ -69,13 +121,30 @@ class Benchmark:
 
     def __init__(self, items: list[tuple[int | None, bytes | None]], window: int):
         self.ids = [item_id for item_id, _ in items]
-        by_length: dict[int, dict] = defaultdict(lambda: defaultdict(set))
+        starts: dict[int, tuple[array, array]] = defaultdict(lambda: (array("i"), array("i")))
+        every: list[bytes] = []
         for number, (_, body) in enumerate(items):
-            words = alnum_words(body)
+            words, before = alnum_words(body), len(every)
+            every += words
             length = min(window, len(words))
-            for start in range(len(words) - length + 1 if words else 0):
-                by_length[length][tuple(words[start : start + length])].add(number)
-        self.searches = [WindowSearch(windows, length) for length, windows in sorted(by_length.items())]
+            n_starts = len(words) - length + 1 if words else 0
+            starts[length][0].extend(range(before, before + n_starts))
+            starts[length][1].extend([number] * n_starts)
+        self.text = b"".join(word + b" " for word in every)
+        ends = np.cumsum([0, *(len(word) + 1 for word in every)])
+        small = len(self.text) < 1 << 31
+        self.begin = array("i" if small else "q", ends.astype(np.int32 if small else np.int64).tobytes())
+        singles = np.fromiter(map(hash, every), np.int64, len(every))
+        pairs = np.fromiter(map(hash, zip(every, every[1:])), np.int64, max(0, len(every) - 1))
+        self.searches = [
+            WindowSearch(
+                self.text, self.begin, np.array(firsts), np.array(owners), length, singles if length == 1 else pairs
+            )
+            for length, (firsts, owners) in sorted(starts.items()) if length
+        ]
+
+    def nbytes(self) -> int:
+        return len(self.text) + self.begin.itemsize * len(self.begin) + sum(s.nbytes() for s in self.searches)
 
     def search(self, words: list[bytes]) -> tuple[list[tuple[int, int]], list[int]]:
         """Hit runs of words, and the item ids found, for one text."""
@@ -83,7 +152,7 @@ class Benchmark:
         for search in self.searches:
             for start, items in search.places(words):
                 places.append((start, start + search.length))
-                found |= items
+                found.update(items)
         places.sort()
         runs: list[list[int]] = []
         for start, end in places:
@@ -94,6 +163,19 @@ class Benchmark:
         return [tuple(r) for r in runs], sorted({self.ids[n] for n in found if self.ids[n] is not None})
 
 
+class Items:
+    """The items of one pass as they are broadcast. A worker process keeps a broadcast value for all its
+    tasks, and with it the search that the first of them builds."""
+
+    def __init__(self, items: list[tuple[int | None, bytes | None]], window: int):
+        self.items, self.window, self.built = items, window, None
+
+    def benchmark(self) -> Benchmark:
+        if self.built is None:
+            self.built = Benchmark(self.items, self.window)
+        return self.built
+
+
 def find_benchmark(
     documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, pass_bytes: int = PASS_BYTES
 ) -> DataFrame:
@@ -144,7 +226,7 @@ def _merged_runs(column: str):
 
 
 def _search(spark: SparkSession, rows: DataFrame, items: DataFrame, window: int) -> DataFrame:
-    content = spark.sparkContext.broadcast([tuple(r) for r in items.collect()])
+    content = spark.sparkContext.broadcast(Items([tuple(r) for r in items.collect()], window))
     schema = pa.schema(
         [
             ("doc_id", pa.int64()), ("n_words", pa.int64()),
@@ -154,7 +236,7 @@ def _search(spark: SparkSession, rows: DataFrame, items: DataFrame, window: int)
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        benchmark = Benchmark(content.value, window)
+        benchmark = content.value.benchmark()
 
         def found():
             for doc_id, body in pairs_of(batches):

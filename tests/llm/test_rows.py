@@ -6,14 +6,16 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
+from compare import plan_text
 from fixtures_llm import prose
 from pyspark.sql import functions as F
 
 from pagemill.llm import quality
-from pagemill.llm.decontaminate import find_benchmark
+from pagemill.llm.decontaminate import INDEX_FACTOR, Benchmark, Items, find_benchmark
 from pagemill.llm.licenses import NOTICES, PHRASES, license_scan
-from pagemill.llm.sharding import shuffled_shards
+from pagemill.llm.sharding import shuffled_shards, write_shards
 
 
 def ascii_words(text):
@@ -78,6 +80,42 @@ def test_benchmark_windows_are_found(spark, make, odd_rows, pass_bytes):
     assert find_benchmark(make(rows), benchmark.filter("item_id < 0")).filter("size(runs) > 0").count() == 0
 
 
+def test_empty_documents_hold_nothing(spark, make):
+    benchmark = spark.createDataFrame([(1, prose(30, 1))], "item_id long, text string")
+    assert find_benchmark(make([(1, "x")]).filter("doc_id < 0"), benchmark).count() == 0
+
+
+@pytest.mark.parametrize("n_items, words, factor", [(1000, 100, 6), (3000, 3, 8), (2000, 0, INDEX_FACTOR)])
+def test_size_of_the_benchmark_search(n_items, words, factor):
+    pick = random.Random(1)
+    items = [(n, (prose(words, n) or " ".join(pick.choices("abcdefgh", k=50))).encode()) for n in range(n_items)]
+    held = Items(items, 10)
+    assert held.benchmark() is held.benchmark()
+    assert held.benchmark().nbytes() <= factor * sum(len(body) for _, body in items)
+
+
+@pytest.mark.parametrize("length", [1, 2, 3, 10])
+def test_benchmark_windows_whose_hashes_meet(length):
+    """Few slots and many repeated windows: every place is found with the items of all equal windows."""
+    pick = random.Random(length)
+    items = [(n, " ".join(pick.choices("ab", k=pick.randrange(0, 40)))) for n in range(60)]
+    search = Benchmark([(i, t.encode()) for i, t in items], length)
+    for _ in range(40):
+        text = " ".join(pick.choices("abc", k=60))
+        runs, found = search.search([w.encode() for w in text.split()])
+        hit, expected = set(), set()
+        words = text.split()
+        for item_id, item in items:
+            own = item.split()
+            n = min(length, len(own))
+            windows = {tuple(own[k : k + n]) for k in range(len(own) - n + 1)} if own else set()
+            for k in range(len(words) - n + 1) if own else ():
+                if tuple(words[k : k + n]) in windows:
+                    hit |= set(range(k, k + n))
+                    expected.add(item_id)
+        assert [k for a, b in runs for k in range(a, b)] == sorted(hit) and found == sorted(expected)
+
+
 def plain_base(text):
     text = text or ""
     words = [w for w in re.split(r"[\x20\x09-\x0D]+", text) if w]
@@ -170,3 +208,30 @@ def test_shards_are_a_permutation(make, odd_rows, bucket_bytes):
     steps = [abs(places[n + 101] - places[n + 100]) for n in range(299)]
     assert np.mean(steps) > len(rows) / 6
     assert shuffled_shards(frame.filter("doc_id < -1"), 3).count() == 0
+
+
+def test_written_shards_are_read_back_in_order(spark, make, tmp_path):
+    rows = [(n, prose(5, n)) for n in range(300)] + [(None, None), (7, "x"), (7, "x")]
+    sharded = shuffled_shards(make(rows).withColumn("block", F.lit("old")), 3, bucket_bytes=2000)
+    write_shards(sharded, str(tmp_path / "out"), file_rows=20)
+    read = []
+    for shard in range(3):
+        slots = []
+        blocks = sorted((tmp_path / "out" / f"shard={shard}").iterdir(), key=lambda p: int(p.name.split("=")[1]))
+        for block in blocks:
+            files = list(block.glob("*.parquet"))
+            assert len(files) == 1
+            part = pq.ParquetFile(files[0]).read().to_pylist()
+            assert len(part) == 20 or block == blocks[-1]
+            slots += [r["slot"] for r in part]
+            read += [(r["doc_id"], r["text"]) for r in part]
+        assert slots == list(range(len(slots))) and len(blocks) > 4
+    assert sorted(read, key=repr) == sorted(rows, key=repr)
+    write_shards(sharded.limit(0), str(tmp_path / "none"))
+    assert not list((tmp_path / "none").glob("shard=*"))
+
+
+def test_every_bucket_has_a_task(make):
+    plan = plan_text(shuffled_shards(make([(n, prose(50, n)) for n in range(200)]), 3, bucket_bytes=5000))
+    # Records are shuffled once, to the partition with the number of their bucket.
+    assert plan.count("shufflepartitionidpassthrough") == 1
