@@ -377,13 +377,14 @@ def test_literals_after_append(spark):
     assert df.first()["a"] == ["a", "b"]
 
 
-@pytest.mark.parametrize("sorted_rows", [0, 1, 3, 100_000])
+@pytest.mark.parametrize("sorted_rows", [0, 3, 100_000])
 def test_samples_hold_only_rows_of_the_pool(spark, sorted_rows):
     times = [f"2024-01-01 00:00:00.12300{n}" for n in range(6)] + ["2024-01-01 00:00:00.123456"] * 4
     pool = spark.createDataFrame([("same", t) for t in times], "title string, t string")
     pool = pool.select("title", F.col("t").cast("timestamp").alias("at"), F.col("t").cast("timestamp_ntz").alias("ntz"))
     rows = sorted(map(repr, pool.collect()))
-    for n in range(1, 11):
+    # Three cuts of ten rows, four of which are equal, meet the equal rows or their bounds.
+    for n in (3, 6, 8):
         found = sorted(map(repr, op.sample_exact(pool.repartition(3), n, "title", sorted_rows=sorted_rows).collect()))
         assert len(found) == n
         assert all(found.count(r) <= rows.count(r) for r in found)
