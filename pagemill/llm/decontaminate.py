@@ -21,10 +21,12 @@ from pagemill.llm.common import WORDS_SQL, alnum_words, batched, bytes_of, id_an
 WINDOW = 10
 # Words that decide how far the search may skip.
 BLOCK = 2
+# Slots of the shift table for each sequence; a slot is a byte.
+SLOTS = 8
 # Most bytes that the search may take in a worker, and how many it takes at most for a byte of benchmark
-# text: words of one letter take 18, those of prose 4 to 5.
-INDEX_BYTES = 256 * 1024 * 1024
-INDEX_FACTOR = 18
+# text: words of one letter take up to 25, those of prose 6.
+INDEX_BYTES = 384 * 1024 * 1024
+INDEX_FACTOR = 25
 # Bytes of benchmark text that are searched for in one pass over the documents.
 PASS_BYTES = INDEX_BYTES // INDEX_FACTOR
 
@@ -32,7 +34,8 @@ PASS_BYTES = INDEX_BYTES // INDEX_FACTOR
 class WindowSearch:
     """All places where one of many word sequences of one length occurs.
 
-    Blocks of words are known by a slot, some bits of a hash; there are more slots than sequences.
+    Blocks of words are known by a slot, some bits of a hash; there are `SLOTS` times as many slots as
+    sequences, or more, so few blocks share one. Neighbouring slots share a bucket.
     `shift` says for a slot how far the end of its blocks is at least from the end of any sequence, so the
     search jumps that far; blocks that are in no sequence mostly allow the longest jump. Slots of blocks
     that end a sequence have no shift: they have a bucket of the sequences with that ending, in the order
@@ -51,9 +54,9 @@ class WindowSearch:
         self.block = min(BLOCK, length)
         self.skip = length - self.block + 1
         size = 1 << max(4, len(starts).bit_length())
-        self.mask = size - 1
+        self.mask = SLOTS * size - 1
         hashes = np.fromiter((hash(self._words_at(s)) for s in starts.tolist()), np.int64, len(starts))
-        slots = blocks[starts + (length - self.block)] & self.mask
+        slots = (blocks[starts + (length - self.block)] & self.mask) // SLOTS
         order = np.lexsort((hashes, slots))
         first, owner, held, ends = array("i"), array("i"), array("q"), array("i")
         keys = array("q")
@@ -74,7 +77,7 @@ class WindowSearch:
         self.first, self.owner, self.hashes, self.ends = first, owner, held, ends
         found_at = np.searchsorted(np.frombuffer(keys, np.int64), np.arange(size + 1)) if keys else np.zeros(size + 1)
         self.bucket = array("i", found_at.astype(np.int32).tobytes())
-        shift = np.full(size, self.skip, np.uint8)
+        shift = np.full(SLOTS * size, self.skip, np.uint8)
         # The shortest shift is written last.
         for end in range(self.block, length + 1):
             shift[blocks[starts + (end - self.block)] & self.mask] = length - end
@@ -91,10 +94,10 @@ class WindowSearch:
     def places(self, words: list[bytes]) -> Iterator[tuple[int, array]]:
         """(first word, numbers of the items) of every occurrence."""
         shift, length, mask, n = self.shift, self.length, self.mask, len(words)
-        end = length
+        end, key = length, hash
         if self.block == 2:
             while end <= n:
-                slot = hash((words[end - 2], words[end - 1])) & mask
+                slot = key((words[end - 2], words[end - 1])) & mask
                 jump = shift[slot]
                 if not jump:
                     yield from self._verified(slot, words, end - length)
@@ -108,8 +111,9 @@ class WindowSearch:
 
     def _verified(self, slot: int, words: list[bytes], start: int) -> Iterator[tuple[int, array]]:
         here = b" ".join(words[start : start + self.length])
-        wanted, behind = hash(here), self.bucket[slot + 1]
-        k = bisect_left(self.hashes, wanted, self.bucket[slot], behind)
+        wanted, bucket = hash(here), slot // SLOTS
+        behind = self.bucket[bucket + 1]
+        k = bisect_left(self.hashes, wanted, self.bucket[bucket], behind)
         while k < behind and self.hashes[k] == wanted:
             if self._words_at(self.first[k]) == here:
                 yield start, self.owner[self.ends[k - 1] if k else 0 : self.ends[k]]

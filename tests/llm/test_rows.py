@@ -85,7 +85,7 @@ def test_empty_documents_hold_nothing(spark, make):
     assert find_benchmark(make([(1, "x")]).filter("doc_id < 0"), benchmark).count() == 0
 
 
-@pytest.mark.parametrize("n_items, words, factor", [(1000, 100, 6), (3000, 3, 8), (2000, 0, INDEX_FACTOR)])
+@pytest.mark.parametrize("n_items, words, factor", [(1000, 100, 8), (3000, 3, 10), (2000, 0, INDEX_FACTOR)])
 def test_size_of_the_benchmark_search(n_items, words, factor):
     pick = random.Random(1)
     items = [(n, (prose(words, n) or " ".join(pick.choices("abcdefgh", k=50))).encode()) for n in range(n_items)]
