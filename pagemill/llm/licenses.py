@@ -97,19 +97,26 @@ NOTICES = (
 )
 # Share of a template's words that must stand at their relative places.
 COVERAGE = 0.8
+# Words by which a place may be off, as words before it were put in or left out.
+DRIFT = 3
+# Most bytes of templates that are read from a table and sent to every worker.
+TEMPLATE_BYTES = 32 * 1024 * 1024
 
 
 class TemplateIndex:
     """Where every word of the templates stands in them, and which words are rare among them.
 
-    A template is found through its rarest words, those of the highest inverse document frequency
-    over the templates. A match has at least `coverage` of the words at their relative places and
-    the key phrases, so a template's anchors are its rarest distinct words, as many as cover one
-    place more than a match may miss: at least one of them is at its place in every match.
+    The words of the first key phrase stand one after the other where a match is; its start is their place less
+    their place in the template. A word of the template counts if it stands within `drift` words of
+    its place behind the start: postings of neighbouring offsets are chained, so a word put in
+    or left out costs no more than itself. A match has `coverage` of the words and, within the drift, all other key
+    phrases. A template is found through its rarest words, those of the highest inverse document
+    frequency over the templates: its anchors are as many as cover one place more than a match may
+    miss, so each match has one at its place.
     """
 
-    def __init__(self, templates: tuple[Template, ...], coverage: float):
-        self.templates = templates
+    def __init__(self, templates: tuple[Template, ...], coverage: float, drift: int = DRIFT):
+        self.templates, self.drift = templates, drift
         self.words = [alnum_words(t.text.encode()) for t in templates]
         self.needed = [math.ceil(coverage * len(w)) for w in self.words]
         held = Counter(word for words in self.words for word in set(words))
@@ -117,14 +124,15 @@ class TemplateIndex:
         self.anchors: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
         for number, words in enumerate(self.words):
             missing_allowed = len(words) - self.needed[number]
+            own: dict[bytes, list[int]] = defaultdict(list)
+            for place, word in enumerate(words):
+                own[word].append(place)
             covered = 0
-            for word in sorted(set(words), key=lambda w: (-self.idf[w], w)):
+            for word in sorted(own, key=lambda w: (-self.idf[w], w)):
                 if covered > missing_allowed:
                     break
-                for place, other in enumerate(words):
-                    if other == word:
-                        self.anchors[word].append((number, place))
-                        covered += 1
+                self.anchors[word] += [(number, place) for place in own[word]]
+                covered += len(own[word])
         self.rare = frozenset(self.anchors)
         # Key phrases: their words, and where they stand in the template.
         self.phrases = [
@@ -142,26 +150,71 @@ class TemplateIndex:
         """(template, first word, share of its words found) for every place in a text."""
         if self.rare.isdisjoint(words):
             return []
-        # Postings of the text's rare words, met by relative position: one start per template and offset.
-        starts = {
-            (number, at - place)
-            for at, word in enumerate(words) if word in self.rare
-            for number, place in self.anchors[word]
-        }
+        # Offsets at which a text's rarest licence words meet a template, rarest first.
+        spots: dict[bytes, list[int]] = defaultdict(list)
+        for at, word in enumerate(words):
+            if word in self.idf:
+                spots[word].append(at)
+        offsets: dict[int, set[int]] = defaultdict(set)
+        for word in sorted(self.rare.intersection(spots), key=lambda w: (-self.idf[w], w)):
+            for number, place in self.anchors[word]:
+                offsets[number].update(at - place for at in spots[word])
         found = []
-        for number, start in sorted(starts):
+        for number in sorted(offsets):
             template = self.words[number]
-            if not all(
-                start + at >= 0 and words[start + at : start + at + len(phrase)] == phrase
-                for at, phrase in self.phrases[number]
-            ):
+            if sum(word in spots for word in template) < self.needed[number]:
                 continue
-            first = max(start, 0)
-            equal = sum(a == b for a, b in zip(words[first : start + len(template)], template[first - start :]))
-            if equal >= self.needed[number]:
-                found.append((number, start, equal / len(template)))
+            (first_at, phrase), *others = self.phrases[number]
+            near = range(-self.drift, self.drift + 1)
+            # Only where the key phrase begins may an offset near the postings be a start.
+            begins = {at - first_at for at in spots[phrase[0]]}
+            for start in sorted(begins.intersection(o + d for o in offsets[number] for d in near)):
+                if not self._stands(words, start + first_at, phrase):
+                    continue
+                if not all(any(self._stands(words, start + at + d, other) for d in near) for at, other in others):
+                    continue
+                equal = sum(
+                    word in words[max(0, start + place - self.drift) : max(0, start + place + self.drift + 1)]
+                    for place, word in enumerate(template)
+                )
+                if equal >= self.needed[number]:
+                    found.append((number, start, equal / len(template)))
         return found
 
+    @staticmethod
+    def _stands(words: list[bytes], at: int, phrase: list[bytes]) -> bool:
+        return at >= 0 and words[at : at + len(phrase)] == phrase
+
+
+class Templates:
+    """Templates as they are broadcast. A worker process keeps a broadcast value for all its tasks, and with
+    it the index that the first of them builds."""
+
+    def __init__(self, templates: tuple[Template, ...], coverage: float):
+        self.templates, self.coverage, self.built = templates, coverage, None
+
+    def index(self) -> TemplateIndex:
+        if self.built is None:
+            self.built = TemplateIndex(self.templates, self.coverage)
+        return self.built
+
+
+def read_templates(table: DataFrame, most_bytes: int = TEMPLATE_BYTES) -> tuple[Template, ...]:
+    """Templates of a table (label, text, key_phrases as an array of texts), in the order of label and text.
+
+    Every worker gets all of them, so a table of more than `most_bytes` is an error. Rows with a null
+    label, text or list, or without key phrases, are left out. A key phrase that its text does not hold is an
+    error when the templates are used. Repeated rows count once.
+    """
+    rows = table.select(
+        F.col("label").cast("string"), F.col("text").cast("string"), F.col("key_phrases").cast("array<string>")
+    ).where("label is not null and text is not null and size(key_phrases) > 0").distinct()
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    if size > most_bytes:
+        raise ValueError(f"templates of {size} bytes, more than {most_bytes}")
+    found = sorted((r["label"], r["text"], tuple(r["key_phrases"])) for r in rows.collect())
+    return tuple(Template(*row) for row in found)
+
 
 def license_scan(
     documents: DataFrame, phrases: tuple[Template, ...] = PHRASES, notices: tuple[Template, ...] = NOTICES,
@@ -171,10 +224,12 @@ def license_scan(
     share found and whether the label is a plain phrase; score is the largest share, 0 without match.
 
     Phrases must be there word by word; notices need their key phrases and `coverage` of all words
-    at their relative places. Whole texts are read. Null texts have no words; repeated rows keep a
+    within `DRIFT` words of their relative places, so single words may be changed, put in or left out. Whole
+    texts are read. Null texts have no words; repeated rows keep a
     result each; other columns are ignored. Rows stay in their partitions; nothing is shuffled.
     """
     templates = phrases + notices
+    content = documents.sparkSession.sparkContext.broadcast(Templates(templates, coverage))
     schema = pa.schema(
         [
             ("doc_id", pa.int64()), ("n_words", pa.int64()),
@@ -194,14 +249,14 @@ def license_scan(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = TemplateIndex(templates, coverage)
+        index = content.value.index()
 
         def rows():
             for doc_id, body in pairs_of(batches):
                 words = alnum_words(body)
                 matches = [
                     {
-                        "label": templates[n].label, "first": max(start, 0), "words": len(index.words[n]),
+                        "label": index.templates[n].label, "first": max(start, 0), "words": len(index.words[n]),
                         "share": share, "phrase": n < len(phrases),
                     }
                     for n, start, share in index.matches(words)
@@ -235,7 +290,7 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_sql() -> str:
-    """Every word of every text against every word of the templates, counted by template and start."""
+    """Every word of every text against every word of the templates, counted by template near each start."""
     index = TemplateIndex(PHRASES + NOTICES, COVERAGE)
     words, templates, phrases = [], [], []
     for number, template in enumerate(index.templates):
@@ -243,10 +298,14 @@ def op2_sql() -> str:
         words += [f"({number}, {place}, '{word.decode()}')" for place, word in enumerate(own)]
         is_phrase = "true" if number < len(PHRASES) else "false"
         templates.append(f"({number}, '{template.label}', {is_phrase}, {len(own)}, {index.needed[number]})")
-        checks = [
-            f"start + {at} >= 0 AND w[start + {at + 1} : start + {at + len(phrase)}]"
-            f" = [{', '.join(repr(p.decode()) for p in phrase)}]"
-            for at, phrase in index.phrases[number]
+
+        def stands(at: int, phrase: list[bytes]) -> str:
+            listed = ", ".join(repr(p.decode()) for p in phrase)
+            return f"(start + {at} >= 0 AND w[start + {at + 1} : start + {at + len(phrase)}] = [{listed}])"
+
+        (first_at, first), *others = index.phrases[number]
+        checks = [stands(first_at, first)] + [
+            f"({' OR '.join(stands(at + d, phrase) for d in range(-DRIFT, DRIFT + 1))})" for at, phrase in others
         ]
         phrases.append(f"WHEN {number} THEN {' AND '.join(checks)}")
     return f"""
@@ -256,11 +315,19 @@ def op2_sql() -> str:
         t(number, place, word) AS (VALUES {', '.join(words)}),
         l(number, label, phrase, n, needed) AS (VALUES {', '.join(templates)}),
         p AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS spot FROM d),
-        h AS (SELECT doc_id, number, spot - place AS start, count(*) AS equal FROM p JOIN t USING (word) GROUP BY ALL),
+        h AS (SELECT doc_id, number, place, spot - place AS start FROM p JOIN t USING (word)),
+        c AS (
+            SELECT doc_id, number, start FROM (SELECT DISTINCT doc_id, number, start FROM h) JOIN d USING (doc_id)
+            WHERE CASE number {' '.join(phrases)} END
+        ),
+        k AS (
+            SELECT c.doc_id, c.number, c.start, count(DISTINCT h.place) AS equal
+            FROM c JOIN h ON h.doc_id = c.doc_id AND h.number = c.number
+                AND h.start BETWEEN c.start - {DRIFT} AND c.start + {DRIFT}
+            GROUP BY ALL
+        ),
         m AS (
-            SELECT doc_id, label, phrase, start, equal / n AS share
-            FROM h JOIN l USING (number) JOIN d USING (doc_id)
-            WHERE equal >= needed AND CASE number {' '.join(phrases)} END
+            SELECT doc_id, label, phrase, start, equal / n AS share FROM k JOIN l USING (number) WHERE equal >= needed
         ),
         g AS (
             SELECT doc_id, count(*) FILTER (phrase) AS n_base, min(start) FILTER (phrase) AS first_word,

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from pagemill.llm import quality
 from pagemill.llm.decontaminate import INDEX_FACTOR, Benchmark, Items, find_benchmark
-from pagemill.llm.licenses import NOTICES, PHRASES, license_scan
+from pagemill.llm.licenses import COVERAGE, DRIFT, NOTICES, PHRASES, Template, TemplateIndex, license_scan, read_templates
 from pagemill.llm.sharding import shuffled_shards, write_shards
 
 
@@ -53,6 +53,75 @@ def test_notices_are_found_with_words_changed(make, template):
     assert template.label not in found[2]
 
 
+@pytest.mark.parametrize("template", NOTICES, ids=lambda t: t.label)
+def test_notices_are_found_with_words_put_in_and_left_out(template):
+    index = TemplateIndex(PHRASES + NOTICES, COVERAGE)
+    words = template.text.split()
+    held = {w for p in template.key_phrases for w in p.split()}
+    free = [n for n, w in enumerate(words) if not set(ascii_words(w)) & held]
+    for n in [n + 1 for n in free if n + 1 < len(words)]:
+        longer = [*words[:n], "inserted", *words[n:]]
+        found = index.matches([w.encode() for w in ascii_words(prose(20, n) + " " + " ".join(longer))])
+        assert template.label in {index.templates[k].label for k, _, _ in found}
+    for n in free if len(words) >= 10 else []:
+        shorter = [*words[:n], *words[n + 1 :]]
+        found = index.matches([w.encode() for w in ascii_words(" ".join(shorter) + " " + prose(20, n))])
+        assert template.label in {index.templates[k].label for k, _, _ in found}
+
+
+def plain_matches(words, templates):
+    """Every start of every template, by the definition."""
+    found = []
+    for number, template in enumerate(templates):
+        own = ascii_words(template.text)
+        phrases = []
+        for phrase in template.key_phrases:
+            wanted = ascii_words(phrase)
+            phrases.append((next(k for k in range(len(own)) if own[k : k + len(wanted)] == wanted), wanted))
+        for start in range(-len(own), len(words)):
+            def near(at, wanted, drift):
+                spots = range(max(0, start + at - drift), start + at + drift + 1)
+                return any(words[k : k + len(wanted)] == wanted for k in spots)
+
+            if not near(*phrases[0], 0) or not all(near(at, p, DRIFT) for at, p in phrases[1:]):
+                continue
+            equal = sum(near(place, [word], DRIFT) for place, word in enumerate(own))
+            if equal >= math.ceil(COVERAGE * len(own)):
+                found.append((number, start, equal / len(own)))
+    return found
+
+
+def test_a_thousand_templates_from_a_table(spark, make):
+    pick = random.Random(4)
+    common = [f"c{n}" for n in range(40)]
+    texts = [" ".join(pick.choices([*common, f"r{n}", f"r{n // 7}"], k=pick.randrange(4, 40))) for n in range(1000)]
+    rows = []
+    for n, text in enumerate(texts):
+        words = text.split()
+        phrases = [" ".join(words[k : k + 2]) for k in sorted(pick.sample(range(len(words) - 1), pick.randrange(1, 3)))]
+        rows.append((f"l{n:04}", text, phrases))
+    table = spark.createDataFrame([*rows, rows[0], (None, "a", ["a"]), ("x", "a", [])], "label string, text string, key_phrases array<string>")
+    templates = read_templates(table)
+    assert [t.label for t in templates] == [r[0] for r in rows]
+    with pytest.raises(ValueError, match="bytes"):
+        read_templates(table, most_bytes=100)
+    documents = [(0, None), (1, "")]
+    for n in range(2, 14):
+        words = " ".join(pick.choices(texts, k=3)).split()
+        for _ in range(4):
+            at = pick.randrange(len(words))
+            words[at : at + 1] = pick.choice([[], ["other"], [words[at], "more"]])
+        documents.append((n, " ".join(words)))
+    found = license_scan(make(documents), (), templates).collect()
+    got = {r.doc_id: [(m.label, m["first"], m.share) for m in r.matches] for r in found}
+    expected = {
+        i: [(templates[n].label, max(start, 0), share) for n, start, share in plain_matches(ascii_words(t), templates)]
+        for i, t in documents
+    }
+    assert got == expected and sum(map(len, got.values())) > 20
+    assert isinstance(templates[0], Template)
+
+
 def plain_hits(text, items):
     words, hit, found = ascii_words(text), set(), set()
     for item_id, item in items:
