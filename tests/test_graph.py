@@ -63,6 +63,23 @@ def sizes(request, monkeypatch):
         monkeypatch.setattr(module, "stage_sized", lambda *args: (measured(*args)[0], False))
 
 
+def test_triples_of_one_split_are_written_by_several_tasks(spark, monkeypatch):
+    from pagemill.sources import triples as module
+
+    monkeypatch.setattr(module, "TASK_BYTES", 4096)
+    monkeypatch.setattr(module, "LEAST_BYTES", 1024)
+    common = spark.range(0, 2000, 1, 1).selectExpr("concat('s', id) s", "'common' p", "concat('o', id) o", "'en' lang")
+    rare = spark.createDataFrame([("a", "rare", "b", None), ("a", None, "c", "en"), (None, "rare", None, None)], TRIPLES)
+    triples = common.unionAll(rare).coalesce(1)
+    path = work_path(spark, "triples")
+    write_triples(triples, path)
+    stored = read_triples(spark, path)
+    assert rows_of(stored) == rows_of(triples)
+    files = {r["p"]: r["n"] for r in stored.groupBy("p").agg(F.count_distinct("_metadata.file_path").alias("n")).collect()}
+    assert files["common"] > 8 and files["rare"] <= 2 and files[None] == 1
+    write_triples(rare.limit(0), work_path(spark, "triples"))
+
+
 def test_closure_of_a_cycle(graph):
     assert rows_of(op.subclass_closure(graph, "game")) == [("game",), ("jrpg",), ("rpg",)]
     assert rows_of(op.subclass_closure(graph, "book")) == [("book",)]
