@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -26,7 +26,8 @@ def fetch_map(
 
     `fetch(key, *inputs)` runs on the executors. A failing item gets its message in `error` and does
     not stop the others. `chunks` spreads the rows evenly over that many tasks; without it the
-    present partitions are kept. A lost task is run again, so `fetch` has to be repeatable.
+    present partitions are kept. A lost task is run again, so `fetch` has to be repeatable. Rows come as
+    Arrow batches, of which FETCH_ROWS rows at a time become Python objects.
     """
     rows = df.select(key, *inputs, *keep)
     arguments = 1 + len(inputs)
@@ -43,14 +44,14 @@ def fetch_map(
         except Exception as problem:
             return None, f"{type(problem).__name__}: {problem}"
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with ThreadPoolExecutor(threads) as pool:
-            for frame in frames:
-                for start in range(0, len(frame), FETCH_ROWS):
-                    part = frame.iloc[start : start + FETCH_ROWS]
-                    results = pool.map(attempt, part.iloc[:, :arguments].itertuples(index=False, name=None))
-                    bodies, errors = zip(*results)
-                    kept = {name: part[name].values for name in keep}
-                    yield pd.DataFrame({key: part[key].values, "body": bodies, "error": errors, **kept})
-
-    return rows.mapInPandas(run, schema)
+            for batch in batches:
+                for start in range(0, batch.num_rows, FETCH_ROWS):
+                    part = batch.slice(start, FETCH_ROWS)
+                    values = [column.to_pylist() for column in part.columns[:arguments]]
+                    bodies, errors = zip(*pool.map(attempt, zip(*values)))
+                    texts = [pa.array(x, pa.string(), from_pandas=True) for x in (bodies, errors)]
+                    yield pa.RecordBatch.from_arrays([part.column(0), *texts, *part.columns[arguments:]], schema.names)
+
+    return rows.mapInArrow(run, schema)

@@ -256,6 +256,12 @@ def test_fetch_map_reports_failures(spark):
     assert len(rows) == 200 and rows[3] == (None, "KeyError: 'gone'") and rows[4] == ("4!", None)
 
 
+def test_fetch_map_hands_numbers_over_as_they_are(spark):
+    keys = spark.createDataFrame([(1, None), (2, 5)], "key bigint, more int")
+    fetched = src.fetch_map(keys, "key", lambda key, more: f"{key} {more}", inputs=("more",), keep=("more",))
+    assert sorted(tuple(r) for r in fetched.collect()) == [(1, "1 None", None, None), (2, "2 5", None, 5)]
+
+
 def test_fetch_map_keeps_squares_in_place(spark):
     numbers = spark.range(1, 11).selectExpr("id as n")
     fetched = src.fetch_map(numbers, "n", lambda n: str(n * n))
