@@ -127,20 +127,26 @@ def _split_at(df: DataFrame, n: int, order: list[str], name: str, rule: Callable
     )
     cuts = stage(cuts, "cuts")
     listed = F.array_sort(F.collect_list(F.struct("key", "_begin", "tied", "chunk")))
-    found = df.withColumn("_cuts", cuts.agg(listed).scalar()).withColumn(
-        "_cut", _last_cut(F.col("_cuts"), len(begins), key)
-    )
     first = chunk(F.lit(0).cast("long")).cast("int")
-    tied = F.coalesce(F.col("_cut.tied") & (F.col("_cut.key") == key), F.lit(False))
-    whole = found.where(~tied).select(*df.columns, F.coalesce("_cut.chunk", first).alias(name))
-    if cuts.where("tied").isEmpty():
+
+    def between(rows: DataFrame) -> DataFrame:
+        found = rows.withColumn("_cuts", cuts.agg(listed).scalar()).withColumn(
+            "_cut", _last_cut(F.col("_cuts"), len(begins), key)
+        )
         return found.select(*df.columns, F.coalesce("_cut.chunk", first).alias(name))
+
+    # At most as many keys as there are bounds.
+    runs = F.broadcast(cuts.where("tied").select(F.col("key").alias("_run")).distinct())
+    if runs.isEmpty():
+        return between(df)
+    whole = between(df.join(runs, key == F.col("_run"), "left_anti"))
     # Ties across a bound: where their run begins in all rows, plus their place in the run.
-    placed, _ = with_position(found.where(tied).select(*df.columns), order, "_place")
-    runs = placed.groupBy(key.alias("_run")).agg(F.min("_place").alias("_run_place"))
-    again = keys.withColumn("_cuts", cuts.agg(listed).scalar()).withColumn("_cut", _last_cut(F.col("_cuts"), len(begins), key))
-    starts_of = again.where(tied).groupBy(key.alias("_run")).agg(F.min("_pos").alias("_run_pos"))
-    shifts = runs.join(starts_of, "_run").select("_run", (F.col("_run_pos") - F.col("_run_place")).alias("_shift"))
+    tied = df.join(runs, key == F.col("_run"), "left_semi").select(*df.columns)
+    placed, _ = with_position(tied, order, "_place")
+    placed_runs = placed.groupBy(key.alias("_run")).agg(F.min("_place").alias("_run_place"))
+    again = keys.join(runs, key == F.col("_run"))
+    starts_of = again.groupBy("_run").agg(F.min("_pos").alias("_run_pos"))
+    shifts = placed_runs.join(starts_of, "_run").select("_run", (F.col("_run_pos") - F.col("_run_place")).alias("_shift"))
     moved = placed.join(F.broadcast(shifts), key == F.col("_run"))
     pos = F.col("_place") + F.col("_shift")
     return whole.unionAll(moved.select(*df.columns, chunk(pos).cast("int").alias(name)))

@@ -219,6 +219,16 @@ def test_ties_and_nulls_across_bounds(spark, split, kinds, n):
     assert [r[3] for r in in_order] == sorted(r[3] for r in in_order)
 
 
+def test_ties_are_told_by_a_join(spark, tmp_path):
+    """Rows that tie across a bound are not looked up among all bounds, neither in the rows nor in the keys."""
+    path = str(tmp_path / "rows")
+    spark.range(3000).selectExpr("id % 3 as i", "id as payload").write.parquet(path)
+    chunks = op.split_even(spark.read.parquet(path), 100, ["i"])
+    filters = [line for line in plan_text(chunks).splitlines() if "Filter" in line]
+    assert filters and not any("aggregate(" in line or "lambda" in line for line in filters)
+    assert sorted(r["count"] for r in chunks.groupBy("chunk_id").count().collect()) == [30] * 100
+
+
 def test_many_chunks_place_every_row(spark, monkeypatch):
     monkeypatch.setattr("pagemill.operators.chunking.MOST_CUTS", 3)
     for n in (3, 4):
